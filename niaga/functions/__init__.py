@@ -1,5 +1,5 @@
 from niaga.functions.arithmetic import div_exact, fold_rows, mean, ratio_round
-from niaga.functions.calendar import date_key, date_key_of, date_month, elapsed_days
+from niaga.functions.calendar import date_key, date_key_of, date_month, elapsed_days, whole_seconds
 from niaga.functions.labels import number_label, percent_label, rupiah_label
 
 __all__ = [
@@ -14,4 +14,5 @@ __all__ = [
     "percent_label",
     "ratio_round",
     "rupiah_label",
+    "whole_seconds",
 ]

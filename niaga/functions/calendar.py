@@ -30,3 +30,9 @@ def elapsed_days(start_ts: Column, snapshot: dt.date) -> Column:
     day = F.to_date(start_ts)
     past_midnight = (start_ts > day.cast("timestamp_ntz")).cast("int")
     return (F.datediff(F.lit(snapshot), day) - past_midnight).cast("int")
+
+
+def whole_seconds(ts: Column) -> Column:
+    """A timestamp without its fraction of a second."""
+    fraction = F.extract(F.lit("SECOND"), ts) % 1
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)

@@ -1,8 +1,12 @@
-"""Declared constraints as queries: violating rows, and one summary row per constraint."""
+"""Declared constraints as queries: violating rows, and one summary row per constraint.
+
+The summaries are one SQL statement each, so that a statement over all ten
+tables is analysed once.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -37,75 +41,72 @@ def dangling_keys(fact: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFra
     return used.join(known, "key", "left_anti")
 
 
-def _summary(table: str, constraint: str, one_row: DataFrame) -> DataFrame:
-    return one_row.select(
-        F.lit(table).alias("table_name"),
-        F.lit(constraint).alias("constraint_name"),
-        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"),
-    )
+def sql_over(tables: Mapping[str, DataFrame], text: str, names: Iterable[str]) -> DataFrame:
+    """Run SQL in which ``{name}`` stands for a table of the mart."""
+    used = {name: tables[name] for name in names}
+    spark = next(iter(used.values())).sparkSession
+    return spark.sql(text, **used)
+
+
+def _unique(table: Table, kind: str, column: str) -> str:
+    return f"""
+        SELECT '{table.name}' AS table_name, '{kind}({column})' AS constraint_name,
+               count_if(n > 1 OR k IS NULL) AS violations
+        FROM (SELECT {column} AS k, count(*) AS n FROM {{{table.name}}} GROUP BY {column})"""
+
+
+def _not_null(table: Table) -> str:
+    counts = ", ".join(f"count_if({c} IS NULL) AS {c}" for c in table.not_null)
+    pairs = ", ".join(f"'not_null({c})', {c}" for c in table.not_null)
+    return f"""
+        SELECT '{table.name}' AS table_name,
+               stack({len(table.not_null)}, {pairs}) AS (constraint_name, violations)
+        FROM (SELECT {counts} FROM {{{table.name}}})"""
+
+
+def _foreign_key(table: Table, fk: ForeignKey) -> str:
+    return f"""
+        SELECT '{table.name}' AS table_name,
+               'fk({fk.column}->{fk.parent})' AS constraint_name,
+               coalesce(sum(n), 0) AS violations
+        FROM (SELECT {fk.column} AS k, count(*) AS n FROM {{{table.name}}}
+              WHERE {fk.column} IS NOT NULL GROUP BY {fk.column}) used
+        LEFT ANTI JOIN {{{fk.parent}}} parent ON used.k = parent.{fk.parent_column}"""
+
 
+def _primary_keys() -> list[str]:
+    return [_unique(t, "pk", t.primary_key) for t in TABLES.values()]
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+
+def _natural_keys() -> list[str]:
+    return [_unique(t, "unique", t.natural_key) for t in TABLES.values() if t.natural_key]
+
+
+def _foreign_keys() -> list[str]:
+    return [_foreign_key(t, fk) for t in TABLES.values() for fk in t.foreign_keys]
+
+
+def _summary(mart: Mapping[str, DataFrame], statements: list[str]) -> DataFrame:
+    return sql_over(mart, "\nUNION ALL\n".join(statements), TABLES)
 
 
 def primary_keys(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return _union(
-        [
-            _summary(
-                t.name,
-                f"pk({t.primary_key})",
-                duplicate_keys(mart[t.name], t.primary_key).agg(F.count("*").alias("violations")),
-            )
-            for t in TABLES.values()
-        ]
-    )
+    return _summary(mart, _primary_keys())
 
 
 def natural_keys(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return _union(
-        [
-            _summary(
-                t.name,
-                f"unique({t.natural_key})",
-                duplicate_keys(mart[t.name], t.natural_key).agg(F.count("*").alias("violations")),
-            )
-            for t in TABLES.values()
-            if t.natural_key
-        ]
-    )
+    return _summary(mart, _natural_keys())
 
 
 def not_null(mart: Mapping[str, DataFrame]) -> DataFrame:
     """One aggregate per table, unpivoted to a row per column."""
-    frames = []
-    for t in TABLES.values():
-        nulls = mart[t.name].agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in t.not_null))
-        pairs = ", ".join(f"'not_null({c})', `{c}`" for c in t.not_null)
-        frames.append(
-            nulls.select(
-                F.lit(t.name).alias("table_name"),
-                F.expr(f"stack({len(t.not_null)}, {pairs}) AS (constraint_name, violations)"),
-            )
-        )
-    return _union(frames)
+    return _summary(mart, [_not_null(t) for t in TABLES.values()])
 
 
 def foreign_keys(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return _union(
-        [
-            _summary(
-                t.name,
-                f"fk({fk.column}->{fk.parent})",
-                dangling_keys(mart[t.name], mart[fk.parent], fk).agg(
-                    F.sum("rows").alias("violations")
-                ),
-            )
-            for t in TABLES.values()
-            for fk in t.foreign_keys
-        ]
-    )
+    return _summary(mart, _foreign_keys())
 
 
 def all_constraints(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([primary_keys(mart), natural_keys(mart), not_null(mart), foreign_keys(mart)])
+    not_nulls = [_not_null(t) for t in TABLES.values()]
+    return _summary(mart, _primary_keys() + _natural_keys() + not_nulls + _foreign_keys())

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from niaga.operators.constraints import duplicate_keys
+from niaga.operators.constraints import duplicate_keys, sql_over
 
 # (check, staging table, mart table)
 ROW_COUNTS = (
@@ -20,22 +20,18 @@ ROW_COUNTS = (
 )
 
 
-def _null(column: str) -> Column:
-    return F.col(column).isNull()
-
-
 # (check, table, condition that no row may meet, label of the count)
 RULES = (
-    ("fk_integrity_fact_orders_customer", "fact_orders", _null, "customer_key", "orphan_rows"),
-    ("fk_integrity_fact_orders_product", "fact_orders", _null, "product_key", "orphan_rows"),
-    ("fk_integrity_fact_orders_payment", "fact_orders", _null, "payment_method_key", "orphan_rows"),
-    ("fk_integrity_fact_inventory_product", "fact_inventory_movements", _null, "product_key", "orphan_rows"),
-    ("fk_integrity_fact_inventory_warehouse", "fact_inventory_movements", _null, "warehouse_key", "orphan_rows"),
-    ("fk_integrity_fact_clickstream_page", "fact_web_clickstream", _null, "page_key", "orphan_rows"),
-    ("fk_integrity_fact_clickstream_device", "fact_web_clickstream", _null, "device_key", "orphan_rows"),
-    ("business_rule_no_negative_revenue", "fact_orders", lambda c: F.col(c) < 0, "gross_revenue_idr", "negative_rows"),
-    ("business_rule_positive_quantity", "fact_orders", lambda c: F.col(c) <= 0, "quantity", "invalid_rows"),
-    ("business_rule_non_negative_margin", "dim_product", lambda c: F.col(c) < 0, "margin_idr", "negative_margin_products"),
+    ("fk_integrity_fact_orders_customer", "fact_orders", "customer_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_orders_product", "fact_orders", "product_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_orders_payment", "fact_orders", "payment_method_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_inventory_product", "fact_inventory_movements", "product_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_inventory_warehouse", "fact_inventory_movements", "warehouse_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_clickstream_page", "fact_web_clickstream", "page_key IS NULL", "orphan_rows"),
+    ("fk_integrity_fact_clickstream_device", "fact_web_clickstream", "device_key IS NULL", "orphan_rows"),
+    ("business_rule_no_negative_revenue", "fact_orders", "gross_revenue_idr < 0", "negative_rows"),
+    ("business_rule_positive_quantity", "fact_orders", "quantity <= 0", "invalid_rows"),
+    ("business_rule_non_negative_margin", "dim_product", "margin_idr < 0", "negative_margin_products"),
 )
 
 # (check, table, key, label of the count)
@@ -45,61 +41,57 @@ UNIQUE = (
 )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _stack(one_row: DataFrame, entries: list[tuple[str, str, str]]) -> DataFrame:
-    """(check, side, column of the one-row frame) as rows check_name, side, n."""
-    parts = ", ".join(f"'{check}', '{side}', `{column}`" for check, side, column in entries)
-    return one_row.select(F.expr(f"stack({len(entries)}, {parts}) AS (check_name, side, n)"))
-
+def _measures() -> tuple[str, set[str]]:
+    """SQL for every number the suite compares, from one aggregate per table.
 
-def _measures(mart: Mapping[str, DataFrame]) -> DataFrame:
-    """Every number the suite compares, from one aggregate per table."""
-    tables: dict[str, list[tuple[str, str, Column]]] = {}
+    Rows are (check_name, label, loaded, expected); a row-count check has one
+    row for each side.
+    """
+    tables: dict[str, list[tuple[str, str, str, str]]] = {}
     for check, staging, loaded in ROW_COUNTS:
-        tables.setdefault(staging, []).append((check, "staging", F.count("*")))
-        tables.setdefault(loaded, []).append((check, "mart", F.count("*")))
-    for check, table, condition, column, _label in RULES:
-        tables.setdefault(table, []).append((check, "bad", F.count_if(condition(column))))
+        tables.setdefault(staging, []).append((check, loaded, "count(*)", "expected"))
+        tables.setdefault(loaded, []).append((check, loaded, "count(*)", "loaded"))
+    for check, table, condition, label in RULES:
+        tables.setdefault(table, []).append((check, label, f"count_if({condition})", "loaded"))
 
-    frames = []
+    statements = []
     for table, entries in tables.items():
-        aggregate = mart[table].agg(*(m.alias(f"m{i}") for i, (_, _, m) in enumerate(entries)))
-        frames.append(
-            _stack(aggregate, [(check, side, f"m{i}") for i, (check, side, _) in enumerate(entries)])
+        counts = ", ".join(f"{count} AS m{i}" for i, (_, _, count, _) in enumerate(entries))
+        rows = ", ".join(
+            f"'{check}', '{label}', "
+            + (f"m{i}, CAST(NULL AS BIGINT)" if side == "loaded" else f"CAST(NULL AS BIGINT), m{i}")
+            for i, (check, label, _, side) in enumerate(entries)
         )
-    for check, table, key, _label in UNIQUE:
-        repeated = duplicate_keys(mart[table], key).where(F.col("rows") > 1)
-        frames.append(_stack(repeated.agg(F.count("*").alias("m0")), [(check, "bad", "m0")]))
-    return _union(frames)
+        statements.append(f"""
+            SELECT stack({len(entries)}, {rows}) AS (check_name, label, loaded, expected)
+            FROM (SELECT {counts} FROM {{{table}}})""")
+    for check, table, key, label in UNIQUE:
+        statements.append(f"""
+            SELECT '{check}', '{label}', count_if(n > 1), CAST(NULL AS BIGINT)
+            FROM (SELECT count(*) AS n FROM {{{table}}} GROUP BY {key})""")
+    names = set(tables) | {table for _, table, _, _ in UNIQUE}
+    return "\nUNION ALL\n".join(statements), names
 
 
 def dq_suite(mart: Mapping[str, DataFrame]) -> DataFrame:
     """17 checks as (check_name, status, detail)."""
+    measures, names = _measures()
+    text = f"""
+        SELECT check_name,
+               CASE WHEN loaded = coalesce(expected, 0) THEN 'PASS' ELSE 'FAIL' END AS status,
+               CASE WHEN expected IS NULL THEN concat(label, '=', loaded)
+                    ELSE concat('staging=', expected, ', ', label, '=', loaded) END AS detail
+        FROM (SELECT check_name, label, max(loaded) AS loaded, max(expected) AS expected
+              FROM ({measures}) GROUP BY check_name, label)"""
+    return sql_over(mart, text, names)
 
-    def side(name: str) -> Column:
-        return F.max(F.when(F.col("side") == name, F.col("n")))
 
-    folded = (
-        _measures(mart)
-        .groupBy("check_name")
-        .agg(side("staging").alias("staging"), side("mart").alias("mart"), side("bad").alias("bad"))
-    )
-    passed = F.coalesce(F.col("bad") == 0, F.col("staging") == F.col("mart"))
-    check = F.col("check_name")
-    detail = F.lit(None).cast("string")
-    for name, _staging, loaded in ROW_COUNTS:
-        text = F.format_string(f"staging=%d, {loaded}=%d", "staging", "mart")
-        detail = F.when(check == name, text).otherwise(detail)
-    for name, label in [(r[0], r[4]) for r in RULES] + [(u[0], u[3]) for u in UNIQUE]:
-        detail = F.when(check == name, F.format_string(f"{label}=%d", "bad")).otherwise(detail)
-    return folded.select(
-        check,
-        F.when(passed, "PASS").otherwise("FAIL").alias("status"),
-        detail.alias("detail"),
-    )
+def _null(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 # --- row-level queries: an empty result means valid data ---------------------------------
@@ -113,15 +105,12 @@ def dq1_row_counts(mart: Mapping[str, DataFrame]) -> DataFrame:
         ("wms_vs_fact_inventory", "stg_wms_inventory_movements", "fact_inventory_movements"),
         ("web_vs_fact_clickstream", "stg_web_clickstream_logs", "fact_web_clickstream"),
     )
-    counts = [
-        mart[table].agg(F.count("*").alias(side)).withColumn("check_name", F.lit(check))
+    text = "\nUNION ALL\n".join(
+        f"SELECT '{check}' AS check_name, (SELECT count(*) FROM {{{staging}}}) AS staging_count,"
+        f" (SELECT count(*) FROM {{{loaded}}}) AS mart_count"
         for check, staging, loaded in pairs
-        for side, table in (("staging_count", staging), ("mart_count", loaded))
-    ]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
-    return stacked.groupBy("check_name").agg(
-        F.max("staging_count").alias("staging_count"), F.max("mart_count").alias("mart_count")
     )
+    return sql_over(mart, text, [t for _, *tables in pairs for t in tables])
 
 
 def dq2_orders_null_fk(mart: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.functions import date_key, elapsed_days
+from niaga.functions import date_key, elapsed_days, whole_seconds
 from niaga.lookups import (
     DAY_NAMES,
     FUNNEL_PAGES,
@@ -71,7 +71,7 @@ def customers(crm: DataFrame, snapshot: dt.date) -> DataFrame:
         "kota",
         "account_tier",
         F.to_date(signup).alias("signup_date"),
-        signup.alias("signup_datetime"),
+        whole_seconds(signup).alias("signup_datetime"),
         elapsed_days(signup, snapshot).alias("tenure_days_as_of_load"),
         F.current_timestamp().alias(LOADED_AT),
     )
@@ -150,16 +150,17 @@ KEY_ORDER = {
 }
 
 
-def keyed_dimensions(staged: dict[str, DataFrame], snapshot: dt.date) -> dict[str, DataFrame]:
-    """Every dimension that needs a surrogate key, still without it."""
-    return {
-        "dim_customer": customers(staged["stg_crm_user_profiles"], snapshot),
-        "dim_product": products(staged["stg_mdm_products"]),
-        "dim_warehouse": warehouses(staged["stg_wms_inventory_movements"]),
-        "dim_payment_method": payment_methods(staged["stg_oms_orders"]),
-        "dim_device": devices(staged["stg_web_clickstream_logs"]),
-        "dim_page": pages(staged["stg_web_clickstream_logs"]),
+def unkeyed_dimension(name: str, staged: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
+    """Dimension ``name`` without its surrogate key."""
+    builders = {
+        "dim_customer": lambda: customers(staged["stg_crm_user_profiles"], snapshot),
+        "dim_product": lambda: products(staged["stg_mdm_products"]),
+        "dim_warehouse": lambda: warehouses(staged["stg_wms_inventory_movements"]),
+        "dim_payment_method": lambda: payment_methods(staged["stg_oms_orders"]),
+        "dim_device": lambda: devices(staged["stg_web_clickstream_logs"]),
+        "dim_page": lambda: pages(staged["stg_web_clickstream_logs"]),
     }
+    return builders[name]()
 
 
 def declared(name: str, df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niaga.functions import date_key, date_month
+from niaga.functions import date_key, date_month, whole_seconds
 from niaga.lookups import MOVEMENT_DIRECTION, map_value
 from niaga.operators import keep_first, lookup
 from niaga.schemas import MONTH, ORPHANS, TABLES
@@ -58,7 +58,7 @@ def orders(oms: DataFrame, customer: DataFrame, product: DataFrame, payment: Dat
         orphan.alias(ORPHAN),
         "order_id",
         date_key(F.col("order_timestamp")).alias("date_key"),
-        F.col("order_timestamp").alias("order_datetime"),
+        whole_seconds(F.col("order_timestamp")).alias("order_datetime"),
         "customer_key",
         "product_key",
         "payment_method_key",
@@ -98,7 +98,7 @@ def inventory_movements(wms: DataFrame, product: DataFrame, warehouse: DataFrame
         orphan.alias(ORPHAN),
         "movement_id",
         date_key(F.col("recorded_timestamp")).alias("date_key"),
-        F.col("recorded_timestamp").alias("movement_datetime"),
+        whole_seconds(F.col("recorded_timestamp")).alias("movement_datetime"),
         "product_key",
         "warehouse_key",
         "jenis_mutasi",
@@ -126,7 +126,7 @@ def web_clickstream(web: DataFrame, customer: DataFrame, page: DataFrame, device
         F.lit(False).alias(ORPHAN),  # hits of unknown users are kept, without a customer
         "log_id",
         date_key(F.col("hit_timestamp")).alias("date_key"),
-        F.col("hit_timestamp").alias("hit_datetime"),
+        whole_seconds(F.col("hit_timestamp")).alias("hit_datetime"),
         "session_id",
         "customer_key",
         "page_key",
@@ -136,24 +136,25 @@ def web_clickstream(web: DataFrame, customer: DataFrame, page: DataFrame, device
     )
 
 
-def unkeyed_facts(staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "fact_orders": orders(
+def unkeyed_fact(name: str, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """Fact ``name`` without its surrogate key."""
+    if name == "fact_orders":
+        return orders(
             staged["stg_oms_orders"],
             dims["dim_customer"],
             dims["dim_product"],
             dims["dim_payment_method"],
-        ),
-        "fact_inventory_movements": inventory_movements(
+        )
+    if name == "fact_inventory_movements":
+        return inventory_movements(
             staged["stg_wms_inventory_movements"], dims["dim_product"], dims["dim_warehouse"]
-        ),
-        "fact_web_clickstream": web_clickstream(
-            staged["stg_web_clickstream_logs"],
-            dims["dim_customer"],
-            dims["dim_page"],
-            dims["dim_device"],
-        ),
-    }
+        )
+    return web_clickstream(
+        staged["stg_web_clickstream_logs"],
+        dims["dim_customer"],
+        dims["dim_page"],
+        dims["dim_device"],
+    )
 
 
 def stored_fact(name: str, keyed: DataFrame) -> DataFrame:

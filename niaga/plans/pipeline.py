@@ -36,7 +36,7 @@ from niaga.sources import SourceFrame
 from niaga.sources.files import SourceError
 
 SNAPSHOT_DATE = dt.date(2026, 7, 1)  # default day up to which tenure is counted
-_PARALLEL_WRITES = 4
+_PARALLEL_JOBS = 8
 _PUBLISHED = columns("run_id string, failed_checks int, published_at timestamp")
 
 
@@ -135,9 +135,9 @@ def create_logs(spark: SparkSession, root: str) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
 
 
-def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Independent table writes submitted at once, so small ones fill idle executors."""
-    with ThreadPoolExecutor(_PARALLEL_WRITES) as pool:
+def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) -> dict:
+    """Independent jobs submitted at once, so small ones fill idle executors."""
+    with ThreadPoolExecutor(_PARALLEL_JOBS) as pool:
         running = {n: pool.submit(inheritable_thread_target(spark)(job)) for n, job in jobs.items()}
         return {name: future.result() for name, future in running.items()}
 
@@ -145,21 +145,18 @@ def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]])
 # --- the three layers ---------------------------------------------------------------------
 
 
-def _stage(load: Load, sources: Mapping[str, SourceFrame]) -> dict[str, DataFrame]:
-    def job(name: str) -> Callable[[], DataFrame]:
-        source = SOURCES[name]
-        measures = {}
-        if source.event_time:
-            ts = F.col(source.event_time)
-            measures = {"min_ts": F.min(ts), "max_ts": F.max(ts)}
-        rows = sources[name].rows.select(
-            *(F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema),
-            ARRIVAL,
-            F.current_timestamp().alias(LOADED_AT),
-        )
-        return lambda: load.write("staging", source.staging, rows, measures)
-
-    return _together(load.spark, {SOURCES[n].staging: job(n) for n in SOURCES})
+def _stage(load: Load, name: str, rows: DataFrame) -> DataFrame:
+    source = SOURCES[name]
+    measures = {}
+    if source.event_time:
+        ts = F.col(source.event_time)
+        measures = {"min_ts": F.min(ts), "max_ts": F.max(ts)}
+    typed = rows.select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema),
+        ARRIVAL,
+        F.current_timestamp().alias(LOADED_AT),
+    )
+    return load.write("staging", source.staging, typed, measures)
 
 
 def _set_aside_rejects(load: Load, sources: Mapping[str, SourceFrame], strict: bool) -> None:
@@ -168,57 +165,75 @@ def _set_aside_rejects(load: Load, sources: Mapping[str, SourceFrame], strict: b
     for name, source in sources.items():
         if source.rejects is None:
             continue
-        seen = Observation(f"{load.run_id}:rejects:{name}")
-        watched = source.rejects.observe(seen, F.count(F.lit(1)).alias("rows"))
-        watched.write.parquet(load.path(f"rejects_{SOURCES[name].staging}"))
-        if seen.get["rows"]:
-            rejected.append(f"{name}: {seen.get['rows']}")
+        table = f"rejects_{SOURCES[name].staging}"
+        load.write(None, table, source.rejects)
+        if load.metrics[table]["rows"]:
+            rejected.append(f"{name}: {load.metrics[table]['rows']}")
     if rejected and strict:
         raise SourceError(f"unreadable rows set aside below {load.path()}: {'; '.join(rejected)}")
 
 
-def _load_dimensions(load: Load, staged: dict[str, DataFrame], snapshot: dt.date) -> dict[str, DataFrame]:
+def _load_calendar(load: Load) -> DataFrame:
+    """``dim_date`` over the span the staging writes observed."""
     spans = [load.metrics[s.staging] for s in SOURCES.values() if s.event_time]
     first = min(m["min_ts"] for m in spans if m["min_ts"]).date()
     last = max(m["max_ts"] for m in spans if m["max_ts"]).date()
+    days = dimensions.calendar(load.spark, first, last)
+    return load.write("dimension", "dim_date", dimensions.declared("dim_date", days))
+
+
+def _load_dimension(load: Load, name: str, staged: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
+    rows = dimensions.unkeyed_dimension(name, staged, snapshot)
+    key, order = TABLES[name].primary_key, dimensions.KEY_ORDER[name]
+    numbered = dense_key(rows, key, order, load.path("ordered", name))
+    return load.write("dimension", name, dimensions.declared(name, numbered))
+
+
+def _load_fact(load: Load, name: str, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> None:
+    rows = facts.unkeyed_fact(name, staged, dims)
+    key, order = TABLES[name].primary_key, facts.KEY_ORDER[name]
+    numbered = dense_key(rows, key, order, load.path("ordered", name))
+    measures = {
+        "fact_orders": lambda: {"total_revenue": F.sum("gross_revenue_idr")},
+        "fact_inventory_movements": lambda: {"net_stock_change": F.sum("signed_quantity")},
+    }.get(name, dict)()
+    writes = {
+        name: lambda: load.write(
+            "fact", name, facts.stored_fact(name, numbered), measures, partition_by=MONTH
+        )
+    }
+    aside = facts.ORPHAN_TABLE.get(name)
+    if aside:
+        writes[aside] = lambda: load.write(None, aside, facts.set_aside(name, numbered))
+    _together(load.spark, writes)
 
-    def keyed(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        def job() -> DataFrame:
-            key = TABLES[name].primary_key
-            numbered = dense_key(df, key, dimensions.KEY_ORDER[name], load.path("ordered", name))
-            return load.write("dimension", name, dimensions.declared(name, numbered))
-
-        return job
-
-    def date_job() -> DataFrame:
-        days = dimensions.declared("dim_date", dimensions.calendar(load.spark, first, last))
-        return load.write("dimension", "dim_date", days)
-
-    jobs = {n: keyed(n, df) for n, df in dimensions.keyed_dimensions(staged, snapshot).items()}
-    return _together(load.spark, {"dim_date": date_job, **jobs})
-
-
-def _load_facts(load: Load, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    def job(name: str, df: DataFrame) -> Callable[[], DataFrame]:
-        measures = {}
-        if name == "fact_orders":
-            measures = {"total_revenue": F.sum("gross_revenue_idr")}
-        elif name == "fact_inventory_movements":
-            measures = {"net_stock_change": F.sum("signed_quantity")}
-
-        def run() -> DataFrame:
-            key = TABLES[name].primary_key
-            numbered = dense_key(df, key, facts.KEY_ORDER[name], load.path("ordered", name))
-            aside = facts.ORPHAN_TABLE.get(name)
-            if aside:
-                load.write(None, aside, facts.set_aside(name, numbered))
-            stored = facts.stored_fact(name, numbered)
-            return load.write("fact", name, stored, measures, partition_by=MONTH)
-
-        return run
 
-    unkeyed = facts.unkeyed_facts(staged, dims)
-    return _together(load.spark, {n: job(n, df) for n, df in unkeyed.items()})
+def _build(
+    load: Load, sources: Mapping[str, SourceFrame], snapshot: dt.date, strict_sources: bool
+) -> None:
+    create_logs(load.spark, load.root)
+    try:
+        _set_aside_rejects(load, sources, strict_sources)
+        staged = _together(
+            load.spark,
+            {
+                SOURCES[name].staging: lambda name=name: _stage(load, name, sources[name].rows)
+                for name in SOURCES
+            },
+        )
+        dims = {"dim_date": lambda: _load_calendar(load)}
+        for name in dimensions.KEY_ORDER:
+            dims[name] = lambda name=name: _load_dimension(load, name, staged, snapshot)
+        loaded = _together(load.spark, dims)
+        _together(
+            load.spark,
+            {
+                name: lambda name=name: _load_fact(load, name, staged, loaded)
+                for name in facts.KEY_ORDER
+            },
+        )
+    finally:
+        load.save_log()
 
 
 # --- entry points -------------------------------------------------------------------------
@@ -245,25 +260,26 @@ def run_load(
     A broken constraint always stops the run. A failed quality check stops it
     too, unless ``publish_failed_checks`` says to publish and only report.
     """
-    run_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    load = Load(spark, root.rstrip("/"), run_id)
-    create_logs(spark, load.root)
-    try:
-        _set_aside_rejects(load, sources, strict_sources)
-        staged = _stage(load, sources)
-        dims = _load_dimensions(load, staged, snapshot)
-        _load_facts(load, staged, dims)
-    finally:
-        load.save_log()
-
-    mart = open_run(spark, load.root, run_id)
-    # at most one row per declared constraint, and 17 checks
-    broken = all_constraints(mart).where("violations > 0").collect()
-    if broken:
-        found = "; ".join(f"{r.table_name} {r.constraint_name}: {r.violations}" for r in broken)
-        raise ConstraintViolation(f"run {run_id} not published: {found}")
-    dq_suite(mart).coalesce(1).write.parquet(load.path("dq_results"))
-    results = load.read("dq_results", CHECK_RESULT).collect()
+    load = _new_load(spark, root)
+    _build(load, sources, snapshot, strict_sources)
+    mart = open_run(spark, load.root, load.run_id)
+
+    def check() -> list:
+        dq_suite(mart).coalesce(1).write.parquet(load.path("dq_results"))
+        return load.read("dq_results", CHECK_RESULT).collect()
+
+    # both results are small: a row per broken constraint, and 17 checks
+    found = _together(
+        spark,
+        {
+            "broken": lambda: all_constraints(mart).where("violations > 0").collect(),
+            "checks": check,
+        },
+    )
+    if found["broken"]:
+        broken = "; ".join(f"{r.table_name} {r.constraint_name}: {r.violations}" for r in found["broken"])
+        raise ConstraintViolation(f"run {load.run_id} not published: {broken}")
+    results, run_id = found["checks"], load.run_id
     failed = tuple(sorted(r.check_name for r in results if r.status == "FAIL"))
     if failed and not publish_failed_checks:
         raise QualityFailure(f"run {run_id} not published: {', '.join(failed)}")
@@ -274,6 +290,20 @@ def run_load(
     return LoadResult(run_id, mart, failed, load.metrics)
 
 
+def _new_load(spark: SparkSession, root: str) -> Load:
+    run_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    return Load(spark, root.rstrip("/"), run_id)
+
+
+def build_unpublished(
+    spark: SparkSession, sources: Mapping[str, SourceFrame], root: str, snapshot: dt.date = SNAPSHOT_DATE
+) -> Mart:
+    """A whole mart that is neither checked nor published, to run queries and checks on."""
+    load = _new_load(spark, root)
+    _build(load, sources, snapshot, strict_sources=True)
+    return open_run(spark, load.root, load.run_id)
+
+
 def open_run(spark: SparkSession, root: str, run_id: str) -> Mart:
     """The tables of one run. Schemas are declared, so no file is opened to infer them."""
 
