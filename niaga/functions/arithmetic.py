@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,21 +14,25 @@ def div_exact(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
+def _whole(value: Column | int, digits: int = 20) -> Column:
+    column = value if isinstance(value, Column) else F.lit(value)
+    return column.cast(f"decimal({digits},0)")
+
+
 def ratio_round(num: Column, den: Column, scale: int, factor: int = 1) -> Column:
     """``factor * num / den`` rounded half away from zero to ``scale`` decimals, as DOUBLE.
 
-    Runs on aggregated rows, in whole decimals: the result depends neither on
-    summation order nor on binary fractions, and totals near the BIGINT limit
-    do not overflow when scaled. Null where ``den`` is zero or null.
+    Runs on aggregated rows, in decimals: the result depends neither on
+    summation order nor on binary fractions. The whole part and the remainder
+    are scaled apart, so totals up to the BIGINT limit do not overflow. Null
+    where ``den`` is zero or null.
     """
-    n = F.abs(num.cast("decimal(20,0)"))
-    d = F.nullif(F.abs(den.cast("decimal(20,0)")), F.lit(0).cast("decimal(20,0)"))
-    unit = 10**scale
-    step = F.lit(2 * factor * unit).cast("decimal(10,0)")
-    rounded = div_exact(n * step + d, d * F.lit(2).cast("decimal(1,0)"))
-    negative = (F.signum(num) * F.signum(den)) < 0
-    value = F.when(negative, -rounded).otherwise(rounded).cast("double")
-    return value if scale == 0 else value / F.lit(float(unit))
+    n, d = _whole(F.abs(num)), F.nullif(_whole(F.abs(den)), _whole(0))
+    units = factor * 10**scale
+    rest = (n % d) * _whole(2 * units, 8) + d
+    total = _whole(div_exact(n, d)) * _whole(units, 7) + _whole(div_exact(rest, d * _whole(2, 1)), 8)
+    sign = F.when((F.signum(num) * F.signum(den)) < 0, -1).otherwise(1)
+    return (total * F.lit(Decimal(1).scaleb(-scale)) * sign).cast("double")
 
 
 def mean(total: Column, count: Column) -> Column:

@@ -31,13 +31,13 @@ def lookup(rows: DataFrame, dim: DataFrame, on: str, dim_key: str, spread_by: st
 
     No broadcast hint: Spark broadcasts a dimension it measures to be small and
     otherwise shuffles, splitting skewed partitions. Rows without a key match
-    nothing but would meet in one shuffle partition, so they get one of several
-    thousand values that no natural key has.
+    nothing but would meet in one shuffle partition, so they are spread over
+    several thousand stand-in values; the null test keeps these from matching.
     """
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
-    joined = rows.withColumn("_on", F.coalesce(F.col(on), filler)).join(
-        dim.withColumnRenamed(dim_key, "_dim_key"), F.col("_on") == F.col("_dim_key"), "left"
-    )
+    stand_in = F.concat(F.lit("none-"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
+    keyed = rows.withColumn("_on", F.coalesce(F.col(on), stand_in))
+    match = (F.col("_on") == F.col("_dim_key")) & F.col(on).isNotNull()
+    joined = keyed.join(dim.withColumnRenamed(dim_key, "_dim_key"), match, "left")
     return joined.drop("_on", "_dim_key")
 
 

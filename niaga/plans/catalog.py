@@ -41,6 +41,63 @@ PARAM_QUERY = """
     ORDER BY c.kota
 """
 
+# Queries that need nothing but a mart.
+REPORTS: dict[str, Callable[[Mart], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        quality.dq_suite,
+        quality.dq9_audit_history,
+        quality.dq1_row_counts,
+        quality.dq2_orders_null_fk,
+        quality.dq3_moves_null_fk,
+        quality.dq4_clicks_null_fk,
+        quality.dq5_duplicates,
+        quality.dq6_order_rules,
+        quality.dq7_margin_range,
+        quality.dq8_date_fk,
+        pages.distinct_values,
+        pages.order_date_span,
+        kpis.run_metrics,
+        kpis.kpi_summary,
+        kpis.kpi_margin,
+        kpis.home_kpis,
+        kpis.home_source_counts,
+        kpis.fmt_kpi_labels,
+        kpis.ins_dormant_share,
+        kpis.ins_net_stock_by_wh,
+        kpis.ins_platform_share,
+        kpis.ins_slowest_page,
+        kpis.ins_city_extremes,
+        kpis.ins_fulfilment_rates,
+        reports.a1_monthly_kpi,
+        reports.a2_category_revenue,
+        reports.a3_top_products,
+        reports.a4_status_share,
+        reports.a5_payment_pref,
+        reports.a6_city_revenue,
+        reports.b1_tier_segment,
+        reports.b2_top_customers,
+        reports.b3_dormant,
+        reports.c1_funnel,
+        reports.c2_page_latency,
+        reports.c3_device_split,
+        reports.c4_conversion,
+        reports.d1_low_stock,
+        reports.d2_movement_summary,
+        reports.d3_top_defects,
+        reports.e2_category_risk,
+        reports.e2_category_risk_fixed,
+        reports.chart_daily_revenue,
+        reports.chart_category_revenue,
+        reports.chart_status,
+        reports.chart_payment,
+        reports.chart_funnel,
+        reports.chart_device,
+        reports.chart_top_products,
+        reports.chart_warehouse_pivot,
+    )
+}
+
 _marts: dict[tuple[str, str], Mart] = {}
 
 
@@ -109,66 +166,14 @@ def queries() -> dict[str, Query]:
         "date_key_expr": _date_keys,
         "param_query": _param_query,
         "audit_row_counts": _on_mart(_audit),
-        "dq9_audit_history": _on_mart(quality.dq9_audit_history),
         "constraint_pk": _on_mart(constraints.primary_keys),
         "constraint_unique": _on_mart(constraints.natural_keys),
         "constraint_not_null": _on_mart(constraints.not_null),
         "constraint_fk": _on_mart(constraints.foreign_keys),
-        "dq_suite": _on_mart(quality.dq_suite),
     }
     for name in [*TABLES, *ORPHANS]:
         q[name] = _table(name)
-    for report in (
-        quality.dq1_row_counts,
-        quality.dq2_orders_null_fk,
-        quality.dq3_moves_null_fk,
-        quality.dq4_clicks_null_fk,
-        quality.dq5_duplicates,
-        quality.dq6_order_rules,
-        quality.dq7_margin_range,
-        quality.dq8_date_fk,
-        pages.distinct_values,
-        pages.order_date_span,
-        kpis.run_metrics,
-        kpis.kpi_summary,
-        kpis.kpi_margin,
-        kpis.home_kpis,
-        kpis.home_source_counts,
-        kpis.fmt_kpi_labels,
-        kpis.ins_dormant_share,
-        kpis.ins_net_stock_by_wh,
-        kpis.ins_platform_share,
-        kpis.ins_slowest_page,
-        kpis.ins_city_extremes,
-        kpis.ins_fulfilment_rates,
-        reports.a1_monthly_kpi,
-        reports.a2_category_revenue,
-        reports.a3_top_products,
-        reports.a4_status_share,
-        reports.a5_payment_pref,
-        reports.a6_city_revenue,
-        reports.b1_tier_segment,
-        reports.b2_top_customers,
-        reports.b3_dormant,
-        reports.c1_funnel,
-        reports.c2_page_latency,
-        reports.c3_device_split,
-        reports.c4_conversion,
-        reports.d1_low_stock,
-        reports.d2_movement_summary,
-        reports.d3_top_defects,
-        reports.e2_category_risk,
-        reports.e2_category_risk_fixed,
-        reports.chart_daily_revenue,
-        reports.chart_category_revenue,
-        reports.chart_status,
-        reports.chart_payment,
-        reports.chart_funnel,
-        reports.chart_device,
-        reports.chart_top_products,
-        reports.chart_warehouse_pivot,
-    ):
-        q[report.__name__] = _on_mart(report)
+    q |= {name: _on_mart(report) for name, report in REPORTS.items()}
     q["e1_daily_summary"] = _on_mart(lambda m: reports.e1_daily_summary(m, *WINDOW))
 
     def sales(report):
