@@ -107,6 +107,6 @@ def foreign_keys(mart: Mapping[str, DataFrame]) -> DataFrame:
     return _summary(mart, _foreign_keys())
 
 
-def all_constraints(mart: Mapping[str, DataFrame]) -> DataFrame:
-    not_nulls = [_not_null(t) for t in TABLES.values()]
-    return _summary(mart, _primary_keys() + _natural_keys() + not_nulls + _foreign_keys())
+def null_counts(table: Table) -> dict[str, str]:
+    """Constraint name -> aggregate that counts its violations, to observe while writing."""
+    return {f"not_null({c})": f"count_if({c} IS NULL)" for c in table.not_null}

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from niaga.operators.constraints import duplicate_keys, sql_over
 
+_UNION_ALL = "\nUNION ALL\n"
+
 # (check, staging table, mart table)
 ROW_COUNTS = (
     ("row_count_customer_staging_vs_dim", "stg_crm_user_profiles", "dim_customer"),
@@ -41,6 +43,11 @@ UNIQUE = (
 )
 
 
+def rule_counts(table: str) -> dict[str, str]:
+    """Check name -> aggregate that counts offending rows of one table."""
+    return {check: f"count_if({bad})" for check, of, bad, _ in RULES if of == table}
+
+
 def _measures() -> tuple[str, set[str]]:
     """SQL for every number the suite compares, from one aggregate per table.
 
@@ -51,8 +58,8 @@ def _measures() -> tuple[str, set[str]]:
     for check, staging, loaded in ROW_COUNTS:
         tables.setdefault(staging, []).append((check, loaded, "count(*)", "expected"))
         tables.setdefault(loaded, []).append((check, loaded, "count(*)", "loaded"))
-    for check, table, condition, label in RULES:
-        tables.setdefault(table, []).append((check, label, f"count_if({condition})", "loaded"))
+    for check, table, _, label in RULES:
+        tables.setdefault(table, []).append((check, label, rule_counts(table)[check], "loaded"))
 
     statements = []
     for table, entries in tables.items():
@@ -70,20 +77,49 @@ def _measures() -> tuple[str, set[str]]:
             SELECT '{check}', '{label}', count_if(n > 1), CAST(NULL AS BIGINT)
             FROM (SELECT count(*) AS n FROM {{{table}}} GROUP BY {key})""")
     names = set(tables) | {table for _, table, _, _ in UNIQUE}
-    return "\nUNION ALL\n".join(statements), names
+    folded = f"""
+        SELECT check_name, label, max(loaded) AS loaded, max(expected) AS expected
+        FROM ({_UNION_ALL.join(statements)}) GROUP BY check_name, label"""
+    return folded, names
+
+
+def grade(measures: DataFrame) -> DataFrame:
+    """(check_name, label, loaded, expected) as (check_name, status, detail).
+
+    A check without an expected number expects 0.
+    """
+    loaded, expected, label = F.col("loaded"), F.col("expected"), F.col("label")
+    found = F.concat(label, F.lit("="), loaded.cast("string"))
+    both = F.concat(F.lit("staging="), expected.cast("string"), F.lit(", "), found)
+    passed = loaded == F.coalesce(expected, F.lit(0))
+    return measures.select(
+        "check_name",
+        F.when(passed, "PASS").otherwise("FAIL").alias("status"),
+        F.when(expected.isNull(), found).otherwise(both).alias("detail"),
+    )
 
 
 def dq_suite(mart: Mapping[str, DataFrame]) -> DataFrame:
     """17 checks as (check_name, status, detail)."""
-    measures, names = _measures()
-    text = f"""
-        SELECT check_name,
-               CASE WHEN loaded = coalesce(expected, 0) THEN 'PASS' ELSE 'FAIL' END AS status,
-               CASE WHEN expected IS NULL THEN concat(label, '=', loaded)
-                    ELSE concat('staging=', expected, ', ', label, '=', loaded) END AS detail
-        FROM (SELECT check_name, label, max(loaded) AS loaded, max(expected) AS expected
-              FROM ({measures}) GROUP BY check_name, label)"""
-    return sql_over(mart, text, names)
+    return grade(sql_over(mart, *_measures()))
+
+
+def observed_suite(
+    spark: SparkSession,
+    rows: Mapping[str, int],
+    offending: Mapping[str, int],
+    duplicates: Mapping[tuple[str, str], int],
+) -> DataFrame:
+    """The same 17 checks from numbers observed while the tables were written.
+
+    ``rows`` counts each table, ``offending`` each rule, ``duplicates`` each
+    (table, key); all are single numbers, so nothing is scanned again.
+    """
+    measures = [(check, loaded, rows[loaded], rows[staged]) for check, staged, loaded in ROW_COUNTS]
+    measures += [(check, label, offending[check], None) for check, _, _, label in RULES]
+    measures += [(check, label, duplicates[table, key], None) for check, table, key, label in UNIQUE]
+    schema = "check_name string, label string, loaded bigint, expected bigint"
+    return grade(spark.createDataFrame(measures, schema))
 
 
 def _null(column: str) -> Column:
@@ -105,7 +141,7 @@ def dq1_row_counts(mart: Mapping[str, DataFrame]) -> DataFrame:
         ("wms_vs_fact_inventory", "stg_wms_inventory_movements", "fact_inventory_movements"),
         ("web_vs_fact_clickstream", "stg_web_clickstream_logs", "fact_web_clickstream"),
     )
-    text = "\nUNION ALL\n".join(
+    text = _UNION_ALL.join(
         f"SELECT '{check}' AS check_name, (SELECT count(*) FROM {{{staging}}}) AS staging_count,"
         f" (SELECT count(*) FROM {{{loaded}}}) AS mart_count"
         for check, staging, loaded in pairs

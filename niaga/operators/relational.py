@@ -15,10 +15,17 @@ def keep_first(df: DataFrame, key: str, arrival: str = ARRIVAL) -> DataFrame:
 
     Spark plans ``row_number() = 1`` with a group limit before the shuffle as
     well as after it, so each map task sends at most one row per key: a key
-    holding a third of the input does not land in one task.
+    holding a third of the input does not land in one task. Sorting on a hash
+    of the key first lets the sort compare numbers; texts with a common prefix
+    are compared only where the hashes are equal.
     """
-    first = Window.partitionBy(key).orderBy(arrival)
-    return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", arrival)
+    first = Window.partitionBy("_hash", key).orderBy(arrival)
+    return (
+        df.withColumn("_hash", F.xxhash64(key))
+        .withColumn("_n", F.row_number().over(first))
+        .where("_n = 1")
+        .drop("_hash", "_n", arrival)
+    )
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

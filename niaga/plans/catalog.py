@@ -115,6 +115,11 @@ def mart_of(spark: SparkSession, sf_dir: str) -> Mart:
     return _marts[key]
 
 
+def use_mart(spark: SparkSession, sf_dir: str, mart: Mart) -> None:
+    """Answer queries on ``sf_dir`` from a mart that is already loaded."""
+    _marts[spark.sparkContext.applicationId, sf_dir] = mart
+
+
 def _on_mart(report: Callable[[Mart], DataFrame]) -> Query:
     return lambda spark, sf_dir: report(mart_of(spark, sf_dir))
 

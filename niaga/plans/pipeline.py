@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from niaga.operators import dense_key
-from niaga.operators.constraints import all_constraints
-from niaga.operators.quality import dq_suite
+from niaga.operators.constraints import foreign_keys, natural_keys, null_counts, primary_keys
+from niaga.operators.quality import RULES, observed_suite, rule_counts
 from niaga.plans import dimensions, facts
 from niaga.schemas import (
     ARRIVAL,
@@ -80,6 +80,7 @@ class Load:
     run_id: str
     log: list[tuple] = field(default_factory=list)
     metrics: dict[str, dict] = field(default_factory=dict)
+    failed_checks: list[str] = field(default_factory=list)
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root, "runs", self.run_id, *parts))
@@ -123,8 +124,9 @@ class Load:
         """Append the rows of this run to the audit table, numbered after the earlier ones."""
         path = f"{self.root}/etl_run_log"
         last = self.spark.read.schema(AUDIT).parquet(path).agg(F.max("run_id")).head()[0] or 0
-        order = ("staging", "dimension", "fact")
-        ranked = sorted(self.log, key=lambda r: order.index(r[0].split("::")[0]))
+        steps = [f"staging::{s.staging}" for s in SOURCES.values()]
+        steps += [f"{'fact' if t.is_fact else 'dimension'}::{t.name}" for t in TABLES.values()]
+        ranked = sorted(self.log, key=lambda r: steps.index(r[0]))
         rows = [(last + i, *r) for i, r in enumerate(ranked, start=1)]
         self.spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("append").parquet(path)
 
@@ -160,7 +162,10 @@ def _stage(load: Load, name: str, rows: DataFrame) -> DataFrame:
 
 
 def _set_aside_rejects(load: Load, sources: Mapping[str, SourceFrame], strict: bool) -> None:
-    """Write unreadable source rows to their own table; a strict load stops there."""
+    """Write unreadable source rows to their own table; a strict load stops there.
+
+    Otherwise they are a failed check of the run.
+    """
     rejected = []
     for name, source in sources.items():
         if source.rejects is None:
@@ -169,37 +174,53 @@ def _set_aside_rejects(load: Load, sources: Mapping[str, SourceFrame], strict: b
         load.write(None, table, source.rejects)
         if load.metrics[table]["rows"]:
             rejected.append(f"{name}: {load.metrics[table]['rows']}")
+            load.failed_checks.append(f"unreadable_rows_{name}")
     if rejected and strict:
         raise SourceError(f"unreadable rows set aside below {load.path()}: {'; '.join(rejected)}")
 
 
+def _write_checked(load: Load, name: str, df: DataFrame, measures=None) -> DataFrame:
+    """Write a mart table, counting nulls and offending rows in the same pass."""
+    table = TABLES[name]
+    counts = {**null_counts(table), **rule_counts(name), **(measures or {})}
+    return load.write(
+        "fact" if table.is_fact else "dimension",
+        name,
+        df,
+        {key: F.expr(text) for key, text in counts.items()},
+        partition_by=MONTH if table.is_fact else None,
+    )
+
+
 def _load_calendar(load: Load) -> DataFrame:
     """``dim_date`` over the span the staging writes observed."""
     spans = [load.metrics[s.staging] for s in SOURCES.values() if s.event_time]
     first = min(m["min_ts"] for m in spans if m["min_ts"]).date()
     last = max(m["max_ts"] for m in spans if m["max_ts"]).date()
     days = dimensions.calendar(load.spark, first, last)
-    return load.write("dimension", "dim_date", dimensions.declared("dim_date", days))
+    return _write_checked(load, "dim_date", dimensions.declared("dim_date", days))
 
 
 def _load_dimension(load: Load, name: str, staged: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
     rows = dimensions.unkeyed_dimension(name, staged, snapshot)
     key, order = TABLES[name].primary_key, dimensions.KEY_ORDER[name]
     numbered = dense_key(rows, key, order, load.path("ordered", name))
-    return load.write("dimension", name, dimensions.declared(name, numbered))
+    return _write_checked(load, name, dimensions.declared(name, numbered))
+
+
+_FACT_TOTALS = {
+    "fact_orders": {"total_revenue": "sum(gross_revenue_idr)"},
+    "fact_inventory_movements": {"net_stock_change": "sum(signed_quantity)"},
+}
 
 
 def _load_fact(load: Load, name: str, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> None:
     rows = facts.unkeyed_fact(name, staged, dims)
     key, order = TABLES[name].primary_key, facts.KEY_ORDER[name]
     numbered = dense_key(rows, key, order, load.path("ordered", name))
-    measures = {
-        "fact_orders": lambda: {"total_revenue": F.sum("gross_revenue_idr")},
-        "fact_inventory_movements": lambda: {"net_stock_change": F.sum("signed_quantity")},
-    }.get(name, dict)()
     writes = {
-        name: lambda: load.write(
-            "fact", name, facts.stored_fact(name, numbered), measures, partition_by=MONTH
+        name: lambda: _write_checked(
+            load, name, facts.stored_fact(name, numbered), _FACT_TOTALS.get(name)
         )
     }
     aside = facts.ORPHAN_TABLE.get(name)
@@ -211,29 +232,70 @@ def _load_fact(load: Load, name: str, staged: dict[str, DataFrame], dims: dict[s
 def _build(
     load: Load, sources: Mapping[str, SourceFrame], snapshot: dt.date, strict_sources: bool
 ) -> None:
-    create_logs(load.spark, load.root)
+    """Write every table of the run; a failed step is logged before the error goes on."""
     try:
         _set_aside_rejects(load, sources, strict_sources)
-        staged = _together(
-            load.spark,
-            {
-                SOURCES[name].staging: lambda name=name: _stage(load, name, sources[name].rows)
-                for name in SOURCES
-            },
-        )
-        dims = {"dim_date": lambda: _load_calendar(load)}
+        jobs = {
+            SOURCES[name].staging: lambda name=name: _stage(load, name, sources[name].rows)
+            for name in SOURCES
+        }
+        staged = _together(load.spark, jobs)
+
+        jobs = {"dim_date": lambda: _load_calendar(load)}
         for name in dimensions.KEY_ORDER:
-            dims[name] = lambda name=name: _load_dimension(load, name, staged, snapshot)
-        loaded = _together(load.spark, dims)
-        _together(
-            load.spark,
-            {
-                name: lambda name=name: _load_fact(load, name, staged, loaded)
-                for name in facts.KEY_ORDER
-            },
-        )
-    finally:
+            jobs[name] = lambda name=name: _load_dimension(load, name, staged, snapshot)
+        dims = _together(load.spark, jobs)
+
+        jobs = {
+            name: lambda name=name: _load_fact(load, name, staged, dims) for name in facts.KEY_ORDER
+        }
+        _together(load.spark, jobs)
+    except Exception:
         load.save_log()
+        raise
+
+
+def _verify(load: Load, mart: Mart) -> list[str]:
+    """Check constraints, then store the quality suite; returns the failed checks.
+
+    Nulls and rules were counted while writing. Keys need a shuffle each, so
+    only those are computed here; each result is a row per declared constraint.
+    """
+    spark = load.spark
+    found = _together(
+        spark,
+        {
+            "log": load.save_log,
+            "pk": lambda: primary_keys(mart).collect(),
+            "unique": lambda: natural_keys(mart).collect(),
+            "fk": lambda: foreign_keys(mart).collect(),
+        },
+    )
+    violations = {
+        (r.table_name, r.constraint_name): r.violations
+        for kind in ("pk", "unique", "fk")
+        for r in found[kind]
+    }
+    for name, table in TABLES.items():
+        for constraint in null_counts(table):
+            violations[name, constraint] = load.metrics[name][constraint]
+    broken = [f"{table} {rule}: {n}" for (table, rule), n in sorted(violations.items()) if n]
+    if broken:
+        raise ConstraintViolation(f"run {load.run_id} not published: {'; '.join(broken)}")
+
+    suite = observed_suite(
+        spark,
+        rows={name: metrics["rows"] for name, metrics in load.metrics.items()},
+        offending={check: load.metrics[table][check] for check, table, _, _ in RULES},
+        duplicates={
+            (t.name, t.natural_key): violations[t.name, f"unique({t.natural_key})"]
+            for t in TABLES.values()
+            if t.natural_key
+        },
+    )
+    suite.coalesce(1).write.parquet(load.path("dq_results"))
+    results = load.read("dq_results", CHECK_RESULT).where("status = 'FAIL'").collect()
+    return sorted(load.failed_checks + [r.check_name for r in results])
 
 
 # --- entry points -------------------------------------------------------------------------
@@ -263,36 +325,25 @@ def run_load(
     load = _new_load(spark, root)
     _build(load, sources, snapshot, strict_sources)
     mart = open_run(spark, load.root, load.run_id)
-
-    def check() -> list:
-        dq_suite(mart).coalesce(1).write.parquet(load.path("dq_results"))
-        return load.read("dq_results", CHECK_RESULT).collect()
-
-    # both results are small: a row per broken constraint, and 17 checks
-    found = _together(
-        spark,
-        {
-            "broken": lambda: all_constraints(mart).where("violations > 0").collect(),
-            "checks": check,
-        },
-    )
-    if found["broken"]:
-        broken = "; ".join(f"{r.table_name} {r.constraint_name}: {r.violations}" for r in found["broken"])
-        raise ConstraintViolation(f"run {load.run_id} not published: {broken}")
-    results, run_id = found["checks"], load.run_id
-    failed = tuple(sorted(r.check_name for r in results if r.status == "FAIL"))
+    failed = tuple(_verify(load, mart))
     if failed and not publish_failed_checks:
-        raise QualityFailure(f"run {run_id} not published: {', '.join(failed)}")
+        raise QualityFailure(f"run {load.run_id} not published: {', '.join(failed)}")
 
-    row = [(run_id, len(failed), dt.datetime.now(dt.UTC))]
+    row = [(load.run_id, len(failed), dt.datetime.now(dt.UTC))]
     published = spark.createDataFrame(row, _PUBLISHED).coalesce(1)
     published.write.mode("append").parquet(f"{load.root}/published")
-    return LoadResult(run_id, mart, failed, load.metrics)
+    mart = mart.replaced(etl_run_log=_audit(spark, load.root))  # list its new files
+    return LoadResult(load.run_id, mart, failed, load.metrics)
 
 
 def _new_load(spark: SparkSession, root: str) -> Load:
-    run_id = f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    return Load(spark, root.rstrip("/"), run_id)
+    load = Load(
+        spark,
+        root.rstrip("/"),
+        f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}",
+    )
+    create_logs(spark, load.root)
+    return load
 
 
 def build_unpublished(
@@ -301,9 +352,14 @@ def build_unpublished(
     """A whole mart that is neither checked nor published, to run queries and checks on."""
     load = _new_load(spark, root)
     _build(load, sources, snapshot, strict_sources=True)
+    load.save_log()
     return open_run(spark, load.root, load.run_id)
 
 
+def _audit(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(AUDIT).parquet(f"{root}/etl_run_log")
+
+
 def open_run(spark: SparkSession, root: str, run_id: str) -> Mart:
     """The tables of one run. Schemas are declared, so no file is opened to infer them."""
 
@@ -313,7 +369,7 @@ def open_run(spark: SparkSession, root: str, run_id: str) -> Mart:
     tables = {s.staging: table(s.staging, s.schema) for s in SOURCES.values()}
     tables |= {t.name: table(t.name, t.stored_schema) for t in TABLES.values()}
     tables |= {name: table(name, schema) for name, schema in ORPHANS.items()}
-    tables["etl_run_log"] = spark.read.schema(AUDIT).parquet(f"{root}/etl_run_log")
+    tables["etl_run_log"] = _audit(spark, root)
     return Mart(tables)
 
 

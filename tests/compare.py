@@ -5,7 +5,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 import time
@@ -24,15 +23,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(value):
-    if isinstance(value, dt.datetime) and value.time() == dt.time():
-        return value
-    return value
-
-
 def _rows(names: list[str], rows) -> list[tuple]:
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
 SPARK_TYPES = {

@@ -157,9 +157,15 @@ def test_quality_suite_and_load_metrics(loaded):
     assert suite["business_rule_non_negative_margin"] == ("FAIL", "negative_margin_products=1")
     assert suite["fk_integrity_fact_orders_customer"] == ("PASS", "orphan_rows=0")
     assert set(result.failed_checks) == {k for k, v in suite.items() if v[0] == "FAIL"}
-    assert result.metrics["fact_orders"] == {"rows": 4, "total_revenue": 1400}
+    stored = result.mart["fact_orders"].sparkSession.read.parquet(
+        f"{loaded[0]}/runs/{result.run_id}/dq_results"
+    )
+    assert {r.check_name: (r.status, r.detail) for r in stored.collect()} == suite
+    assert result.metrics["fact_orders"]["rows"] == 4
+    assert result.metrics["fact_orders"]["total_revenue"] == 1400
     assert result.metrics["fact_inventory_movements"]["net_stock_change"] == 20
     assert result.metrics["orphan_orders"]["rows"] == 3
+    assert result.mart["etl_run_log"].where("status = 'SUCCESS'").count() == 15
     counts = {r.check_name: (r.staging_count, r.mart_count) for r in dq1_row_counts(result.mart).collect()}
     assert counts["crm_vs_dim_customer"] == (4, 3)
 
@@ -317,6 +323,7 @@ def test_unreadable_rows_are_set_aside_otherwise(spark, tmp_path):
         spark, rejecting(spark), str(tmp_path), SNAPSHOT, strict_sources=False, publish_failed_checks=True
     )
     assert result.mart["fact_orders"].count() == 2
+    assert "unreadable_rows_oms_orders" in result.failed_checks
     aside = spark.read.parquet(f"{tmp_path}/runs/{result.run_id}/rejects_stg_oms_orders").collect()
     assert [(r.order_id, r.bad_columns) for r in aside] == [("O9", "jumlah_barang, order_timestamp")]
 
