@@ -39,13 +39,22 @@ def lookup(rows: DataFrame, dim: DataFrame, on: str, dim_key: str, spread_by: st
     No broadcast hint: Spark broadcasts a dimension it measures to be small and
     otherwise shuffles, splitting skewed partitions. Rows without a key match
     nothing but would meet in one shuffle partition, so they are spread over
-    several thousand stand-in values; the null test keeps these from matching.
+    several thousand stand-in values; a flag keeps these from matching. The
+    stand-in takes the place of the key during the join: one text is shuffled,
+    not two.
     """
     stand_in = F.concat(F.lit("none-"), F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("string"))
-    keyed = rows.withColumn("_on", F.coalesce(F.col(on), stand_in))
-    match = (F.col("_on") == F.col("_dim_key")) & F.col(on).isNotNull()
-    joined = keyed.join(dim.withColumnRenamed(dim_key, "_dim_key"), match, "left")
-    return joined.drop("_on", "_dim_key")
+    keyed = (
+        rows.withColumn("_known", F.col(on).isNotNull())
+        .withColumn("_on", F.coalesce(F.col(on), stand_in))
+        .drop(on)
+    )
+    match = (F.col("_on") == F.col("_dim_key")) & F.col("_known")
+    return (
+        keyed.join(dim.withColumnRenamed(dim_key, "_dim_key"), match, "left")
+        .withColumn(on, F.when(F.col("_known"), F.col("_on")))
+        .drop("_known", "_on", "_dim_key")
+    )
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

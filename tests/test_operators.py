@@ -90,3 +90,38 @@ def test_top_is_planned_as_top_k(spark):
     best = top(df, 5, F.desc("v"), F.asc("id"))
     assert [r.id for r in best.collect()] == [6, 13, 20, 27, 34]
     assert "TakeOrderedAndProject" in plan_of(best)
+
+
+def test_lookup_splits_a_hot_key(spark, tmp_path):
+    """A key holding a third of the rows is split over tasks when the dimension is shuffled."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    rows = spark.range(0, 300000, 1, 16).select(
+        F.concat(F.lit("r"), F.col("id")).alias("id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"),
+    )
+    dim = spark.range(5000).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        F.col("id").alias("dk"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    dim.write.parquet(str(tmp_path / "dim"))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = lookup(
+            spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "dim")), "k", "k", "id"
+        )
+        rows_by_task = joined.withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    hot = [r.p for r in rows_by_task if r.dk == 0]
+    assert len(rows_by_task) == 300000 and len(hot) == 100000
+    assert all(r.dk == (0 if r.k == "hot" else int(r.k[1:])) for r in rows_by_task if r.k != "k0")
+    assert len(set(hot)) > 3
