@@ -150,17 +150,30 @@ KEY_ORDER = {
 }
 
 
+# Staging table each dimension reads.
+READS = {
+    "dim_customer": "stg_crm_user_profiles",
+    "dim_product": "stg_mdm_products",
+    "dim_warehouse": "stg_wms_inventory_movements",
+    "dim_payment_method": "stg_oms_orders",
+    "dim_device": "stg_web_clickstream_logs",
+    "dim_page": "stg_web_clickstream_logs",
+}
+
+
 def unkeyed_dimension(name: str, staged: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
     """Dimension ``name`` without its surrogate key."""
-    builders = {
-        "dim_customer": lambda: customers(staged["stg_crm_user_profiles"], snapshot),
-        "dim_product": lambda: products(staged["stg_mdm_products"]),
-        "dim_warehouse": lambda: warehouses(staged["stg_wms_inventory_movements"]),
-        "dim_payment_method": lambda: payment_methods(staged["stg_oms_orders"]),
-        "dim_device": lambda: devices(staged["stg_web_clickstream_logs"]),
-        "dim_page": lambda: pages(staged["stg_web_clickstream_logs"]),
-    }
-    return builders[name]()
+    rows = staged[READS[name]]
+    if name == "dim_customer":
+        return customers(rows, snapshot)
+    build = {
+        "dim_product": products,
+        "dim_warehouse": warehouses,
+        "dim_payment_method": payment_methods,
+        "dim_device": devices,
+        "dim_page": pages,
+    }[name]
+    return build(rows)
 
 
 def declared(name: str, df: DataFrame) -> DataFrame:

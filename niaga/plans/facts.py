@@ -136,25 +136,22 @@ def web_clickstream(web: DataFrame, customer: DataFrame, page: DataFrame, device
     )
 
 
-def unkeyed_fact(name: str, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+# Tables each fact reads.
+READS = {
+    "fact_orders": ("stg_oms_orders", "dim_customer", "dim_product", "dim_payment_method"),
+    "fact_inventory_movements": ("stg_wms_inventory_movements", "dim_product", "dim_warehouse"),
+    "fact_web_clickstream": ("stg_web_clickstream_logs", "dim_customer", "dim_page", "dim_device"),
+}
+
+
+def unkeyed_fact(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     """Fact ``name`` without its surrogate key."""
-    if name == "fact_orders":
-        return orders(
-            staged["stg_oms_orders"],
-            dims["dim_customer"],
-            dims["dim_product"],
-            dims["dim_payment_method"],
-        )
-    if name == "fact_inventory_movements":
-        return inventory_movements(
-            staged["stg_wms_inventory_movements"], dims["dim_product"], dims["dim_warehouse"]
-        )
-    return web_clickstream(
-        staged["stg_web_clickstream_logs"],
-        dims["dim_customer"],
-        dims["dim_page"],
-        dims["dim_device"],
-    )
+    build = {
+        "fact_orders": orders,
+        "fact_inventory_movements": inventory_movements,
+        "fact_web_clickstream": web_clickstream,
+    }[name]
+    return build(*(tables[table] for table in READS[name]))
 
 
 def stored_fact(name: str, keyed: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -36,7 +36,6 @@ from niaga.sources import SourceFrame
 from niaga.sources.files import SourceError
 
 SNAPSHOT_DATE = dt.date(2026, 7, 1)  # default day up to which tenure is counted
-_PARALLEL_JOBS = 8
 _PUBLISHED = columns("run_id string, failed_checks int, published_at timestamp")
 
 
@@ -139,7 +138,7 @@ def create_logs(spark: SparkSession, root: str) -> None:
 
 def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) -> dict:
     """Independent jobs submitted at once, so small ones fill idle executors."""
-    with ThreadPoolExecutor(_PARALLEL_JOBS) as pool:
+    with ThreadPoolExecutor(len(jobs)) as pool:
         running = {n: pool.submit(inheritable_thread_target(spark)(job)) for n, job in jobs.items()}
         return {name: future.result() for name, future in running.items()}
 
@@ -201,8 +200,8 @@ def _load_calendar(load: Load) -> DataFrame:
     return _write_checked(load, "dim_date", dimensions.declared("dim_date", days))
 
 
-def _load_dimension(load: Load, name: str, staged: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
-    rows = dimensions.unkeyed_dimension(name, staged, snapshot)
+def _load_dimension(load: Load, name: str, tables: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
+    rows = dimensions.unkeyed_dimension(name, tables, snapshot)
     key, order = TABLES[name].primary_key, dimensions.KEY_ORDER[name]
     numbered = dense_key(rows, key, order, load.path("ordered", name))
     return _write_checked(load, name, dimensions.declared(name, numbered))
@@ -214,8 +213,8 @@ _FACT_TOTALS = {
 }
 
 
-def _load_fact(load: Load, name: str, staged: dict[str, DataFrame], dims: dict[str, DataFrame]) -> None:
-    rows = facts.unkeyed_fact(name, staged, dims)
+def _load_fact(load: Load, name: str, tables: dict[str, DataFrame]) -> None:
+    rows = facts.unkeyed_fact(name, tables)
     key, order = TABLES[name].primary_key, facts.KEY_ORDER[name]
     numbered = dense_key(rows, key, order, load.path("ordered", name))
     writes = {
@@ -232,24 +231,31 @@ def _load_fact(load: Load, name: str, staged: dict[str, DataFrame], dims: dict[s
 def _build(
     load: Load, sources: Mapping[str, SourceFrame], snapshot: dt.date, strict_sources: bool
 ) -> None:
-    """Write every table of the run; a failed step is logged before the error goes on."""
+    """Write every table of the run, each as soon as the tables it reads are written.
+
+    A failed step is logged before the error goes on.
+    """
+    written: dict[str, Future] = {}
     try:
         _set_aside_rejects(load, sources, strict_sources)
-        jobs = {
-            SOURCES[name].staging: lambda name=name: _stage(load, name, sources[name].rows)
-            for name in SOURCES
-        }
-        staged = _together(load.spark, jobs)
-
-        jobs = {"dim_date": lambda: _load_calendar(load)}
-        for name in dimensions.KEY_ORDER:
-            jobs[name] = lambda name=name: _load_dimension(load, name, staged, snapshot)
-        dims = _together(load.spark, jobs)
-
-        jobs = {
-            name: lambda name=name: _load_fact(load, name, staged, dims) for name in facts.KEY_ORDER
-        }
-        _together(load.spark, jobs)
+        with ThreadPoolExecutor(len(SOURCES) + len(TABLES)) as pool:
+
+            def start(name: str, job: Callable[[dict], object], reads: Iterable[str] = ()) -> None:
+                def run():
+                    return job({table: written[table].result() for table in reads})
+
+                written[name] = pool.submit(inheritable_thread_target(load.spark)(run))
+
+            for name, source in SOURCES.items():
+                start(source.staging, lambda _, n=name: _stage(load, n, sources[n].rows))
+            timed = [s.staging for s in SOURCES.values() if s.event_time]
+            start("dim_date", lambda _: _load_calendar(load), timed)
+            for name, staging in dimensions.READS.items():
+                start(name, lambda t, n=name: _load_dimension(load, n, t, snapshot), [staging])
+            for name, reads in facts.READS.items():
+                start(name, lambda t, n=name: _load_fact(load, n, t), reads)
+        for table in written.values():
+            table.result()
     except Exception:
         load.save_log()
         raise

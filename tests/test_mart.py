@@ -328,6 +328,16 @@ def test_unreadable_rows_are_set_aside_otherwise(spark, tmp_path):
     assert [(r.order_id, r.bad_columns) for r in aside] == [("O9", "jumlah_barang, order_timestamp")]
 
 
+def test_sources_without_usable_rows(spark, tmp_path):
+    result = run_load(
+        spark, source_frames(spark, oms_orders=[], mdm_products=[]), str(tmp_path), SNAPSHOT, publish_failed_checks=True
+    )
+    assert result.mart["fact_orders"].count() == result.mart["dim_payment_method"].count() == 0
+    assert result.mart["orphan_movements"].count() == 6
+    assert result.metrics["fact_orders"]["rows"] == 0
+    assert kpis.kpi_margin(result.mart).head().margin_pct is None
+
+
 def test_failed_step_is_logged(spark, tmp_path):
     frames = source_frames(spark)
     broken = frames["oms_orders"].rows.withColumn("jumlah_barang", F.raise_error(F.lit("boom")).cast("int"))
