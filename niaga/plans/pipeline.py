@@ -146,36 +146,33 @@ def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) ->
 # --- the three layers ---------------------------------------------------------------------
 
 
-def _stage(load: Load, name: str, rows: DataFrame) -> DataFrame:
-    source = SOURCES[name]
+def _stage(load: Load, name: str, source: SourceFrame, strict: bool) -> DataFrame:
+    """Write one staging table. Unreadable rows go to a table of their own.
+
+    They are counted in the pass that writes the others and read again only if
+    there are any. They stop a strict load and are a failed check otherwise.
+    """
+    declared = SOURCES[name]
+    unreadable = Observation(f"{load.run_id}:unreadable:{name}")
+    rows = source.counted(unreadable) if source.counted else source.rows
     measures = {}
-    if source.event_time:
-        ts = F.col(source.event_time)
+    if declared.event_time:
+        ts = F.col(declared.event_time)
         measures = {"min_ts": F.min(ts), "max_ts": F.max(ts)}
     typed = rows.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in source.schema),
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.schema),
         ARRIVAL,
         F.current_timestamp().alias(LOADED_AT),
     )
-    return load.write("staging", source.staging, typed, measures)
-
-
-def _set_aside_rejects(load: Load, sources: Mapping[str, SourceFrame], strict: bool) -> None:
-    """Write unreadable source rows to their own table; a strict load stops there.
-
-    Otherwise they are a failed check of the run.
-    """
-    rejected = []
-    for name, source in sources.items():
-        if source.rejects is None:
-            continue
-        table = f"rejects_{SOURCES[name].staging}"
+    staged = load.write("staging", declared.staging, typed, measures)
+    rejected = unreadable.get["rejected"] if source.counted else 0
+    if rejected:
+        table = f"rejects_{declared.staging}"
         load.write(None, table, source.rejects)
-        if load.metrics[table]["rows"]:
-            rejected.append(f"{name}: {load.metrics[table]['rows']}")
-            load.failed_checks.append(f"unreadable_rows_{name}")
-    if rejected and strict:
-        raise SourceError(f"unreadable rows set aside below {load.path()}: {'; '.join(rejected)}")
+        load.failed_checks.append(f"unreadable_rows_{name}")
+        if strict:
+            raise SourceError(f"{name}: {rejected} unreadable rows set aside in {load.path(table)}")
+    return staged
 
 
 def _write_checked(load: Load, name: str, df: DataFrame, measures=None) -> DataFrame:
@@ -237,7 +234,6 @@ def _build(
     """
     written: dict[str, Future] = {}
     try:
-        _set_aside_rejects(load, sources, strict_sources)
         with ThreadPoolExecutor(len(SOURCES) + len(TABLES)) as pool:
 
             def start(name: str, job: Callable[[dict], object], reads: Iterable[str] = ()) -> None:
@@ -247,7 +243,7 @@ def _build(
                 written[name] = pool.submit(inheritable_thread_target(load.spark)(run))
 
             for name, source in SOURCES.items():
-                start(source.staging, lambda _, n=name: _stage(load, n, sources[n].rows))
+                start(source.staging, lambda _, n=name: _stage(load, n, sources[n], strict_sources))
             timed = [s.staging for s in SOURCES.values() if s.event_time]
             start("dim_date", lambda _: _load_calendar(load), timed)
             for name, staging in dimensions.READS.items():

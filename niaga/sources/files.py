@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,10 +20,15 @@ class SourceError(ValueError):
 
 @dataclass(frozen=True)
 class SourceFrame:
-    """Typed rows of one source, with ``_arrival``, and the rows that could not be used."""
+    """Typed rows of one source, with ``_arrival``, and the rows that could not be used.
+
+    ``counted`` gives the same rows and lets an observation count the unusable
+    ones (as ``rejected``) in the pass that reads them.
+    """
 
     rows: DataFrame
     rejects: DataFrame | None = None
+    counted: Callable[[Observation], DataFrame] | None = None
 
 
 def _csv(spark: SparkSession, multi_line: bool):
@@ -57,8 +62,9 @@ def read_csv(
     """One CSV source (a file or a folder of files) as declared columns.
 
     Columns are bound by header name, so their order is free and extra ones are
-    ignored. ``_arrival`` holds (file, block, position), which orders rows as
-    they stand in the files however the scan was split.
+    ignored. ``_arrival`` holds (file name, block, position), which orders rows
+    as they stand in the files however the scan was split. It is shuffled with
+    every row, so it holds the name of the file, not its path.
     """
     source = SOURCES[name]
     try:
@@ -80,7 +86,7 @@ def read_csv(
         raise SourceError(f"source '{name}' is empty: {path}")
 
     arrival = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
     )
@@ -104,13 +110,19 @@ def split_rejects(source: Source, text: DataFrame) -> SourceFrame:
             unreadable = typed[field.name].isNull()
         bad.append(F.when(unreadable, F.lit(field.name)))
     reason = F.concat_ws(", ", *bad)
-    rows = text.where(reason == "").select(
-        *(value.alias(name) for name, value in typed.items()), ARRIVAL
-    )
+
+    def usable(df: DataFrame) -> DataFrame:
+        return df.where(reason == "").select(
+            *(value.alias(name) for name, value in typed.items()), ARRIVAL
+        )
+
+    def counted(seen: Observation) -> DataFrame:
+        return usable(text.observe(seen, F.count_if(reason != "").alias("rejected")))
+
     rejects = text.where(reason != "").select(
         reason.alias("bad_columns"), *(f.name for f in source.schema)
     )
-    return SourceFrame(rows, rejects)
+    return SourceFrame(usable(text), rejects, counted)
 
 
 def read_all(spark: SparkSession, paths: Mapping[str, str], **options) -> dict[str, SourceFrame]:

@@ -314,7 +314,7 @@ def rejecting(spark) -> dict[str, SourceFrame]:
 
 
 def test_unreadable_rows_stop_a_strict_load(spark, tmp_path):
-    with pytest.raises(SourceError, match="oms_orders: 1"):
+    with pytest.raises(SourceError, match="oms_orders: 1 unreadable rows"):
         run_load(spark, rejecting(spark), str(tmp_path), SNAPSHOT)
 
 

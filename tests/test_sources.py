@@ -124,4 +124,30 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     path = write(tmp_path / "p.csv", PRODUCTS, 'P1,"two\nlines",b,1,2,True')
     source = read_csv(spark, "mdm_products", path, multi_line=True)
     assert rows(source) == [("P1", "two\nlines", "b", 1, 2, True)]
-    assert source.rows.select(F.col(ARRIVAL)["file"]).head()[0].endswith("p.csv")
+    assert source.rows.select(F.col(ARRIVAL)["file"]).head()[0] == "p.csv"
+
+
+def test_command_line_loads_and_reports(spark, tmp_path, capsys):
+    """CSV files in, a published mart, a report out, and exit status 1 for a failed check."""
+    from conftest import CRM, MDM, OMS, WEB, WMS
+
+    from niaga.__main__ import main
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, data in {
+        "crm_user_profiles": CRM, "mdm_products": MDM, "oms_orders": OMS,
+        "web_clickstream_logs": WEB, "wms_inventory_movements": WMS,
+    }.items():
+        header = ",".join(f.name for f in SOURCES[name].schema)
+        body = [",".join("" if v is None else str(v) for v in row) for row in data]
+        write(folder / f"{name}.csv", header, *body)
+    root = str(tmp_path / "root")
+    assert main(["load", "--root", root, "--input", str(folder), "--allow-failed-checks"]) == 1
+    assert main(["report", "b2_top_customers", "--root", root, "--csv", str(tmp_path / "out")]) == 0
+    out = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert [tuple(r)[:2] + (r.total_belanja_idr,) for r in out.collect()] == [("U2", "Budi", "800"), ("U1", "Ani", "200")]
+    assert main(["report", "a4_status_share", "--root", root]) == 0
+    window = ["--first", "2026-06-01", "--last", "2026-06-03"]
+    assert main(["report", "e1_daily_summary", "--root", root, *window]) == 0
+    assert "Cancelled" in capsys.readouterr().out
