@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from niaga.operators.constraints import duplicate_keys, sql_over
+from niaga.schemas import TABLES
 
 _UNION_ALL = "\nUNION ALL\n"
 
+# Names of the checks and labels of their numbers.
 # (check, staging table, mart table)
 ROW_COUNTS = (
     ("row_count_customer_staging_vs_dim", "stg_crm_user_profiles", "dim_customer"),
@@ -21,7 +23,6 @@ ROW_COUNTS = (
     ("row_count_clickstream_staging_vs_fact", "stg_web_clickstream_logs", "fact_web_clickstream"),
 )
 
-
 # (check, table, condition that no row may meet, label of the count)
 RULES = (
     ("fk_integrity_fact_orders_customer", "fact_orders", "customer_key IS NULL", "orphan_rows"),
@@ -122,10 +123,6 @@ def observed_suite(
     return grade(spark.createDataFrame(measures, schema))
 
 
-def _null(column: str) -> Column:
-    return F.col(column).isNull()
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -134,6 +131,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def dq1_row_counts(mart: Mapping[str, DataFrame]) -> DataFrame:
+    # Names of the checks.
     pairs = (
         ("crm_vs_dim_customer", "stg_crm_user_profiles", "dim_customer"),
         ("mdm_vs_dim_product", "stg_mdm_products", "dim_product"),
@@ -149,28 +147,28 @@ def dq1_row_counts(mart: Mapping[str, DataFrame]) -> DataFrame:
     return sql_over(mart, text, [t for _, *tables in pairs for t in tables])
 
 
+def _without_key(mart: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """Fact rows that lack a dimension key they must have, with their natural key."""
+    table = TABLES[name]
+    keys = [
+        fk.column
+        for fk in table.foreign_keys
+        if fk.parent != "dim_date" and fk.column not in table.nullable
+    ]
+    missing = reduce(lambda a, b: a | b, (F.col(key).isNull() for key in keys))
+    return mart[name].select(table.natural_key, *keys).where(missing)
+
+
 def dq2_orders_null_fk(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return (
-        mart["fact_orders"]
-        .select("order_id", "customer_key", "product_key", "payment_method_key")
-        .where(_null("customer_key") | _null("product_key") | _null("payment_method_key"))
-    )
+    return _without_key(mart, "fact_orders")
 
 
 def dq3_moves_null_fk(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return (
-        mart["fact_inventory_movements"]
-        .select("movement_id", "product_key", "warehouse_key")
-        .where(_null("product_key") | _null("warehouse_key"))
-    )
+    return _without_key(mart, "fact_inventory_movements")
 
 
 def dq4_clicks_null_fk(mart: Mapping[str, DataFrame]) -> DataFrame:
-    return (
-        mart["fact_web_clickstream"]
-        .select("log_id", "page_key", "device_key")
-        .where(_null("page_key") | _null("device_key"))
-    )
+    return _without_key(mart, "fact_web_clickstream")
 
 
 def dq5_duplicates(mart: Mapping[str, DataFrame]) -> DataFrame:

@@ -85,6 +85,7 @@ def fmt_kpi_labels(m: Tables) -> DataFrame:
 
 
 def home_source_counts(m: Tables) -> DataFrame:
+    # Labels of the sources.
     sources = (
         ("CRM (dim_customer)", "dim_customer"),
         ("MDM (dim_product)", "dim_product"),

@@ -1,5 +1,6 @@
 """Declared shape of every source, staging, dimension and fact table.
 
+Table and column names are fixed values: users' queries refer to them.
 Spark enforces neither keys nor foreign keys, so they are kept here as data
 and checked by :mod:`niaga.operators.constraints`.
 """

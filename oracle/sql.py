@@ -352,8 +352,7 @@ def b2(customers: str) -> str:
 def b3(customers: str) -> str:
     return f"""
         SELECT user_id, nama_lengkap, kota, account_tier, signup_date, tenure_days_as_of_load
-        FROM {customers} c LEFT JOIN fact_orders o ON c.customer_key = o.customer_key
-        WHERE order_key IS NULL
+        FROM {customers} WHERE customer_key NOT IN (SELECT customer_key FROM fact_orders)
         ORDER BY tenure_days_as_of_load DESC NULLS LAST, user_id LIMIT 20"""
 
 
@@ -381,7 +380,7 @@ def c3(clicks: str) -> str:
 
 def c4(clicks: str) -> str:
     seen = "count(DISTINCT w.customer_key)"
-    bought = "count(DISTINCT CASE WHEN o.order_key IS NOT NULL THEN w.customer_key END)"
+    bought = "count(DISTINCT w.customer_key) FILTER (o.order_key IS NOT NULL)"
     return f"""
         SELECT kota, {seen} AS jumlah_visitor, {bought} AS jumlah_yang_order,
                {ratio(bought, seen, 2, 100)} AS conversion_rate_pct
@@ -397,12 +396,14 @@ def d1(moves: str) -> str:
         GROUP BY ALL ORDER BY estimasi_stok_bersih, product_id, warehouse_name LIMIT 20"""
 
 
+DEFECT = "FILTER (jenis_mutasi = 'ADJUSTMENT_DEFECT')"
+
+
 def d3(moves: str) -> str:
-    broken = "jenis_mutasi = 'ADJUSTMENT_DEFECT'"
     return f"""
         SELECT product_id, nama_produk, kategori,
-               {big(f"sum(CASE WHEN {broken} THEN quantity_change ELSE 0 END)")} AS total_unit_rusak,
-               count(CASE WHEN {broken} THEN 1 END) AS jumlah_kejadian
+               {big(f"coalesce(sum(quantity_change) {DEFECT}, 0)")} AS total_unit_rusak,
+               count(*) {DEFECT} AS jumlah_kejadian
         FROM {moves} JOIN dim_product USING (product_key)
         GROUP BY ALL HAVING total_unit_rusak > 0
         ORDER BY total_unit_rusak DESC, product_id LIMIT 10"""
@@ -468,16 +469,17 @@ def percent(value: str) -> str:
 # --- headline numbers ---------------------------------------------------------------------------
 
 KPI = f"""
-    SELECT (SELECT {big("sum(gross_revenue_idr)")} FROM fact_orders) AS total_revenue,
-           (SELECT {big("sum(gross_profit_idr)")} FROM fact_orders) AS total_profit,
-           (SELECT count(*) FROM fact_orders) AS total_orders,
-           (SELECT count(*) FROM dim_customer) AS total_customers,
-           (SELECT sum(gross_revenue_idr)::DOUBLE / count(*) FROM fact_orders) AS avg_order_value,
-           (SELECT {ratio("sum(is_delivered)", "count(*)", 1, 100)} FROM fact_orders) AS delivered_rate,
-           (SELECT {ratio("sum(is_cancelled)", "count(*)", 1, 100)} FROM fact_orders) AS cancelled_rate,
-           (SELECT count(DISTINCT session_id) FROM fact_web_clickstream) AS total_web_sessions,
-           (SELECT count(*) FROM dim_product) AS total_products,
-           (SELECT {big("sum(signed_quantity)")} FROM fact_inventory_movements) AS net_stock_change"""
+    SELECT o.* EXCLUDE (n), n AS total_orders, c.*, p.*, w.*, i.*
+    FROM (SELECT {big("sum(gross_revenue_idr)")} AS total_revenue,
+                 {big("sum(gross_profit_idr)")} AS total_profit, count(*) AS n,
+                 sum(gross_revenue_idr)::DOUBLE / count(*) AS avg_order_value,
+                 {ratio("sum(is_delivered)", "count(*)", 1, 100)} AS delivered_rate,
+                 {ratio("sum(is_cancelled)", "count(*)", 1, 100)} AS cancelled_rate
+          FROM fact_orders) o,
+         (SELECT count(*) AS total_customers FROM dim_customer) c,
+         (SELECT count(*) AS total_products FROM dim_product) p,
+         (SELECT count(DISTINCT session_id) AS total_web_sessions FROM fact_web_clickstream) w,
+         (SELECT {big("sum(signed_quantity)")} AS net_stock_change FROM fact_inventory_movements) i"""
 
 
 def _counted(pairs) -> list[str]:
@@ -485,6 +487,7 @@ def _counted(pairs) -> list[str]:
 
 
 def _dq_suite() -> str:
+    # Names of the checks and labels of their numbers.
     counts = (
         ("row_count_customer_staging_vs_dim", "crm", "dim_customer"),
         ("row_count_product_staging_vs_dim", "mdm", "dim_product"),
@@ -585,8 +588,8 @@ def _bodies() -> dict[str, str]:
         )
     )
     q["order_date_span"] = """
-        SELECT min(full_date) AS min_d, max(full_date) AS max_d FROM dim_date d
-        WHERE EXISTS (SELECT 1 FROM fact_orders o WHERE o.date_key = d.date_key)"""
+        SELECT min(full_date) AS min_d, max(full_date) AS max_d FROM dim_date
+        WHERE date_key IN (SELECT date_key FROM fact_orders)"""
     q["run_metrics"] = union(
         f"SELECT '{name}' AS metric, {big(measure)} AS value FROM {table}"
         for name, table, measure in (
@@ -636,12 +639,11 @@ def _bodies() -> dict[str, str]:
         LEFT JOIN (SELECT date_key, count(*) AS g FROM fact_inventory_movements GROUP BY ALL)
             USING (date_key)
         WHERE full_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"""
-    broken = "CASE WHEN jenis_mutasi = 'ADJUSTMENT_DEFECT' THEN quantity_change ELSE 0 END"
     q["e2_category_risk"] = f"""
         SELECT kategori, {big("sum(gross_revenue_idr)")} AS total_revenue_idr,
-               {big(f"sum({broken})")} AS total_unit_rusak
-        FROM dim_product p LEFT JOIN fact_orders o ON p.product_key = o.product_key
-        LEFT JOIN fact_inventory_movements i ON p.product_key = i.product_key GROUP BY kategori"""
+               {big(f"coalesce(sum(quantity_change) {DEFECT}, 0)")} AS total_unit_rusak
+        FROM dim_product LEFT JOIN fact_orders USING (product_key)
+        LEFT JOIN fact_inventory_movements USING (product_key) GROUP BY kategori"""
     q["e2_category_risk_fixed"] = E2_FIXED.format(
         revenue="total_revenue_idr", defects="total_unit_rusak"
     )
@@ -750,15 +752,15 @@ def _bodies() -> dict[str, str]:
         f" (SELECT count(*) FROM {t}) AS mart_count"
         for name, s, t in pairs
     )
-    q["dq2_orders_null_fk"] = """
-        SELECT order_id, customer_key, product_key, payment_method_key FROM fact_orders
-        WHERE customer_key IS NULL OR product_key IS NULL OR payment_method_key IS NULL"""
-    q["dq3_moves_null_fk"] = """
-        SELECT movement_id, product_key, warehouse_key FROM fact_inventory_movements
-        WHERE product_key IS NULL OR warehouse_key IS NULL"""
-    q["dq4_clicks_null_fk"] = """
-        SELECT log_id, page_key, device_key FROM fact_web_clickstream
-        WHERE page_key IS NULL OR device_key IS NULL"""
+    for name, fact in (
+        ("dq2_orders_null_fk", "fact_orders"),
+        ("dq3_moves_null_fk", "fact_inventory_movements"),
+        ("dq4_clicks_null_fk", "fact_web_clickstream"),
+    ):
+        # every dimension key but the date, and the customer of a hit, must be present
+        keys = [k for f, k, _ in FOREIGN_KEYS if f == fact and k != "date_key" and k in COLUMNS[f].split()]
+        missing = " OR ".join(f"{k} IS NULL" for k in keys)
+        q[name] = f"SELECT {', '.join([NATURAL_KEYS[fact], *keys])} FROM {fact} WHERE {missing}"
     q["dq5_duplicates"] = union(
         f"SELECT '{t}.{k}' AS kolom, {k} AS nilai, count(*) AS jumlah FROM {t}"
         f" GROUP BY {k} HAVING count(*) > 1"
@@ -775,8 +777,8 @@ def _bodies() -> dict[str, str]:
         SELECT product_id, margin_idr, margin_pct FROM dim_product
         WHERE margin_pct < 0 OR margin_pct > 100"""
     q["dq8_date_fk"] = """
-        SELECT o.order_id, o.date_key FROM fact_orders o
-        LEFT JOIN dim_date d ON o.date_key = d.date_key WHERE d.date_key IS NULL"""
+        SELECT order_id, date_key FROM fact_orders
+        WHERE date_key NOT IN (SELECT date_key FROM dim_date)"""
 
     q["page_sales_filtered"] = f"""
         SELECT order_id, full_date, nama_lengkap, kota, nama_produk, kategori, payment_method_name,
