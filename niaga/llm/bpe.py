@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from niaga.llm.common import batch, kept, slices, text_buffer, texts
 
-KNOWN_MATCHES = 300_000  # matches a worker remembers; a speed-up only, any other is encoded again
+KNOWN_MATCHES = 100_000  # matches a worker remembers; a speed-up only, any other is encoded again
 
 
 def vocabulary(name: str = "byte_bpe_50k") -> dict[str, str]:

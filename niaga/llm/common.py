@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from niaga.session import shared_root
 
-SLICE_BYTES = 4 << 20  # text handled at once inside a task
+SLICE_BYTES = 1 << 20  # text handled at once inside a task
+BATCH_BYTES = 8 << 20  # of an Arrow batch; a longer text comes alone
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text), a null text as the empty one. All other columns are left out, whatever their names."""
+    """(doc_id, text), a null text as the empty one. All other columns are left out, whatever their names.
+
+    Arrow batches of the session are held to BATCH_BYTES, so that texts cross to Python in bounded portions.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),

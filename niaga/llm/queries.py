@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe
+from niaga.llm import bpe, quality, toxicity
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated quality score of every document."""
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calibrated toxicity score of every document."""
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and what they decode to, as digests."""
     back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
@@ -25,7 +37,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_byte_bpe,)}
+    return {f.__name__: f for f in (op1_quality, op4_toxicity, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -50,10 +50,14 @@ def _byte_values(lower: bool) -> np.ndarray:
     return values
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    space = np.zeros(256, bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
-    inside = ~space[data]
+def split(data: np.ndarray, offsets: np.ndarray, letters: bool = False) -> Words:
+    """letters: words are runs of ASCII letters and bytes of other characters instead."""
+    word = np.ones(256, bool)
+    word[[0x20, *range(0x09, 0x0E)]] = False
+    if letters:
+        word[:128] = False
+        word[65:91] = word[97:123] = True
+    inside = word[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -64,11 +68,15 @@ def split(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(first, last, np.searchsorted(first, offsets))
 
 
-def hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarray:
-    """A hash for each word, the same wherever it stands. lower: A-Z count as a-z."""
-    out = np.empty(len(words.first), np.uint64)
+def hashes(data: np.ndarray, words: Words, lower: bool = False, stems: tuple[int, ...] = ()) -> np.ndarray:
+    """A hash for each word, the same wherever it stands. lower: A-Z count as a-z.
+
+    stems: a further row for each number, with hashes of the words' first so many bytes.
+    """
+    lasts = [words.last, *(np.minimum(words.last, words.first + k) for k in stems)]
+    out = np.empty((len(lasts), len(words.first)), np.uint64)
     values, at = _byte_values(lower), 0
-    while at < len(out):
+    while at < len(words.first):
         begin = words.first[at]
         upto = max(at + 1, int(np.searchsorted(words.last, begin + SEGMENT, "right")))
         size = int(words.last[upto - 1] - begin)
@@ -76,9 +84,12 @@ def hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarray:
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum(values[data[begin : begin + size]] * up[:size], out=sums[1:])
         s = words.first[at:upto] - begin
-        out[at:upto] = (sums[words.last[at:upto] - begin] - sums[s]) * down[s]
+        before, undo = sums[s], down[s]
+        for row, last in zip(out, lasts, strict=True):
+            row[at:upto] = (sums[last[at:upto] - begin] - before) * undo
         at = upto
-    return mix(out)
+    out = mix(out)
+    return out if stems else out[0]
 
 
 def runs(hashed: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
