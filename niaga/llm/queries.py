@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, quality, toxicity
+from niaga.llm import bpe, packing, quality, toxicity
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 ids, as pieces."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated toxicity score of every document."""
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -37,7 +43,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op4_toxicity, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op4_toxicity, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
