@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, packing, quality, toxicity
+from niaga.llm import bpe, debruijn, packing, quality, setsketch, toxicity
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near-duplicates of every document."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without the 50-word runs of earlier documents, as a digest."""
     left = debruijn.remove_repeats(table(spark, sf_dir, "documents"))
@@ -49,7 +54,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op4_toxicity, op7_substring_dedup, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op4_toxicity, op5_setsketch, op7_substring_dedup, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
