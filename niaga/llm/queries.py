@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, packing, quality, setsketch, toxicity
+from niaga.llm import bpe, debruijn, hamming, packing, pivots, quality, setsketch, toxicity
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_pivot_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector among those of its label."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated toxicity score of every document."""
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -42,6 +47,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return hamming.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and what they decode to, as digests."""
     back = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
@@ -54,7 +64,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op4_toxicity, op5_setsketch, op7_substring_dedup, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality, op2_packing, op3_pivot_dedup, op4_toxicity, op5_setsketch, op7_substring_dedup, op8_multi_index, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
