@@ -1,8 +1,8 @@
 """Byte-level BPE encoding with offsets, and decoding (operator 9).
 
-Texts are cut by the pattern of the vocabulary. The tokenizers library encodes each distinct match of a slice that the
-worker has not met before, as one word, so that merges never cross a match; the ids of a text are those of its matches in
-order. Ids are held as little-endian unsigned 32-bit integers in a binary column, the form that is hashed and stored.
+Texts are cut by the pattern of the vocabulary. The bytes of a match are written as characters, and the BPE model of the
+tokenizers library encodes each distinct match that the worker has not met before, so that merges never cross a match; the
+ids of a text are those of its matches in order. Ids are held as little-endian unsigned 32-bit integers in a binary column, the form that is hashed and stored.
 
 Results for odd rows: a null text is encoded as the empty one (no ids); a null id stays null; repeated rows give repeated
 rows; other columns of the input are ignored; an empty table gives an empty one. A text of any length is one row.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from niaga.llm.common import batch, kept, slices, text_buffer, texts
 
-KNOWN_MATCHES = 100_000  # matches a worker remembers; a speed-up only, any other is encoded again
+KNOWN_MATCHES = 400_000  # matches a worker remembers; the older half is then forgotten and encoded again when met
 
 
 def vocabulary(name: str = "byte_bpe_50k") -> dict[str, str]:
@@ -34,31 +35,41 @@ def vocabulary(name: str = "byte_bpe_50k") -> dict[str, str]:
     }
 
 
+def byte_characters() -> list[str]:
+    """The character that a byte-level vocabulary writes for each byte: the visible Latin-1 ones stand for themselves, the
+    others are moved behind U+0100 in their order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(moved)) for b in range(256)]
+
+
 class Encoder:
     """Ids of texts as bytes of unsigned integers of ``width`` bytes."""
 
     def __init__(self, path: str, pattern: str, width: int = 4):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.words = Tokenizer.from_file(path)
-        self.words.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.model = Tokenizer.from_file(path).model  # the merges alone: no string of a text is a special token
+        self.written = {b: ord(c) for b, c in enumerate(byte_characters())}
         self.find = regex.compile(pattern).findall
         self.kind = f"<u{width}"
         self.known: dict[str, bytes] = {}
 
+    def match_ids(self, match: str) -> bytes:
+        written = match.encode().decode("latin-1").translate(self.written)
+        return np.array([token.id for token in self.model.tokenize(written)], self.kind).tobytes()
+
     def encode(self, values: list[str]) -> list[bytes]:
         matches = [self.find(v) for v in values]
+        if len(self.known) > KNOWN_MATCHES:
+            self.known = dict(islice(self.known.items(), KNOWN_MATCHES // 2, None))
         distinct: set[str] = set()
         for found in matches:
             distinct.update(found)
-        if len(self.known) > KNOWN_MATCHES:
-            self.known.clear()
-        new = [m for m in distinct if m not in self.known]
-        for match, coded in zip(new, self.words.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[match] = np.array(coded.ids, self.kind).tobytes()
+        for match in distinct.difference(self.known):
+            self.known[match] = self.match_ids(match)
         ids = self.known.__getitem__
         return [b"".join(map(ids, found)) for found in matches]
 
@@ -68,16 +79,10 @@ def encoder(path: str, pattern: str, width: int = 4) -> Encoder:
 
 
 def _byte_table(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all ids one after another, and where each id's bytes begin.
-
-    A byte-level vocabulary writes each byte as a printable character: the visible Latin-1 ones stand for
-    themselves, the others are moved behind U+0100 in their order.
-    """
+    """The bytes of all ids one after another, and where each id's bytes begin."""
     from tokenizers import Tokenizer
 
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = [b for b in range(256) if b not in set(plain)]
-    byte_of = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(moved)}
+    byte_of = {c: b for b, c in enumerate(byte_characters())}
     vocab = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
     pieces = [b""] * (max(vocab.values()) + 1)
     for token, i in vocab.items():
