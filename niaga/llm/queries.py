@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, hamming, packing, pivots, quality, setsketch, toxicity
+from niaga.llm import bpe, debruijn, hamming, packing, pii, pivots, quality, setsketch, toxicity, unigram
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every whole text."""
+    return unigram.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without the 50-word runs of earlier documents, as a digest."""
     left = debruijn.remove_repeats(table(spark, sf_dir, "documents"))
@@ -63,8 +68,32 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every whole text, and digests of the base ones."""
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2("base", 256).alias("base_sha256"),
+        F.col("found").alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_packing, op3_pivot_dedup, op4_toxicity, op5_setsketch, op7_substring_dedup, op8_multi_index, op9_byte_bpe)}
+    operators = (
+        op1_quality,
+        op2_packing,
+        op3_pivot_dedup,
+        op4_toxicity,
+        op5_setsketch,
+        op6_unigram_counts,
+        op7_substring_dedup,
+        op8_multi_index,
+        op9_byte_bpe,
+        op10_personal_data,
+    )
+    return {f.__name__: f for f in operators}
 
 
 def oracle_sql() -> dict[str, str]:
