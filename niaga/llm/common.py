@@ -78,3 +78,26 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+class Members:
+    """A Bloom filter of 64-bit keys, of one size at any number of keys: it may keep more than its keys, never less."""
+
+    BITS = 26  # 8 MB
+
+    def __init__(self, keys: DataFrame, column: str):
+        mask = (1 << self.BITS) - 1
+        places = F.array(F.col(column).bitwiseAND(mask), F.shiftright(column, 64 - self.BITS).bitwiseAND(mask))
+        bits = keys.select(F.explode(places).alias("p")).select(
+            F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit")
+        )
+        words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        self.words = np.zeros(1 << self.BITS - 6, np.int64)
+        self.words[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        mask = np.int64((1 << self.BITS) - 1)
+        out = np.ones(len(keys), bool)
+        for place in (keys & mask, (keys >> np.int64(64 - self.BITS)) & mask):
+            out &= (self.words[place >> 6] >> (place & 63)) & 1 == 1
+        return out
