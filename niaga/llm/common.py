@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from niaga.session import shared_root
 
@@ -32,6 +33,27 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
+def with_rest(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row, rest): as ``texts``, with the text's hash and all columns of the input as one struct."""
+    texts(docs)  # bounds the Arrow batches
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"), whole.alias("rest"))
+
+
+def restored(out: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` from ``rest``, with a changed text and its length."""
+    new = F.col(text)
+    changed = new != F.coalesce(F.col("rest.text").cast("string"), F.lit(""))
+    replaced = {"text": new, "n_chars": F.length(new)}
+    columns = [F.col(f"rest.`{c}`") for c in docs.columns]
+    columns = [
+        F.when(changed, replaced[c].cast(docs.schema[c].dataType)).otherwise(column) if c in replaced else column
+        for c, column in zip(docs.columns, columns, strict=True)
+    ]
+    return out.select(*[column.alias(c) for c, column in zip(docs.columns, columns, strict=True)])
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fifth of the rows that no model learns from. A row without an id is held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(True))
@@ -76,6 +98,17 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def passed(part: pa.RecordBatch, made: pa.RecordBatch) -> pa.RecordBatch:
+    """The made columns, and the input's ``rest`` behind them if it has one."""
+    return made.append_column("rest", part.column("rest")) if "rest" in part.schema.names else made
+
+
+def fields(rows: DataFrame, made: str) -> T.StructType:
+    """The schema of ``passed`` batches."""
+    schema = T.StructType.fromDDL(made)
+    return schema.add("rest", rows.schema["rest"].dataType) if "rest" in rows.columns else schema
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -101,3 +134,32 @@ class Members:
         for place in (keys & mask, (keys >> np.int64(64 - self.BITS)) & mask):
             out &= (self.words[place >> 6] >> (place & 63)) & 1 == 1
         return out
+
+
+def without(docs: DataFrame, rejected: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, text hash) is not in ``rejected``; of those in ``repeated`` one row each.
+
+    Rows that a fixed-size filter clears stay where they are. Only the others are shuffled for the exact test.
+    """
+    rows = with_rest(docs).select("doc_id", "row", "rest").withColumn("key", F.xxhash64("doc_id", "row"))
+    listed = rejected.select("doc_id", "row")
+    if repeated is not None:
+        listed = listed.unionByName(repeated.select("doc_id", "row"))
+    members = Members(listed.select(F.xxhash64("doc_id", "row").alias("key")), "key")
+
+    def chosen(inside: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                yield part.filter(pa.array(members.holds(part.column("key").to_numpy()) == inside))
+
+        return rows.mapInArrow(work, rows.schema)
+
+    match = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row"] == b["row"])
+    doubt = chosen(True)
+    listed = rejected.select("doc_id", "row").distinct()
+    doubt = doubt.join(listed, match(doubt, listed), "left_anti")
+    if repeated is not None:
+        again = repeated.select("doc_id", "row").distinct()
+        once = doubt.join(again, match(doubt, again), "left_semi").dropDuplicates(["doc_id", "row"])
+        doubt = doubt.join(again, match(doubt, again), "left_anti").unionByName(once)
+    return chosen(False).unionByName(doubt).select("rest.*")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niaga.llm import words
-from niaga.llm.common import Members, batch, cut, slices, text_buffer, texts
+from niaga.llm.common import Members, batch, cut, fields, passed, slices, text_buffer, with_rest
 
 WINDOW = 50
 ANCHOR = 12
@@ -120,14 +120,14 @@ def _window_hashes(sources: DataFrame, window: int) -> DataFrame:
 
 
 def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows (doc_id, row, text) that ``wanted`` (doc_id, row) may hold, before any shuffle of texts."""
+    """The rows whose (doc_id, row) ``wanted`` may hold, chosen before any shuffle of texts."""
     members = Members(wanted.select(F.xxhash64("doc_id", "row").alias("key")), "key")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            yield part.filter(pa.array(members.holds(part.column("key").to_numpy()))).select(["doc_id", "row", "text"])
+            yield part.filter(pa.array(members.holds(part.column("key").to_numpy()))).drop_columns(["key"])
 
-    return rows.withColumn("key", F.xxhash64("doc_id", "row")).mapInArrow(work, "doc_id long, row long, text string")
+    return rows.withColumn("key", F.xxhash64("doc_id", "row")).mapInArrow(work, rows.schema)
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -162,15 +162,16 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     return whole.unionByName(earlier).groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "behind")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, changed): kept holds the words that are left, joined by one space; changed is the text
-    with its layout where nothing was removed, else kept. Each row of the input gives one row."""
-    rows = texts(docs).withColumn("row", F.xxhash64("text"))
-    spans = cut(repeated_spans(rows, window))
+    with its layout where nothing was removed, else kept. Each row of the input gives one row, with carry also all its columns
+    as the struct ``rest``."""
+    rows = with_rest(docs) if carry else with_rest(docs).drop("rest")
+    spans = cut(repeated_spans(rows.select("doc_id", "text", "row"), window))
     kinds = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("changed", pa.string())]
     schema = pa.schema(kinds)
     members = Members(spans.select(F.xxhash64("doc_id", "row").alias("key")), "key")
-    fields = "doc_id long, n_words long, n_removed long, kept string, changed string"
+    made = fields(rows, "doc_id long, n_words long, n_removed long, kept string, changed string")
 
     def removed(part: pa.RecordBatch, listed: list) -> pa.RecordBatch:
         total, gone, kept, changed = [], [], [], []
@@ -186,7 +187,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             gone.append(n - len(own))
             kept.append(b" ".join(own).decode())
             changed.append(kept[-1] if gone[-1] else text)
-        return batch(schema, part.column("doc_id"), total, gone, kept, changed)
+        return passed(part, batch(schema, part.column("doc_id"), total, gone, kept, changed))
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -198,5 +199,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield removed(part, part.column("spans").to_pylist())
 
     keyed = rows.withColumn("key", F.xxhash64("doc_id", "row"))
-    marked = _only(rows, spans).join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans")
-    return keyed.mapInArrow(untouched, fields).unionByName(marked.mapInArrow(touched, fields))
+    marked = _only(rows, spans).join(spans, ["doc_id", "row"], "left")
+    return keyed.mapInArrow(untouched, made).unionByName(marked.mapInArrow(touched, made))

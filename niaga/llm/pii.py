@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niaga.llm.common import batch, slices, texts
+from niaga.llm.common import batch, fields, passed, slices, texts, with_rest
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = 6
@@ -271,10 +271,11 @@ def redacted(text: str, spans: list[tuple]) -> str:
     return "".join(out) + text[done:]
 
 
-def spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, spans, base, redacted) of every text; spans is an array of (kind, start, end, base, probability) by start and
-    kind, base the joined base spans, found all of them joined."""
+def spans(docs: DataFrame, model: Model | None = None, carry: bool = False) -> DataFrame:
+    """(doc_id, spans, base, found, redacted) of every text; spans is an array of (kind, start, end, base, probability) by start and
+    kind, base the joined base spans, found all of them joined; with carry also the struct ``rest`` of all input columns."""
     model = model or fit(docs)
+    texts_in = with_rest(docs) if carry else texts(docs)
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_()), ("probability", pa.float64())])
     kinds = [("doc_id", pa.int64()), ("spans", pa.list_(span)), ("base", pa.string()), ("found", pa.string()), ("redacted", pa.string())]
     schema = pa.schema(kinds)
@@ -285,7 +286,8 @@ def spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
             found = [accepted(text, model) for text in values]
             rows = [[{"kind": KINDS[k], "start": s, "end": e, "base": b, "probability": p} for s, k, e, b, p in f] for f in found]
             changed = [redacted(text, f) if f else text for text, f in zip(values, found, strict=True)]
-            yield batch(schema, part.column("doc_id"), rows, [joined([s for s in f if s[3]]) for f in found], [joined(f) for f in found], changed)
+            strict = [joined([s for s in f if s[3]]) for f in found]
+            yield passed(part, batch(schema, part.column("doc_id"), rows, strict, [joined(f) for f in found], changed))
 
-    fields = "doc_id long, spans array<struct<kind: string, start: long, end: long, base: boolean, probability: double>>"
-    return texts(docs).mapInArrow(work, f"{fields}, base string, found string, redacted string")
+    made = "doc_id long, spans array<struct<kind: string, start: long, end: long, base: boolean, probability: double>>"
+    return texts_in.mapInArrow(work, fields(texts_in, f"{made}, base string, found string, redacted string"))

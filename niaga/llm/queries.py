@@ -38,7 +38,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of near-duplicates of every document."""
-    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op6_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     operators = (
         op1_quality,
@@ -93,7 +100,7 @@ def queries() -> dict[str, Query]:
         op9_byte_bpe,
         op10_personal_data,
     )
-    return {f.__name__: f for f in operators}
+    return {f.__name__: f for f in operators} | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

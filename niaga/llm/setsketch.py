@@ -6,10 +6,10 @@ sketches merge by maximum. Arrivals after a time that fits the size of the set a
 element and some ten draws for a register, and a sketch with an empty register is made again with more time.
 
 Equal sets become one class first. Bands of registers put classes into buckets. In a bucket each class is compared with one
-leader (the class with most copies); classes of an unlinked remainder are then compared with all members of the bucket that are
-not yet connected to them, inside numpy and in blocks of bounded size, so a bucket of connected classes gives one row for each
-and never its pairs. A pair is estimated by the joint likelihood of its registers and its sizes; what may reach the threshold
-is confirmed on full sets made from the texts again. Components follow from the confirmed links.
+leader (the class with most copies); the classes that this leaves unlinked are then compared with all members of the bucket that
+are not yet connected to them, inside numpy and in blocks of bounded size, so a bucket gives one row for each class and never
+its pairs. A pair is estimated by the joint likelihood of its registers and its sizes; what may reach the threshold is confirmed
+on full sets made from the texts again. Components follow from the confirmed links.
 
 A pair at similarity 0.8 shares no band with probability 3e-6; the estimate must fall short by more than five of its standard
 deviations to lose a pair.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niaga.llm import graph, words
-from niaga.llm.common import batch, cut, slices, text_buffer, texts
+from niaga.llm.common import Members, batch, cut, slices, text_buffer, texts
 
 SHINGLE = 4
 SIMILARITY = 80  # per cent
@@ -40,7 +40,7 @@ RATE = 20.0  # arrivals of an element at a register in a unit of time
 LEVELS = 65534
 MARGIN = 0.2  # five standard deviations of the estimate at the threshold
 NO_ID = lambda c: F.coalesce(F.col(c), F.lit((1 << 63) - 1))  # noqa: E731  a null id, as a key behind all others
-LEADERS, MEMBERS = 256, 4096  # unlinked classes and members of a bucket in one block
+LEADERS, MEMBERS = 128, 1024  # unlinked classes and members of a bucket in one block
 
 
 def element_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -176,12 +176,23 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(work, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold. One text of each class is read again and joined to its pairs."""
-    wanted = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    sources = wanted.join(classes.select("c", "source.*"), "c")
+def _texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(c, text) of each class in ``wanted`` (c): one of its texts, read again; others are not shuffled."""
+    sources = cut(wanted.distinct().join(classes.select("c", "source.*"), "c"))
+    members = Members(sources.select("row"), "row")
     rows = texts(docs).select(NO_ID("doc_id").alias("id"), F.xxhash64("text").alias("row"), "text")
-    held = cut(rows.join(sources, ["id", "row"]).select("c", "text").dropDuplicates(["c"]))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield part.filter(pa.array(members.holds(part.column("row").to_numpy())))
+
+    found = rows.mapInArrow(work, "id long, row long, text string").join(sources, ["id", "row"])
+    return cut(found.select("c", "text").dropDuplicates(["c"]))
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    held = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("c")), classes, docs)
     both = pairs.join(held.select(F.col("c").alias("b"), F.col("text").alias("tb")), "b")
     both = both.join(held.select(F.col("c").alias("a"), F.col("text").alias("ta")), "a")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -189,23 +200,25 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in slices(iter([whole]), "tb"):
-                sets = [element_sets(*text_buffer(part.column(x)), k) for x in ("ta", "tb")]
-                (ab, ae), (bb, be) = sets
-                keep = []
+                (ab, ae), (bb, be) = (element_sets(*text_buffer(part.column(x)), k) for x in ("ta", "tb"))
+                linked = []
                 for i in range(part.num_rows):
                     x, y = ae[ab[i] : ab[i + 1]], be[bb[i] : bb[i + 1]]
                     shared = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * shared >= SIMILARITY * (len(x) + len(y) - shared))
-                yield batch(schema, part.column("a").filter(pa.array(keep, pa.bool_())), part.column("b").filter(pa.array(keep, pa.bool_())))
+                    linked.append(100 * shared >= SIMILARITY * (len(x) + len(y) - shared))
+                linked = pa.array(linked, pa.bool_())
+                yield batch(schema, part.column("a").filter(linked), part.column("b").filter(linked))
 
     return both.select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long")
 
 
-def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of buckets that are not yet connected and may reach the threshold.
+def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Confirmed links (a, b) between classes of a bucket that are not yet connected.
 
     The leader's component is the bucket's linked part. Every class outside it is compared with every member of another
-    component: blocks of LEADERS such classes against blocks of MEMBERS, inside numpy. Only likely pairs leave a block.
+    component, blocks of LEADERS such classes against blocks of MEMBERS. A first pass over sketches tells which classes may have
+    a partner at all; a second one compares the full sets of these. Pairs stay inside a block: what leaves it is one row for a
+    class, and one link from a class to a component.
     """
     root = roots.select(F.col("node").alias("c"), "root")
     with_root = buckets.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
@@ -215,36 +228,62 @@ def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame) -> Data
     size = size.filter("unlinked > 0 and members > 2").select(
         "band", "key", F.ceil(F.col("unlinked") / LEADERS).cast("int").alias("lb"), F.ceil(F.col("members") / MEMBERS).cast("int").alias("mb")
     )
-    rows = cut(open_ones.drop("leader", "copies", "linked").join(size, ["band", "key"]).join(classes.select("c", "n", "registers"), "c"))
+    rows = cut(open_ones.select("band", "key", "c", "root", "apart").join(size, ["band", "key"]).join(classes.select("c", "n", "registers"), "c"))
     spread = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.filter("apart").withColumn("l", spread("lb", 1)).withColumn("m", every("mb"))
-    right = rows.withColumn("m", spread("mb", 2)).withColumn("l", every("lb"))
     keys = ["band", "key", "l", "m"]
-    columns = [*keys, "c", "root", "n", "registers"]
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
-        out = []
+    def blocks(of: DataFrame, payload: str, work, schema: str) -> DataFrame:
+        left = of.filter("apart").withColumn("l", spread("lb", 1)).withColumn("m", every("mb"))
+        right = of.withColumn("m", spread("mb", 2)).withColumn("l", every("lb"))
+        columns = [*keys, "c", "root", "n", payload]
+        return left.select(columns).groupBy(keys).cogroup(right.select(columns).groupBy(keys)).applyInArrow(work, schema)
+
+    def part(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return tuple(t.column(c).combine_chunks().to_numpy() for c in ("c", "root", "n"))
+
+    def hopeful(x: pa.Table, y: pa.Table) -> pa.Table:
+        """The classes of a block that some other one may be linked to, by the sketches."""
+        found: set[int] = set()
+        if x.num_rows and y.num_rows:
+            (cx, ox, nx), (cy, oy, ny) = part(x), part(y)
+            rx, ry = (_matrix(t.column("registers").combine_chunks()) for t in (x, y))
+            for i in range(len(cx)):
+                fit = np.flatnonzero((oy != ox[i]) & (100 * np.minimum(ny, nx[i]) >= SIMILARITY * np.maximum(ny, nx[i])))
+                fit = fit[(ry[fit] == rx[i]).mean(axis=1) >= SIMILARITY / 100 - 2 * MARGIN]
+                if len(fit):
+                    near = likeliest(rx[i : i + 1], ry[fit], np.full(len(fit), nx[i]), ny[fit]) >= SIMILARITY / 100 - MARGIN
+                    if near.any():
+                        found.add(int(cx[i]))
+                        found.update(cy[fit[near]].tolist())
+        return pa.table({"c": pa.array(sorted(found), pa.int64())})
+
+    def confirmed(x: pa.Table, y: pa.Table) -> pa.Table:
+        """For each class on the left, one link to every component of the block that holds a similar set."""
+        a, b = [], []
         if x.num_rows and y.num_rows:
-            x, y = x.combine_chunks(), y.combine_chunks()
-            flat = lambda t, c: t.column(c).combine_chunks()
-            rx, ry = _matrix(flat(x, "registers")), _matrix(flat(y, "registers"))
-            cy, oy, ny = (flat(y, c).to_numpy() for c in ("c", "root", "n"))
-            for i in range(x.num_rows):
-                c, o, n = (flat(x, f)[i].as_py() for f in ("c", "root", "n"))
-                fit = (oy != o) & (100 * np.minimum(ny, n) >= SIMILARITY * np.maximum(ny, n))
-                fit = np.flatnonzero(fit)[(ry[fit] == rx[i]).mean(axis=1) >= SIMILARITY / 100 - 2 * MARGIN]
-                near = likeliest(rx[i : i + 1], ry[fit], np.full(len(fit), n), ny[fit]) if len(fit) else np.zeros(0)
-                out += [(min(c, int(d)), max(c, int(d))) for d in cy[fit[near >= SIMILARITY / 100 - MARGIN]]]
-        return pa.Table.from_batches([batch(schema, [a for a, _ in out], [b for _, b in out])])
-
-    blocks = left.select(columns).groupBy(keys).cogroup(right.select(columns).groupBy(keys))
-    return blocks.applyInArrow(compare, "a long, b long").distinct()
+            (cx, ox, _), (cy, oy, _) = part(x), part(y)
+            (xb, xe), (yb, ye) = (element_sets(*text_buffer(t.column("text").combine_chunks()), k) for t in (x, y))
+            sizes = np.diff(yb)
+            for i in range(len(cx)):
+                own = xe[xb[i] : xb[i + 1]]
+                at = np.minimum(np.searchsorted(own, ye), len(own) - 1)
+                shared = np.add.reduceat((own[at] == ye).astype(np.int64), yb[:-1])
+                linked = (oy != ox[i]) & (100 * shared >= SIMILARITY * (len(own) + sizes - shared))
+                _, one = np.unique(oy[linked], return_index=True)
+                a += [int(cx[i])] * len(one)
+                b += cy[linked][one].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    may = cut(blocks(rows, "registers", hopeful, "c long").distinct())
+    if may.isEmpty():
+        return may.select(F.col("c").alias("a"), F.col("c").alias("b"))
+    again = cut(rows.drop("registers").join(_texts_of(may, classes, docs), "c"))
+    return cut(blocks(again, "text", confirmed, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row. component_id is the smallest doc_id reachable by links."""
+    """(doc_id, row, n_shingles, component_id, kept) of every row; row is the hash of its text. component_id is the smallest doc_id reachable by links."""
     rows = cut(sketched(docs, k))
     classes = cut(
         rows.filter("c is not null")
@@ -264,12 +303,12 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     star = buckets.filter("c <> leader").select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")).distinct()
     links = cut(_confirmed(cut(_likely(star, classes)), classes, docs, k))
     roots = graph.components(links)
-    rest = cut(_remaining(buckets, classes, roots))
+    rest = _remaining(buckets, classes, roots, docs, k)
     if not rest.isEmpty():
-        roots = graph.components(links.unionByName(_confirmed(rest, classes, docs, k)))
+        roots = graph.components(links.unionByName(rest))
     root = classes.select("c", "first").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = root.join(root.groupBy("root").agg(F.min("first").alias("component")), "root").select("c", "component")
-    found = rows.select("doc_id", "n_shingles", "c").join(named, "c", "left")
+    found = rows.select("doc_id", "row", "n_shingles", "c").join(named, "c", "left")
     component = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
+    return found.select("doc_id", "row", "n_shingles", component.alias("component_id")).withColumn("kept", kept)

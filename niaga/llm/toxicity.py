@@ -129,10 +129,11 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def maximal_segments(docs: DataFrame, scores: np.ndarray) -> DataFrame:
-    """(doc_id, n_words, best, segments): every maximal segment of each whole text as byte offsets (first, behind) in its
+    """(doc_id, row, n_words, best, segments): every maximal segment of each whole text as byte offsets (first, behind) in its
     UTF-8 form and a score; best is the largest score, 0 without a segment."""
     segment = pa.list_(pa.struct([("first", pa.int64()), ("behind", pa.int64()), ("score", pa.float64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64()), ("segments", segment)])
+    kinds = [("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64())]
+    schema = pa.schema([*kinds, ("segments", segment)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -144,10 +145,10 @@ def maximal_segments(docs: DataFrame, scores: np.ndarray) -> DataFrame:
                 own = segments(scored[at : found.bounds[i + 1]])
                 best.append(max((s for *_, s in own), default=0.0))
                 listed.append([{"first": int(found.first[at + a] - begin), "behind": int(found.last[at + b - 1] - begin), "score": s} for a, b, s in own])
-            yield batch(schema, part.column("doc_id"), np.diff(found.bounds), best, listed)
+            yield batch(schema, part.column("doc_id"), part.column("row"), np.diff(found.bounds), best, listed)
 
-    fields = "doc_id long, n_words long, best double, segments array<struct<first: long, behind: long, score: double>>"
-    return texts(docs).mapInArrow(work, fields)
+    fields = "doc_id long, row long, n_words long, best double, segments array<struct<first: long, behind: long, score: double>>"
+    return texts(docs).withColumn("row", F.xxhash64("text")).mapInArrow(work, fields)
 
 
 def with_evidence(found: DataFrame, decay: float, scale: float) -> DataFrame:
@@ -162,7 +163,8 @@ def with_evidence(found: DataFrame, decay: float, scale: float) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = COUNTED) -> DataFrame:
-    """(doc_id, held_out, n_words, raw, score, passages) of every document; score is the calibrated share of toxic ones."""
+    """(doc_id, row, held_out, n_words, raw, passages, score) of every document; row is the hash of its text, score the
+    calibrated share of toxic ones."""
     rows = cut(calibration.training_labels(labels, label, bound))
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0  # these rows give no counts: they calibrate
     counts = word_counts(docs, rows.filter(~apart))
@@ -174,8 +176,8 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     n, total = clean.agg(F.count("*"), F.sum(F.col("n_words") * F.exp(-rate * F.col("best")))).first()
     scale = n / total if n and total else 0.1  # the likeliest K of an extreme-value law with this lambda
     model = calibration.fit(with_evidence(checked, rate, scale), "raw")
-    kinds = "doc_id long, held_out boolean, n_words long, raw double, passages array<struct<first: long, behind: long, score: double, expected: double>>, score double"
-    evident = with_evidence(found, rate, scale).select("doc_id", held_out().alias("held_out"), "n_words", "raw", "passages")
+    kinds = "doc_id long, row long, held_out boolean, n_words long, raw double, passages array<struct<first: long, behind: long, score: double, expected: double>>, score double"
+    evident = with_evidence(found, rate, scale).select("doc_id", "row", held_out().alias("held_out"), "n_words", "raw", "passages")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
