@@ -4,8 +4,9 @@ A rotation is learned on a bounded sample (principal directions, then iterative
 its binary code. A block of the index splits the codes into substrings of eight bits and has a table for each. A code within
 Hamming distance r of the query has, by the pigeonhole principle, a substring within floor(r / substrings): probing all values
 that near retrieves every code within the radius. The found vectors are reranked by their cosine in double precision. The
-radius grows until a vector nearer than the k-th one found would lie outside it with a chance of at most ``MISS``
-(the bits in which two vectors differ are taken as independent, each with the chance angle / pi).
+radius grows until a vector nearer than the k-th one found would lie outside it with a chance of at most ``MISS``: the bits in
+which two vectors differ are taken as independent, each with the chance angle / pi, and what true neighbours within the sample
+need beyond that is added.
 
 Queries and index rows meet in blocks of bounded size. Only the best k of each block reach the shuffle, and Spark's
 window keeps k rows of each query. Every row is indexed; the sample only fits the rotation.
@@ -54,12 +55,30 @@ def learned_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 30) ->
     return np.column_stack([main @ turn, random.normal(size=(d, bits - main.shape[1]))])
 
 
-def rotations(rows: DataFrame, bound: int = SAMPLE) -> dict[int, np.ndarray]:
-    """A rotation for each vector length of a bounded sample."""
+def learned_slack(sample: np.ndarray, rotation: np.ndarray, k: int = 5, queries: int = 200) -> int:
+    """The bits by which 99 in 100 true neighbours of sampled vectors stay within ``radius`` of the k-th one's cosine."""
+    x, made = unit(sample), codes(sample, rotation)
+    beyond = []
+    for i in range(0, len(x), max(1, len(x) // queries)):
+        cosines = x @ x[i]
+        cosines[i] = -2
+        near = np.argsort(-cosines)[:k]
+        apart = _ONES[made[near] ^ made[i]].sum(axis=1)
+        beyond += (apart - radius(float(cosines[near[-1]]))).tolist()
+    return max(0, int(np.ceil(np.quantile(beyond, 0.99))))
+
+
+def rotations(rows: DataFrame, bound: int = SAMPLE) -> dict[int, tuple[np.ndarray, int]]:
+    """A rotation, and the slack of its radius, for each vector length of a bounded sample."""
     sizes: dict[int, list] = {}
     for r in rows.select("v").orderBy(F.xxhash64("v"), "v").limit(bound).collect():
         sizes.setdefault(len(r.v), []).append(r.v)
-    return {d: learned_rotation(np.array(v, float)) for d, v in sizes.items() if len(v) >= 2 * BITS}
+    out = {}
+    for d, v in sizes.items():
+        if len(v) >= 2 * BITS:
+            rotation = learned_rotation(np.array(v, float))
+            out[d] = rotation, learned_slack(np.array(v, float), rotation)
+    return out
 
 
 def codes(v: np.ndarray, rotation: np.ndarray) -> np.ndarray:
@@ -97,7 +116,7 @@ class Index:
                     out.append(rows[starts[at] : starts[at + 1]])
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    def search(self, own: int, q: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, own: int, q: np.ndarray, code: np.ndarray, k: int, slack: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(vec_ids, cosines) of the k best found, nearest first, ties by the smaller id."""
         seen = self.ids == own
         norm = math.sqrt(float(q @ q))
@@ -115,7 +134,7 @@ class Index:
             scores = np.concatenate([scores, (self.v[now] * q).sum(axis=1) / (self.norm[now] * norm)])
             order = np.lexsort((self.ids[best], -scores))[:k]
             best, scores = best[order], scores[order]
-            if len(best) == k and reach >= radius(float(scores[-1])):
+            if len(best) == k and reach >= radius(float(scores[-1])) + slack:
                 break
         return self.ids[best], scores
 
@@ -139,12 +158,12 @@ def nearest(table: DataFrame, queries: Column | None = None, k: int = 5) -> Data
         if not index.num_rows or not asked.num_rows:
             return schema.empty_table()
         d = key[0].as_py()
-        rotation = learned[d] if d in learned else np.random.default_rng(d).normal(size=(d, BITS))
+        rotation, slack = learned[d] if d in learned else (np.random.default_rng(d).normal(size=(d, BITS)), 4)
         q = matrix(asked.column("v"))
         made = Index(index.column("vec_id").to_numpy(), matrix(index.column("v")), rotation)
         out: list[list] = [[], [], []]
         for own, vector, code in zip(asked.column("vec_id").to_pylist(), q, codes(q, rotation), strict=True):
-            ids, scores = made.search(own, vector, code, k)
+            ids, scores = made.search(own, vector, code, k, slack)
             out[0] += [own] * len(ids)
             out[1] += ids.tolist()
             out[2] += scores.tolist()
