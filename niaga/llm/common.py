@@ -67,6 +67,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def apart(df: DataFrame, column: str) -> DataFrame:
+    """The same rows, with an integer column made anew, so that Spark shuffles them for a join on it.
+
+    An aggregate lies already where its join would need it, and then both run in one stage, in which the skew join cannot
+    split a hot key of the other side. This shuffles the (much smaller) aggregate once more and lets it.
+    """
+    return df.withColumn(column, F.bitwise_not(F.bitwise_not(column)))
+
+
 def kept(name: str, make: Callable):
     """What a worker process makes once and keeps between its tasks (a tokenizer, a table of powers)."""
     store = sys.__dict__.setdefault("_niaga_kept", {})

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niaga.llm import words
-from niaga.llm.common import Members, batch, cut, fields, passed, slices, text_buffer, with_rest
+from niaga.llm.common import Members, apart, batch, cut, fields, passed, slices, text_buffer, with_rest
 
 WINDOW = 50
 ANCHOR = 12
@@ -136,14 +136,14 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     anchors = every.groupBy("h").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("least"), (F.min("s") == F.max("s")).alias("straight")
     )
-    shared = every.join(anchors.filter("n > 1").drop("n"), "h").filter("not straight or least < doc_id")
+    shared = every.join(apart(anchors.filter("n > 1").drop("n"), "h"), "h").filter("not straight or least < doc_id")
     shared = cut(shared.select("doc_id", "row", "place", F.when(~F.col("straight"), F.col("h")).alias("h"), F.when(~F.col("straight"), F.col("s")).alias("s")))
     straight = shared.filter("h is null")
 
     branching = shared.filter("h is not null")
     kinds = branching.groupBy(*CHUNK).agg(F.min(F.struct("doc_id", "row", "place")).alias("source"), F.count("*").alias("n"))
     kinds = cut(kinds.select(*CHUNK, "source.*", "n"))
-    several = cut(branching.join(kinds.filter("n > 1").select(*CHUNK, F.col("doc_id").alias("least")), CHUNK))
+    several = cut(branching.join(apart(kinds.filter("n > 1").select(*CHUNK, F.col("doc_id").alias("least")), "s"), CHUNK))
     later = several.filter("least < doc_id")
     first_ones = kinds.filter("n = 1").unionByName(several.filter("least = doc_id"), allowMissingColumns=True)
     whole = straight.select("doc_id", "row", "place").unionByName(later.select("doc_id", "row", "place"))
@@ -156,7 +156,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     read = cut(_window_hashes(_only(rows, by_text).join(by_text, ["doc_id", "row"]), window))
     single = read.select("doc_id", "row", "h", "first", F.posexplode("windows").alias("at", "w"))
     least = single.groupBy("h", "w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    earlier = single.join(least.drop("most"), ["h", "w"]).filter("least < doc_id")
+    earlier = single.join(apart(least.drop("most"), "w"), ["h", "w"]).filter("least < doc_id")
     begin = F.col("first") + F.col("at")
     earlier = earlier.select("doc_id", "row", begin.alias("first"), (begin + window).alias("behind"))
     return whole.unionByName(earlier).groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "behind")).alias("spans"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niaga.llm.common import cut
+from niaga.llm.common import apart, cut
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """(u, v, m): each neighbour of u with the least of u and all its neighbours. The least comes from a partial
     aggregate, and joins the edges of u as one row, so that a node with very many links is split by the skew join."""
     least = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return edges.join(least, "u")
+    return edges.join(apart(least, "u"), "u")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niaga.llm import graph
-from niaga.llm.common import batch, cut
+from niaga.llm.common import apart, batch, cut
 from niaga.llm.vectors import matrix, unit, usable, vectors
 
 THRESHOLD = 0.93
@@ -120,7 +120,7 @@ def linked(classes: DataFrame, points: dict[int, np.ndarray], threshold: float =
     posted = rows.select("label", "d", F.explode(own).alias("pivot"), "c", "copies", "v", "head")
     keys = ["label", "d", "pivot"]
     blocks = rows.select("label", "d", F.explode(own).alias("pivot")).groupBy(keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = posted.join(blocks, keys).withColumn("block", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
+    placed = posted.join(apart(blocks, "pivot"), keys).withColumn("block", F.pmod(F.xxhash64("c"), "blocks").cast("int"))
     # each block meets itself and every other block of its list
     meets = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     meets = meets.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))

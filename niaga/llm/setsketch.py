@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from niaga.llm import graph, words
-from niaga.llm.common import Members, batch, cut, slices, text_buffer, texts
+from niaga.llm.common import Members, apart, batch, cut, slices, text_buffer, texts
 
 SHINGLE = 4
 SIMILARITY = 80  # per cent
@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     bands = _bands(classes)
     lead = bands.groupBy("band", "key").agg(F.count("*").alias("m"), F.max(F.struct("copies", "c")).alias("top"))
     lead = lead.filter("m > 1").select("band", "key", F.col("top.c").alias("leader"))
-    buckets = cut(bands.join(lead, ["band", "key"]))
+    buckets = cut(bands.join(apart(lead, "key"), ["band", "key"]))
     star = buckets.filter("c <> leader").select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")).distinct()
     links = cut(_confirmed(cut(_likely(star, classes)), classes, docs, k))
     roots = graph.components(links)

@@ -95,15 +95,16 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
 
 def decay(scores: np.ndarray, weights: np.ndarray) -> float:
     """lambda > 0 with sum(weights * exp(lambda * score)) = 1, for scores of negative mean; 1 where no score is positive."""
-    share = weights / max(weights.sum(), 1e-12)
+    share, scores = weights[weights > 0] / max(weights.sum(), 1e-12), scores[weights > 0].astype(float)
     if not share[scores > 0].sum() or (share * scores).sum() >= 0:
         return 1.0
+    total = lambda rate: (share * np.exp(np.minimum(rate * scores, 700))).sum()
     low, high = 0.0, 1.0
-    while (share * np.exp(high * scores)).sum() < 1 and high < 64:
+    while total(high) < 1 and high < 64:
         low, high = high, high * 2
     for _ in range(60):
         middle = (low + high) / 2
-        low, high = (middle, high) if (share * np.exp(middle * scores)).sum() < 1 else (low, middle)
+        low, high = (middle, high) if total(middle) < 1 else (low, middle)
     return max((low + high) / 2, 1e-3)
 
 

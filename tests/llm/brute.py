@@ -71,7 +71,7 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
             digits = re.sub("[^0-9]", "", m.group())
             ok = {
                 "email": lambda m=m: True,
-                "ip": lambda m=m: all(int(p) <= 255 for p in m.group().split(".")),
+                "ip": lambda m=m: all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")),
                 "card": lambda d=digits: 12 <= len(d) <= 19 and luhn(d),
                 "phone": lambda d=digits: 9 <= len(d) <= 15,
             }[kind]()
