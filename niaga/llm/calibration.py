@@ -36,11 +36,12 @@ def bin_of(score: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(at, F.lit(0)), F.lit(BINS - 1))
 
 
-def isotonic(counts: np.ndarray, positives: np.ndarray) -> np.ndarray:
-    """The nondecreasing share of positives per bin (pool adjacent violators, one positive and one negative in advance)."""
+def isotonic(counts: np.ndarray, positives: np.ndarray, unknown: float = 0.5) -> np.ndarray:
+    """The nondecreasing share of positives per bin (pool adjacent violators, half a row of each class added to a block); without
+    any row ``unknown``."""
     used = np.flatnonzero(counts)
     if not len(used):
-        return np.full(len(counts), 0.5)
+        return np.full(len(counts), unknown)
     blocks: list[list[float]] = []  # weight, positives, bins
     for i in used:
         blocks.append([float(counts[i]), float(positives[i]), 1])
@@ -51,11 +52,11 @@ def isotonic(counts: np.ndarray, positives: np.ndarray) -> np.ndarray:
     return np.interp(np.arange(len(counts)), used, np.maximum.accumulate(shares))
 
 
-def fit(labelled: DataFrame, raw: str, label: str = "label") -> tuple[float, float, np.ndarray]:
+def fit(labelled: DataFrame, raw: str, label: str = "label", unknown: float = 0.5) -> tuple[float, float, np.ndarray]:
     """(low, high, share per bin) from rows with a raw score and a label; at most BINS rows reach the driver."""
     span = labelled.agg(F.min(raw).alias("low"), F.max(raw).alias("high")).first()
     if span is None or span.low is None:
-        return 0.0, 1.0, np.full(BINS, 0.5)
+        return 0.0, 1.0, np.full(BINS, unknown)
     binned = labelled.groupBy(bin_of(F.col(raw), span.low, span.high).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(label).alias("hits")
     )

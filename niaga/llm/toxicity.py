@@ -8,7 +8,8 @@ number of equals in clean text, K n exp(-lambda S): segments under a level are r
 calibrated by isotonic regression on training rows that gave no counts.
 
 Results for odd rows: a null or empty text has no segments and the score of a document without evidence; a null id counts as
-held out; repeated rows are scored alike; with no labelled row of a class all word scores are negative; other columns are
+held out; repeated rows are scored alike; with no labelled row of a class all word scores are
+negative, and without any to calibrate on each score is at most 0.001; other columns are
 ignored; an empty table gives an empty one. Only the text enters a score.
 """
 
@@ -29,6 +30,7 @@ STEMS = (4, 6)  # bytes
 PRIOR = 2000.0  # words that the prior is worth
 DRIFT = 0.25  # taken from each word's score: how fast a segment dies out in neutral text
 LEVEL = 0.05  # expected number of such segments in clean text, below which one is reported
+NO_EVIDENCE = -30.0  # the evidence of a text without any segment
 COUNTED = 100_000  # the most labelled rows (about) that are sent to the tasks that count
 
 
@@ -160,7 +162,8 @@ def with_evidence(found: DataFrame, decay: float, scale: float) -> DataFrame:
     listed = F.transform("segments", lambda s: s.withField("expected", F.exp(-surprise(s["score"]))))
     significant = F.filter(listed, lambda s: s["expected"] < LEVEL)
     total = F.aggregate(significant, F.lit(0.0), lambda t, s: t + surprise(s["score"]))
-    return found.withColumn("passages", significant).withColumn("raw", F.greatest(surprise(F.col("best")), total)).drop("segments")
+    raw = F.when(F.col("best") > 0, F.greatest(surprise(F.col("best")), total)).otherwise(NO_EVIDENCE)
+    return found.withColumn("passages", significant).withColumn("raw", raw).drop("segments")
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = COUNTED) -> DataFrame:
@@ -176,7 +179,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     clean = checked.filter("label = 0 and n_words > 0")
     n, total = clean.agg(F.count("*"), F.sum(F.col("n_words") * F.exp(-rate * F.col("best")))).first()
     scale = n / total if n and total else 0.1  # the likeliest K of an extreme-value law with this lambda
-    model = calibration.fit(with_evidence(checked, rate, scale), "raw")
+    model = calibration.fit(with_evidence(checked, rate, scale), "raw", unknown=0.0)
     kinds = "doc_id long, row long, held_out boolean, n_words long, raw double, passages array<struct<first: long, behind: long, score: double, expected: double>>, score double"
     evident = with_evidence(found, rate, scale).select("doc_id", "row", held_out().alias("held_out"), "n_words", "raw", "passages")
 
