@@ -19,7 +19,6 @@ candidate for a query of its own id; ties go to the smaller vec_id; other column
 from __future__ import annotations
 
 import math
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -97,11 +96,19 @@ def radius(cosine: float, bits: int = BITS, miss: float = MISS) -> int:
     return bits
 
 
+_RADII = np.array([radius(i / 1000 - 1) for i in range(2001)])  # of the cosine rounded down: never too small
+
+
+# the values that lie at each Hamming distance from zero
+_AT = [np.flatnonzero(_ONES == distance) for distance in range(SUB + 1)]
+
+
 class Index:
     """One table per substring: which rows have which value."""
 
     def __init__(self, ids: np.ndarray, v: np.ndarray, rotation: np.ndarray):
         self.ids, self.v, self.norm = ids, v, np.sqrt((v * v).sum(axis=1))
+        self.near = unit(v).astype(np.float32)  # for a first ranking; results are computed in double precision
         self.codes = codes(v, rotation)
         self.rows = [np.argsort(c, kind="stable") for c in self.codes.T]
         self.starts = [np.searchsorted(c[o], np.arange(257)) for c, o in zip(self.codes.T, self.rows, strict=True)]
@@ -110,33 +117,42 @@ class Index:
         """Rows with a substring at exactly this distance from the query's (a row may come several times)."""
         out = []
         for value, rows, starts in zip(code, self.rows, self.starts, strict=True):
-            for flips in combinations(range(SUB), distance):
-                at = int(value) ^ sum(1 << f for f in flips)
-                if starts[at] < starts[at + 1]:
-                    out.append(rows[starts[at] : starts[at + 1]])
-        return np.concatenate(out) if out else np.zeros(0, np.int64)
+            at = _AT[distance] ^ int(value)
+            first, n = starts[at], starts[at + 1] - starts[at]
+            out.append(rows[np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)])
+        return np.concatenate(out)
+
+    @staticmethod
+    def radius(cosine: float) -> int:
+        return int(_RADII[min(2000, max(0, int((cosine + 1) * 1000)))])
+
+    def best(self, rows: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, cosines) of the k nearest, nearest first, ties by the smaller id."""
+        norm = math.sqrt(float(q @ q))
+        if len(rows) > 4 * k:
+            rough = self.near[rows] @ (q / norm).astype(np.float32)
+            rows = rows[rough >= np.partition(rough, -k)[-k] - 1e-4]  # far more than single precision may err
+        scores = (self.v[rows] * q).sum(axis=1) / (self.norm[rows] * norm)
+        order = np.lexsort((self.ids[rows], -scores))[:k]
+        return rows[order], scores[order]
 
     def search(self, own: int, q: np.ndarray, code: np.ndarray, k: int, slack: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(vec_ids, cosines) of the k best found, nearest first, ties by the smaller id."""
-        seen = self.ids == own
-        norm = math.sqrt(float(q @ q))
-        best, scores, parts = np.zeros(0, np.int64), np.zeros(0), len(code)
-        waiting = np.zeros(0, np.int64)
-        for distance in range(SUB + 1):
-            found = self.probe(code, distance)
-            found = np.unique(found[~seen[found]])
-            seen[found] = True
-            waiting = np.concatenate([waiting, found])
-            reach = parts * (distance + 1) - 1  # every code within this radius has been probed
-            apart = _ONES[self.codes[waiting] ^ code].sum(axis=1)
-            now, waiting = waiting[apart <= reach], waiting[apart > reach]
-            best = np.concatenate([best, now])
-            scores = np.concatenate([scores, (self.v[now] * q).sum(axis=1) / (self.norm[now] * norm)])
-            order = np.lexsort((self.ids[best], -scores))[:k]
-            best, scores = best[order], scores[order]
-            if len(best) == k and reach >= radius(float(scores[-1])) + slack:
-                break
-        return self.ids[best], scores
+        parts, probed, wanted = len(code), 0, 0
+        retrieved = np.zeros(len(self.ids), bool)
+        while True:
+            while probed <= wanted:
+                retrieved[self.probe(code, probed)] = True
+                probed += 1
+            reach = parts * probed - 1  # every code within this radius has been probed
+            found = np.flatnonzero(retrieved & (self.ids != own))
+            found = found[_ONES[self.codes[found] ^ code].sum(axis=1) <= reach]
+            rows, scores = self.best(found, q, k)
+            if probed > SUB or len(rows) == k and reach >= self.radius(scores[-1]) + slack:
+                return self.ids[rows], scores
+            # as far as the k-th one asks; it only comes nearer with more rows
+            need = self.radius(scores[-1]) + slack if len(rows) == k else reach + 1
+            wanted = min(SUB, max(probed, (need + 1 + parts - 1) // parts - 1))
 
 
 def nearest(table: DataFrame, queries: Column | None = None, k: int = 5) -> DataFrame:
