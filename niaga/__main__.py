@@ -1,9 +1,10 @@
 """Command line: load a mart from CSV folders or files, and run its reports.
 
-    spark-submit -m niaga load --root ROOT --input FOLDER
-    spark-submit -m niaga report a1_monthly_kpi --root ROOT [--csv FOLDER]
+    python -m niaga load --root ROOT --input FOLDER
+    python -m niaga report a1_monthly_kpi --root ROOT [--csv FOLDER] [--where kota=Medan] [--first DAY --last DAY]
 
-``load`` exits with 1 when a quality check failed.
+On a cluster: ``spark-submit --py-files niaga.zip niaga/__main__.py load ...``. ``load`` exits with 1 when a quality
+check failed.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ import datetime as dt
 import logging
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from niaga.plans import reports
+from niaga.plans import pages, reports
 from niaga.plans.catalog import REPORTS
-from niaga.plans.pipeline import SNAPSHOT_DATE, open_latest, run_load
+from niaga.plans.pipeline import SNAPSHOT_DATE, Mart, open_latest, run_load
 from niaga.schemas import SOURCES
 from niaga.sources import export_csv, read_all
 
@@ -34,14 +35,58 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--snapshot", type=day, default=SNAPSHOT_DATE)
     load.add_argument("--allow-failed-checks", action="store_true", help="publish, but still exit 1")
     load.add_argument("--skip-unreadable-rows", action="store_true")
-    load.add_argument("--multi-line", action="store_true", help="quoted cells hold line breaks")
+    load.add_argument(
+        "--multi-line", action="store_true", help="quoted cells hold line breaks; each file is then read by one task"
+    )
     report = commands.add_parser("report", help="run one report on the published mart")
-    report.add_argument("name", choices=sorted([*REPORTS, "e1_daily_summary"]))
+    report.add_argument("name", choices=sorted([*REPORTS, *PAGES, "e1_daily_summary"]))
     report.add_argument("--root", required=True)
     report.add_argument("--csv", help="write the result there instead of printing it")
-    report.add_argument("--first", type=day, help="e1_daily_summary: first day")
-    report.add_argument("--last", type=day, help="e1_daily_summary: last day")
-    return parser.parse_args(argv)
+    report.add_argument("--where", action="append", default=[], metavar="COLUMN=VALUE", help="a filter; may be repeated")
+    report.add_argument("--first", type=day, help="first day (default: the first day with an order)")
+    report.add_argument("--last", type=day, help="last day (default: the last day with an order)")
+    args = parser.parse_args(argv)
+    if args.command == "report" and not all("=" in chosen for chosen in args.where):
+        parser.error("--where takes COLUMN=VALUE")
+    return args
+
+
+PAGES = {
+    f.__name__: f
+    for f in (
+        pages.sales_detail,
+        pages.customer_detail,
+        pages.web_detail,
+        pages.inventory_detail,
+        pages.daily_sales,
+        pages.signup_trend,
+        pages.warehouse_volume,
+        pages.category_scatter,
+    )
+}
+
+
+def _report(args: argparse.Namespace, mart: Mart) -> DataFrame:
+    """The report under the chosen filters and days."""
+    days = None
+    if args.first or args.last or args.name == "e1_daily_summary":
+        span = pages.order_date_span(mart).first()
+        days = (args.first or span.min_d or dt.date.min, args.last or span.max_d or dt.date.max)
+    choices: dict[str, list[str]] = {}
+    for column, value in (chosen.split("=", 1) for chosen in args.where):
+        choices.setdefault(column, []).append(value)
+    if choices or days:
+        mart = pages.apply_filters(mart, choices, days)
+    if args.name == "e1_daily_summary":
+        return reports.e1_daily_summary(mart, *days)
+    return (REPORTS.get(args.name) or PAGES[args.name])(mart)
+
+
+def _print(result: DataFrame) -> None:
+    """All rows, a partition at a time."""
+    print("\t".join(result.columns))
+    for row in result.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -49,14 +94,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("niaga").getOrCreate()
     if args.command == "report":
         mart = open_latest(spark, args.root)
-        if args.name == "e1_daily_summary":
-            result = reports.e1_daily_summary(mart, args.first, args.last)
-        else:
-            result = REPORTS[args.name](mart)
+        result = _report(args, mart)
         if args.csv:
             export_csv(result, args.csv)
         else:
-            result.show(100, truncate=False)
+            _print(result)
         return 0
 
     paths = {name: f"{args.input.rstrip('/')}/{name}.csv" for name in SOURCES}

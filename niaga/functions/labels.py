@@ -29,6 +29,13 @@ def number_label(value: Column, decimals: int = 0) -> Column:
     return F.when(v.isNull() | F.isnan(v), F.lit("0")).otherwise(text)
 
 
+def title_case(text: Column) -> Column:
+    """Every run of letters begins with a capital and goes on in small letters: ``BANDA_ACEH`` gives ``Banda_Aceh``."""
+    runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
+    capital = F.transform(runs, lambda r: F.concat(F.upper(F.left(r, F.lit(1))), F.lower(F.substr(r, F.lit(2)))))
+    return F.array_join(capital, "")
+
+
 def percent_label(value: Column, decimals: int = 1) -> Column:
     """Decimal comma, no thousands separator."""
     v = value.cast("double")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from niaga.schemas import TABLES, ForeignKey, Table
+from niaga.schemas import AUDIT_KEY, TABLES, ForeignKey, Table
 
 
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
@@ -48,11 +48,11 @@ def sql_over(tables: Mapping[str, DataFrame], text: str, names: Iterable[str]) -
     return spark.sql(text, **used)
 
 
-def _unique(table: Table, kind: str, column: str) -> str:
+def _unique(table: str, kind: str, column: str) -> str:
     return f"""
-        SELECT '{table.name}' AS table_name, '{kind}({column})' AS constraint_name,
+        SELECT '{table}' AS table_name, '{kind}({column})' AS constraint_name,
                count_if(n > 1 OR k IS NULL) AS violations
-        FROM (SELECT {column} AS k, count(*) AS n FROM {{{table.name}}} GROUP BY {column})"""
+        FROM (SELECT {column} AS k, count(*) AS n FROM {{{table}}} GROUP BY {column})"""
 
 
 def _not_null(table: Table) -> str:
@@ -75,11 +75,11 @@ def _foreign_key(table: Table, fk: ForeignKey) -> str:
 
 
 def _primary_keys() -> list[str]:
-    return [_unique(t, "pk", t.primary_key) for t in TABLES.values()]
+    return [_unique(name, "pk", key) for name, key in [*((t.name, t.primary_key) for t in TABLES.values()), AUDIT_KEY]]
 
 
 def _natural_keys() -> list[str]:
-    return [_unique(t, "unique", t.natural_key) for t in TABLES.values() if t.natural_key]
+    return [_unique(t.name, "unique", t.natural_key) for t in TABLES.values() if t.natural_key]
 
 
 def _foreign_keys() -> list[str]:
@@ -87,7 +87,8 @@ def _foreign_keys() -> list[str]:
 
 
 def _summary(mart: Mapping[str, DataFrame], statements: list[str]) -> DataFrame:
-    return sql_over(mart, "\nUNION ALL\n".join(statements), TABLES)
+    used = [name for name in [*TABLES, AUDIT_KEY[0]] if any(f"{{{name}}}" in s for s in statements)]
+    return sql_over(mart, "\nUNION ALL\n".join(statements), used)
 
 
 def primary_keys(mart: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from niaga.operators.constraints import duplicate_keys, sql_over
@@ -216,6 +216,13 @@ def dq8_date_fk(mart: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def audit_ranks(mart: Mapping[str, DataFrame]) -> DataFrame:
+    """The steps that ``dq9_audit_history`` shows, numbered as they stand there and without their times."""
+    latest = mart["etl_run_log"].orderBy(F.desc("run_id")).limit(20)  # so the window below sees 20 rows
+    position = F.row_number().over(Window.orderBy(F.desc("run_id")))
+    return latest.select(position.alias("position"), "step_name", "status", "row_count")
+
+
 def dq9_audit_history(mart: Mapping[str, DataFrame]) -> DataFrame:
     return (
         mart["etl_run_log"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from niaga.functions import date_key
 from niaga.operators import constraints, quality
 from niaga.plans import dimensions, kpis, pages, reports
+from niaga.plans.faults import CHECKED, with_faults
 from niaga.plans.pipeline import Mart, build_unpublished
 from niaga.schemas import LOADED_AT, MONTH, ORPHANS, SOURCES, TABLES
 from niaga.session import shared_root
@@ -99,6 +101,7 @@ REPORTS: dict[str, Callable[[Mart], DataFrame]] = {
 }
 
 _marts: dict[tuple[str, str], Mart] = {}
+_building = threading.Lock()
 
 
 def mart_of(spark: SparkSession, sf_dir: str) -> Mart:
@@ -108,11 +111,12 @@ def mart_of(spark: SparkSession, sf_dir: str) -> Mart:
     scan those tables instead of repeating de-duplication and key lookups.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _marts:
-        folder = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
-        root = f"{shared_root(spark)}/niaga/{key[0]}/{folder}"
-        _marts[key] = build_unpublished(spark, sample_sources(spark, sf_dir), root, SNAPSHOT)
-    return _marts[key]
+    with _building:
+        if key not in _marts:
+            folder = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+            root = f"{shared_root(spark)}/niaga/{key[0]}/{folder}"
+            _marts[key] = build_unpublished(spark, sample_sources(spark, sf_dir), root, SNAPSHOT)
+        return _marts[key]
 
 
 def use_mart(spark: SparkSession, sf_dir: str, mart: Mart) -> None:
@@ -156,6 +160,11 @@ def _param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.run_query(spark, mart_of(spark, sf_dir), PARAM_QUERY, args)
 
 
+def _narrow(m: Mart) -> DataFrame:
+    report = reports.e2_category_risk(m)
+    return report.select(*(F.col(c).cast("bigint").alias(c) if t.startswith("decimal") else c for c, t in report.dtypes))
+
+
 def _audit(m: Mart) -> DataFrame:
     return m["etl_run_log"].select("step_name", "status", "row_count")
 
@@ -179,8 +188,21 @@ def queries() -> dict[str, Query]:
     for name in [*TABLES, *ORPHANS]:
         q[name] = _table(name)
     q |= {name: _on_mart(report) for name, report in REPORTS.items()}
+    q["dq9_audit_history"] = _on_mart(quality.audit_ranks)
+    # the report has DECIMAL(38, 0) totals; those of the test tables fit a BIGINT, which every tool compares alike
+    q["e2_category_risk"] = _on_mart(_narrow)
     q["e1_daily_summary"] = _on_mart(lambda m: reports.e1_daily_summary(m, *WINDOW))
 
+    constraint = {
+        "constraint_pk": constraints.primary_keys,
+        "constraint_unique": constraints.natural_keys,
+        "constraint_not_null": constraints.not_null,
+        "constraint_fk": constraints.foreign_keys,
+    }
+    for name in CHECKED:
+        report = constraint.get(name) or REPORTS[name]
+        q[f"{name}_faulty"] = _on_mart(lambda m, report=report: report(with_faults(m)))
+
     def sales(report):
         return _filtered(report, SALES_FILTER, SALES_DAYS)
 
@@ -204,5 +226,11 @@ def queries() -> dict[str, Query]:
         "page_inventory_volume": _filtered(pages.warehouse_volume, STOCK_FILTER),
         "page_inventory_defects": _filtered(reports.d3_top_defects, STOCK_FILTER),
         "page_exec_scatter": _on_mart(pages.category_scatter),
+        "page_sales_kpi": sales(kpis.kpi_summary),
+        "page_web_kpi": _filtered(kpis.kpi_summary, WEB_FILTER),
+        "page_inventory_kpi": _filtered(kpis.kpi_summary, STOCK_FILTER),
+        "page_customer_detail": _filtered(pages.customer_detail, CUSTOMER_FILTER),
+        "page_web_detail": _filtered(pages.web_detail, WEB_FILTER),
+        "page_inventory_detail": _filtered(pages.inventory_detail, STOCK_FILTER),
     }
     return q

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.functions import date_key, elapsed_days, whole_seconds
+from niaga.functions import date_key, elapsed_days, title_case, whole_seconds
 from niaga.lookups import (
     DAY_NAMES,
     FUNNEL_PAGES,
@@ -101,7 +101,7 @@ def warehouses(wms: DataFrame) -> DataFrame:
     parts = F.split(code, "-")
     return distinct_values(wms, "warehouse_id").select(
         code,
-        F.coalesce(F.initcap(F.get(parts, F.lit(1))), code).alias("warehouse_name"),
+        F.coalesce(title_case(F.get(parts, F.lit(1))), code).alias("warehouse_name"),
         F.coalesce(F.get(parts, F.lit(2)), F.lit("")).alias("warehouse_code"),
     )
 

@@ -60,9 +60,16 @@ def apply_filters(
 
 
 def run_query(spark: SparkSession, mart: Mart, sql: str, args: dict | list | None = None) -> DataFrame:
-    """Parameterised SQL over the tables of a mart, by their names."""
-    mart.register_views()
-    return spark.sql(sql, args=args)
+    """A parameterised SELECT over the tables of a mart, by their names.
+
+    The tables are bound to the statement by a WITH clause, not registered in the session, so marts do not shadow each
+    other. The text is run as a subquery: a statement that is no query does not parse.
+    """
+    used = [name for name in mart if name in sql]
+    tables = ", ".join(f"{name} AS (SELECT * FROM {{{name}}})" for name in used)
+    query = sql.strip().rstrip(";").replace("{", "{{").replace("}", "}}") if used else sql.strip().rstrip(";")
+    text = f"{f'WITH {tables} ' if used else ''}SELECT * FROM (\n{query}\n)"
+    return spark.sql(text, args=args, **{name: mart[name] for name in used})
 
 
 def get_distinct(mart: Tables, table: str, column: str) -> DataFrame:
@@ -132,6 +139,57 @@ def sales_detail(mart: Tables) -> DataFrame:
     )
 
 
+def customer_detail(mart: Tables) -> DataFrame:
+    """Customers, for a detail table or CSV export."""
+    return mart["dim_customer"].select(
+        "user_id", "nama_lengkap", "kota", "account_tier", "signup_date", "tenure_days_as_of_load"
+    )
+
+
+def web_detail(mart: Tables) -> DataFrame:
+    """Hits with their page and device."""
+    return (
+        mart["fact_web_clickstream"]
+        .join(mart["dim_date"].select("date_key", "full_date"), "date_key")
+        .join(mart["dim_page"].select("page_key", "page_url", "funnel_stage"), "page_key")
+        .join(mart["dim_device"].select("device_key", "platform", "operating_system"), "device_key")
+        .select(
+            "log_id",
+            "full_date",
+            "session_id",
+            "page_url",
+            "funnel_stage",
+            "platform",
+            "operating_system",
+            "response_time_ms",
+        )
+    )
+
+
+def inventory_detail(mart: Tables) -> DataFrame:
+    """Movements with their product and warehouse."""
+    return (
+        mart["fact_inventory_movements"]
+        .join(mart["dim_date"].select("date_key", "full_date"), "date_key")
+        .join(mart["dim_product"].select("product_key", "product_id", "nama_produk", "kategori"), "product_key")
+        .join(
+            mart["dim_warehouse"].select("warehouse_key", "warehouse_name", "warehouse_code"), "warehouse_key"
+        )
+        .select(
+            "movement_id",
+            "full_date",
+            "product_id",
+            "nama_produk",
+            "kategori",
+            "warehouse_name",
+            "warehouse_code",
+            "jenis_mutasi",
+            "quantity_change",
+            "signed_quantity",
+        )
+    )
+
+
 def daily_sales(mart: Tables) -> DataFrame:
     daily = mart["fact_orders"].groupBy("date_key").agg(
         F.sum("gross_revenue_idr").alias("revenue"), F.sum("gross_profit_idr").alias("profit")

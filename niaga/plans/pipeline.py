@@ -65,10 +65,6 @@ class Mart(Mapping[str, DataFrame]):
     def replaced(self, **tables: DataFrame) -> Mart:
         return Mart({**self._tables, **tables})
 
-    def register_views(self) -> None:
-        for name, df in self._tables.items():
-            df.createOrReplaceTempView(name)
-
 
 @dataclass
 class Load:
@@ -120,13 +116,19 @@ class Load:
             self.log.append((f"{layer}::{name}", status, rows, started, finished, notes))
 
     def save_log(self) -> None:
-        """Append the rows of this run to the audit table, numbered after the earlier ones."""
+        """Append the rows of this run to the audit table.
+
+        Their ids are the time of the load, some random bits and the step, so that no
+        earlier id is read and two loads on one root share none; they rise with time.
+        """
         path = f"{self.root}/etl_run_log"
-        last = self.spark.read.schema(AUDIT).parquet(path).agg(F.max("run_id")).head()[0] or 0
+        started = dt.datetime.strptime(self.run_id[:21], "%Y%m%dT%H%M%S%f").replace(tzinfo=dt.UTC)
+        micros = (started - dt.datetime(1970, 1, 1, tzinfo=dt.UTC)) // dt.timedelta(microseconds=1)
+        base = (micros << 12) | (int(self.run_id[-2:], 16) >> 1 << 5)
         steps = [f"staging::{s.staging}" for s in SOURCES.values()]
         steps += [f"{'fact' if t.is_fact else 'dimension'}::{t.name}" for t in TABLES.values()]
         ranked = sorted(self.log, key=lambda r: steps.index(r[0]))
-        rows = [(last + i, *r) for i, r in enumerate(ranked, start=1)]
+        rows = [(base + i, *r) for i, r in enumerate(ranked, start=1)]
         self.spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("append").parquet(path)
 
 

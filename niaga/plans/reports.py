@@ -305,14 +305,11 @@ def c4_conversion(m: Tables) -> DataFrame:
 
 
 def d1_low_stock(m: Tables, n: int = 20) -> DataFrame:
-    per_site = (
-        m["fact_inventory_movements"]
-        .groupBy("product_key", "warehouse_key")
-        .agg(_sum("signed_quantity"))
-    )
-    # several sites share a warehouse name
+    # several sites share a warehouse name: with the name joined first, one shuffle adds up the rows
     per_name = (
-        per_site.join(m["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key")
+        m["fact_inventory_movements"]
+        .select("product_key", "warehouse_key", "signed_quantity")
+        .join(m["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key")
         .groupBy("product_key", "warehouse_name")
         .agg(_sum("signed_quantity", "estimasi_stok_bersih"))
     )
@@ -427,20 +424,27 @@ def e2_category_risk(m: Tables) -> DataFrame:
 
     Joining orders and movements on the product repeats each order once per
     movement and each movement once per order. The repeated sums are computed
-    from per-product totals, without building the joined rows.
+    from per-product totals, without building the joined rows. They grow with the
+    square of the data, so they are DECIMAL(38, 0).
     """
 
     def at_least_one(column: str) -> Column:
-        return F.greatest(F.coalesce(F.col(column), F.lit(0)), F.lit(1))
+        return F.greatest(F.coalesce(F.col(column), F.lit(0)), F.lit(1)).cast("decimal(18,0)")
+
+    def wide(column: Column) -> Column:
+        return F.coalesce(column, F.lit(0)).cast("decimal(19,0)")
+
+    def total(product: Column) -> Column:
+        return F.sum(product).cast("decimal(38,0)")
 
     return (
         _product_risk(m)
         .groupBy("kategori")
         .agg(
-            F.sum(F.col("revenue") * at_least_one("moves")).alias("total_revenue_idr"),
-            F.sum(F.coalesce("defect_units", F.lit(0)) * at_least_one("orders")).alias(
-                "total_unit_rusak"
+            total(F.when(F.col("revenue").isNotNull(), wide(F.col("revenue")) * at_least_one("moves"))).alias(
+                "total_revenue_idr"
             ),
+            total(wide(F.col("defect_units")) * at_least_one("orders")).alias("total_unit_rusak"),
         )
         .orderBy(F.desc_nulls_last("total_revenue_idr"), "kategori")
     )
@@ -500,7 +504,7 @@ def chart_payment(m: Tables) -> DataFrame:
 
 def chart_funnel(m: Tables) -> DataFrame:
     # several unknown pages share a stage, so a session is counted per stage, not per page
-    seen = m["fact_web_clickstream"].select("page_key", "session_id").distinct()
+    seen = m["fact_web_clickstream"].select("page_key", "session_id")
     return (
         seen.join(m["dim_page"].select("page_key", "funnel_order", "funnel_stage"), "page_key")
         .groupBy("funnel_order", "funnel_stage")

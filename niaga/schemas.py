@@ -289,3 +289,4 @@ AUDIT = columns(
 )
 
 CHECK_RESULT = columns("check_name string, status string, detail string")
+AUDIT_KEY = ("etl_run_log", "run_id")

@@ -14,6 +14,11 @@ from niaga.lookups import NULL_TOKENS
 from niaga.schemas import ARRIVAL, SOURCES, Source
 
 
+MALFORMED = "_malformed"
+_MARK = "\x01"
+SURPLUS = "surplus fields"  # the reason of a row with more fields than the header
+
+
 class SourceError(ValueError):
     """A source that cannot be loaded: missing, empty or without a declared column."""
 
@@ -79,11 +84,24 @@ def read_csv(
     if missing:
         raise SourceError(f"source '{name}' lacks columns: {', '.join(missing)}")
 
-    as_text = StructType([StructField(c, StringType()) for c in header])
+    as_text = [StructField(c, StringType()) for c in header]
     # enforceSchema=false checks the header of every file against the first one
-    raw = _csv(spark, multi_line).schema(as_text).option("enforceSchema", False).csv(path)
+    raw = (
+        _csv(spark, multi_line)
+        .schema(StructType([*as_text, StructField(MALFORMED, StringType())]))
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
     if raw.isEmpty():
         raise SourceError(f"source '{name}' is empty: {path}")
+    # The reader sets aside the text of rows with too few or too many fields, and would cut the latter. A mark behind
+    # the last field tells them apart, also where the surplus field is empty: it lies beyond the columns.
+    wider = ", ".join(f"f{i} string" for i in range(len(header) + 1))
+    marked = F.concat(F.regexp_replace(MALFORMED, "[\r\n]+$", ""), F.lit(f",{_MARK}"))
+    fields = F.from_csv(marked, wider, {"quote": '"', "escape": '"', "multiLine": str(multi_line)})
+    ends = F.array_contains(F.array(*(fields[f"f{i}"] for i in range(len(header) + 1))), _MARK)
+    surplus = F.when(F.col(MALFORMED).isNotNull() & ~F.coalesce(ends, F.lit(False)), F.col(MALFORMED))
 
     arrival = F.struct(
         F.col("_metadata.file_name").alias("file"),
@@ -96,12 +114,17 @@ def read_csv(
             for f in source.schema
         ),
         arrival.alias(ARRIVAL),
+        surplus.alias(MALFORMED),
     )
     return split_rejects(source, text)
 
 
 def split_rejects(source: Source, text: DataFrame) -> SourceFrame:
-    """Type the text columns; set apart rows with a bad value or a required value missing."""
+    """Type the text columns; set apart rows with a bad value, a required value missing or surplus fields.
+
+    ``_malformed`` holds the text of a row with more fields than the header. None of its values can be
+    trusted, as a stray separator may stand in any of them.
+    """
     typed = {f.name: _parse(f.name, f.dataType.simpleString()) for f in source.schema}
     bad = []
     for field in source.schema:
@@ -109,7 +132,9 @@ def split_rejects(source: Source, text: DataFrame) -> SourceFrame:
         if field.name in source.required:
             unreadable = typed[field.name].isNull()
         bad.append(F.when(unreadable, F.lit(field.name)))
-    reason = F.concat_ws(", ", *bad)
+    if MALFORMED not in text.columns:
+        text = text.withColumn(MALFORMED, F.lit(None).cast("string"))
+    reason = F.concat_ws(", ", F.when(F.col(MALFORMED).isNotNull(), F.lit(SURPLUS)), *bad)
 
     def usable(df: DataFrame) -> DataFrame:
         return df.where(reason == "").select(
@@ -120,7 +145,7 @@ def split_rejects(source: Source, text: DataFrame) -> SourceFrame:
         return usable(text.observe(seen, F.count_if(reason != "").alias("rejected")))
 
     rejects = text.where(reason != "").select(
-        reason.alias("bad_columns"), *(f.name for f in source.schema)
+        reason.alias("bad_columns"), *(f.name for f in source.schema), F.col(MALFORMED).alias("record")
     )
     return SourceFrame(usable(text), rejects, counted)
 

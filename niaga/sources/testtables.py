@@ -1,7 +1,8 @@
 """The five sources, derived from the generated test tables.
 
-The mapping plants what the tables lack (unknown users and products, customers
-without orders, unmapped codes); duplicated order lines are already there.
+Every row of the tables is kept. The mapping plants what they lack by changing
+references (unknown users and products) and by adding the suppliers as customers,
+who never order; duplicated order lines are already there.
 """
 
 from __future__ import annotations
@@ -33,8 +34,28 @@ def _fold(ts: Column) -> Column:
     return F.date_add(F.lit("2024-01-01").cast("date"), days).cast("timestamp_ntz")
 
 
+def _user(key: Column) -> Column:
+    """A hundredth of the references names a user that CRM does not have."""
+    return F.when(key % 100 == 99, _text("USR-X", key)).otherwise(_text("USR-", key))
+
+
+def _product(key: Column) -> Column:
+    """A fiftieth of the references names a product that MDM does not have."""
+    return F.when(key % 50 == 49, _text("PROD-X", key)).otherwise(_text("PROD-", key))
+
+
 def crm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    balance = F.col("c_acctbal")
+    people = [
+        _table(spark, sf_dir, table).select(
+            F.lit(prefix).alias("prefix"),
+            F.col(f"{c}_{key}").alias("id"),
+            F.col(f"{c}_name").alias("name"),
+            F.col(f"{c}_nationkey").alias("nation"),
+            F.col(f"{c}_acctbal").alias("balance"),
+        )
+        for table, prefix, c, key in (("customer", "", "c", "custkey"), ("supplier", "S", "s", "suppkey"))
+    ]
+    balance = F.col("balance")
     tier = (
         F.when(balance >= 7500, "Platinum")
         .when(balance >= 5000, "Gold")
@@ -42,20 +63,20 @@ def crm(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Standard")
     )
     signup = F.date_add(
-        F.lit("2023-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int")
+        F.lit("2023-01-01").cast("date"), (F.col("id") % 365).cast("int")
     ).cast("timestamp_ntz")
     return (
-        _table(spark, sf_dir, "customer")
-        .where(F.col("c_custkey") % 100 != 99)
-        .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        people[0]
+        .unionByName(people[1])
+        .join(_table(spark, sf_dir, "nation"), F.col("nation") == F.col("n_nationkey"))
         .select(
-            _text("USR-", F.col("c_custkey")).alias("user_id"),
-            F.col("c_name").alias("nama_lengkap"),
-            _text("u", F.col("c_custkey"), "@example.com").alias("email"),
+            _text("USR-", F.col("prefix"), F.col("id")).alias("user_id"),
+            F.col("name").alias("nama_lengkap"),
+            _text(F.lower("prefix"), "u", F.col("id"), "@example.com").alias("email"),
             F.col("n_name").alias("kota"),
             tier.alias("account_tier"),
             signup.alias("signup_timestamp"),
-            F.struct("c_custkey").alias(ARRIVAL),
+            F.struct("prefix", "id").alias(ARRIVAL),
         )
     )
 
@@ -64,9 +85,7 @@ def mdm(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.round(F.col("p_retailprice") * 100).cast("bigint")
     cost = div_exact(price * (50 + F.col("p_size")), F.lit(100))
     return (
-        _table(spark, sf_dir, "part")
-        .where(F.col("p_partkey") % 50 != 49)
-        .select(
+        _table(spark, sf_dir, "part").select(
             _text("PROD-", F.col("p_partkey")).alias("product_id"),
             _text(F.col("p_name"), " ", F.col("p_brand")).alias("nama_produk"),
             F.col("p_type").alias("kategori"),
@@ -95,16 +114,13 @@ def oms(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((order == "P") & (flag == "R"), "Cancelled")
         .otherwise("Pending")
     )
-    recent = _table(spark, sf_dir, "orders").where(
-        F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
-    )
     return (
         _table(spark, sf_dir, "lineitem")
-        .join(recent, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             _text("ORD-", F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("order_id"),
-            _text("USR-", F.col("o_custkey")).alias("user_id"),
-            _text("PROD-", F.col("l_partkey")).alias("product_id"),
+            _user(F.col("o_custkey")).alias("user_id"),
+            _product(F.col("l_partkey")).alias("product_id"),
             F.col("l_quantity").cast("int").alias("jumlah_barang"),
             _fold(F.col("o_orderdate")).alias("order_timestamp"),
             payment.alias("metode_pembayaran"),
@@ -138,7 +154,7 @@ def wms(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(site, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             _text("MOV-", F.col("l_orderkey"), "-", F.col("l_linenumber")).alias("movement_id"),
-            _text("PROD-", F.col("l_partkey")).alias("product_id"),
+            _product(F.col("l_partkey")).alias("product_id"),
             "warehouse_id",
             movement.alias("jenis_mutasi"),
             F.col("l_quantity").cast("int").alias("kuantitas_perubahan"),
@@ -169,7 +185,7 @@ def web(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         _text("LOG-", F.col("event_id")).alias("log_id"),
         _text("S-", F.col("user_id"), "-", date_key(F.col("ts"))).alias("session_id"),
-        _text("USR-", F.col("user_id")).alias("user_id"),
+        _user(F.col("user_id")).alias("user_id"),
         F.col("ts").alias("hit_timestamp"),
         page.alias("page_url"),
         _text("10.0.0.", F.col("user_id") % 250).alias("ip_address"),

@@ -7,17 +7,21 @@ the rewritten Spark plans are checked against the original semantics.
 
 from __future__ import annotations
 
+from niaga.plans.faults import CHECKED, TWICE, VALUES, changed
+
 # --- sources from the test tables -----------------------------------------------------------
 
 SOURCES = """
 crm AS (
-    SELECT 'USR-' || c_custkey AS user_id, c_name AS nama_lengkap,
-           'u' || c_custkey || '@example.com' AS email, n_name AS kota,
-           CASE WHEN c_acctbal >= 7500 THEN 'Platinum' WHEN c_acctbal >= 5000 THEN 'Gold'
-                WHEN c_acctbal >= 2500 THEN 'Silver' ELSE 'Standard' END AS account_tier,
-           TIMESTAMP '2023-01-01' + to_days((c_custkey % 365)::INTEGER) AS signup_timestamp
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WHERE c_custkey % 100 <> 99
+    SELECT 'USR-' || prefix || id AS user_id, name AS nama_lengkap,
+           lower(prefix) || 'u' || id || '@example.com' AS email, n_name AS kota,
+           CASE WHEN balance >= 7500 THEN 'Platinum' WHEN balance >= 5000 THEN 'Gold'
+                WHEN balance >= 2500 THEN 'Silver' ELSE 'Standard' END AS account_tier,
+           TIMESTAMP '2023-01-01' + to_days((id % 365)::INTEGER) AS signup_timestamp
+    FROM (SELECT '' AS prefix, c_custkey AS id, c_name AS name, c_nationkey AS nation,
+                 c_acctbal AS balance FROM customer
+          UNION ALL SELECT 'S', s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier)
+    JOIN nation ON nation = n_nationkey
 ),
 mdm AS (
     SELECT 'PROD-' || p_partkey AS product_id, p_name || ' ' || p_brand AS nama_produk,
@@ -25,11 +29,12 @@ mdm AS (
            (round(p_retailprice * 100)::BIGINT * (50 + p_size)) // 100 AS harga_modal_idr,
            round(p_retailprice * 100)::BIGINT AS harga_jual_idr,
            p_size <= 45 AS is_active
-    FROM part WHERE p_partkey % 50 <> 49
+    FROM part
 ),
 oms_raw AS (
     SELECT 'ORD-' || l_orderkey || '-' || l_linenumber AS order_id,
-           'USR-' || o_custkey AS user_id, 'PROD-' || l_partkey AS product_id,
+           'USR-' || CASE WHEN o_custkey % 100 = 99 THEN 'X' ELSE '' END || o_custkey AS user_id,
+           'PROD-' || CASE WHEN l_partkey % 50 = 49 THEN 'X' ELSE '' END || l_partkey AS product_id,
            l_quantity::INTEGER AS jumlah_barang,
            (DATE '2024-01-01' + (date_diff('day', DATE '1995-01-01', o_orderdate::DATE) % 30)::INTEGER
            )::TIMESTAMP AS order_timestamp,
@@ -46,11 +51,10 @@ oms_raw AS (
                ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
                         l_returnflag, l_linestatus, l_shipdate) AS pos
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE o_orderdate >= TIMESTAMP '2001-01-01'
 ),
 wms_raw AS (
     SELECT 'MOV-' || l_orderkey || '-' || l_linenumber AS movement_id,
-           'PROD-' || l_partkey AS product_id,
+           'PROD-' || CASE WHEN l_partkey % 50 = 49 THEN 'X' ELSE '' END || l_partkey AS product_id,
            'WH-' || r_name || '-' || lpad(n_nationkey::VARCHAR, 2, '0') AS warehouse_id,
            CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'RETUR_STOCK'
                 WHEN l_returnflag = 'R' THEN 'ADJUSTMENT_DEFECT'
@@ -69,7 +73,8 @@ wms_raw AS (
 web AS (
     SELECT 'LOG-' || event_id AS log_id,
            'S-' || user_id || '-' || strftime(ts, '%Y%m%d') AS session_id,
-           'USR-' || user_id AS user_id, ts AS hit_timestamp,
+           'USR-' || CASE WHEN user_id % 100 = 99 THEN 'X' ELSE '' END || user_id AS user_id,
+           ts AS hit_timestamp,
            CASE event_type WHEN 'signup' THEN '/home' WHEN 'click' THEN '/search'
                 WHEN 'view' THEN '/product/view' WHEN 'purchase' THEN '/payment/success'
                 ELSE '/error' END AS page_url,
@@ -198,14 +203,17 @@ orphan_movements AS (
     FROM wms_raw WHERE pos = 1 AND product_id NOT IN (SELECT product_id FROM mdm)
 )"""
 
-BASE = f"WITH {SOURCES.strip()},\n{MART.strip()}\n"
+# the load logs fifteen steps, each under an id of its own
+LOG = "etl_run_log AS (SELECT unnest(range(15)) AS run_id)"
+
+BASE = f"WITH {SOURCES.strip()},\n{MART.strip()},\n{LOG}\n"
 
 STAGING = {
     "stg_crm_user_profiles": "crm",
     "stg_mdm_products": "mdm",
     "stg_oms_orders": "oms_raw",
-    "stg_wms_inventory_movements": "wms_raw",
     "stg_web_clickstream_logs": "web",
+    "stg_wms_inventory_movements": "wms_raw",
 }
 PRIMARY_KEYS = {
     "dim_date": "date_key",
@@ -468,18 +476,25 @@ def percent(value: str) -> str:
 
 # --- headline numbers ---------------------------------------------------------------------------
 
-KPI = f"""
+def kpi(
+    orders="fact_orders", customers="dim_customer", products="dim_product",
+    web="fact_web_clickstream", moves="fact_inventory_movements",
+) -> str:
+    return f"""
     SELECT o.* EXCLUDE (n), n AS total_orders, c.*, p.*, w.*, i.*
     FROM (SELECT {big("sum(gross_revenue_idr)")} AS total_revenue,
                  {big("sum(gross_profit_idr)")} AS total_profit, count(*) AS n,
                  sum(gross_revenue_idr)::DOUBLE / count(*) AS avg_order_value,
                  {ratio("sum(is_delivered)", "count(*)", 1, 100)} AS delivered_rate,
                  {ratio("sum(is_cancelled)", "count(*)", 1, 100)} AS cancelled_rate
-          FROM fact_orders) o,
-         (SELECT count(*) AS total_customers FROM dim_customer) c,
-         (SELECT count(*) AS total_products FROM dim_product) p,
-         (SELECT count(DISTINCT session_id) AS total_web_sessions FROM fact_web_clickstream) w,
-         (SELECT {big("sum(signed_quantity)")} AS net_stock_change FROM fact_inventory_movements) i"""
+          FROM {orders}) o,
+         (SELECT count(*) AS total_customers FROM {customers}) c,
+         (SELECT count(*) AS total_products FROM {products}) p,
+         (SELECT count(DISTINCT session_id) AS total_web_sessions FROM {web}) w,
+         (SELECT {big("sum(signed_quantity)")} AS net_stock_change FROM {moves}) i"""
+
+
+KPI = kpi()
 
 
 def _counted(pairs) -> list[str]:
@@ -558,7 +573,13 @@ def _bodies() -> dict[str, str]:
             for table, key in keys.items()
         )
 
-    q["constraint_pk"] = unique("pk", PRIMARY_KEYS)
+    q["constraint_pk"] = unique("pk", PRIMARY_KEYS | {"etl_run_log": "run_id"})
+    ranked = [(len(steps) - n, step, table) for n, (step, table) in enumerate(steps)]
+    q["dq9_audit_history"] = union(
+        f"SELECT {position}::INTEGER AS position, '{step}' AS step_name, 'SUCCESS' AS status,"
+        f" count(*) AS row_count FROM {table}"
+        for position, step, table in ranked
+    )
     q["constraint_unique"] = unique("unique", NATURAL_KEYS)
     q["constraint_not_null"] = union(
         f"SELECT '{table}' AS table_name, 'not_null({c})' AS constraint_name,"
@@ -809,9 +830,52 @@ def _bodies() -> dict[str, str]:
         SELECT warehouse_name, count(*) AS movements, {big("sum(quantity_change)")} AS units
         FROM {STOCK} JOIN dim_warehouse USING (warehouse_key) GROUP BY ALL"""
     q["page_inventory_defects"] = d3(STOCK)
+    chosen = f"(SELECT * FROM dim_product WHERE {_values('kategori', CATEGORIES)})"
+    nearby = f"(SELECT * FROM dim_customer WHERE {_values('kota', CITIES)})"
+    days = "date_key BETWEEN 20240105 AND 20240124"
+    among = lambda fact, key, dim: f"(SELECT * FROM {fact} WHERE {key} IN (SELECT {key} FROM {dim})"
+    q["page_sales_kpi"] = kpi(
+        SALES,
+        nearby,
+        chosen,
+        f"{among('fact_web_clickstream', 'customer_key', nearby)} AND {days})",
+        f"{among('fact_inventory_movements', 'product_key', chosen)} AND {days})",
+    )
+    q["page_web_kpi"] = kpi(web=MOBILE)
+    q["page_inventory_kpi"] = kpi(
+        f"{among('fact_orders', 'product_key', chosen)})", products=chosen, moves=STOCK
+    )
+    q["page_web_detail"] = f"""
+        SELECT log_id, full_date, session_id, page_url, funnel_stage, platform, operating_system, response_time_ms
+        FROM {MOBILE} JOIN dim_date USING (date_key) JOIN dim_page USING (page_key)
+        JOIN dim_device USING (device_key)"""
+    q["page_inventory_detail"] = f"""
+        SELECT movement_id, full_date, product_id, nama_produk, kategori, warehouse_name, warehouse_code,
+               jenis_mutasi, quantity_change, signed_quantity
+        FROM {STOCK} JOIN dim_date USING (date_key) JOIN dim_product USING (product_key)
+        JOIN dim_warehouse USING (warehouse_key)"""
+    q["page_customer_detail"] = f"""
+        SELECT user_id, nama_lengkap, kota, account_tier, signup_date, tenure_days_as_of_load
+        FROM {MEMBERS}"""
     q["page_exec_scatter"] = E2_FIXED.format(revenue="revenue", defects="defect_units")
     return q
 
 
+def _faulty(body: str) -> str:
+    """A statement over the mart with the planted faults."""
+    tables = sorted({*VALUES, *TWICE})
+    good = ", ".join(f"good_{t} AS (SELECT * FROM {t})" for t in [*tables, "etl_run_log"])
+
+    def bad(t: str) -> str:
+        values = ", ".join(f"{changed(c, cases)} AS {c}" for c, cases in VALUES.get(t, {}).items())
+        rows = f"SELECT * {f'REPLACE ({values})' if values else ''} FROM good_{t}"
+        return f"{t} AS ({rows}{f' UNION ALL SELECT * FROM good_{t} WHERE {TWICE[t]}' if t in TWICE else ''})"
+
+    log = "etl_run_log AS (SELECT * FROM good_etl_run_log UNION ALL SELECT * FROM good_etl_run_log WHERE run_id = 0)"
+    return f"{BASE}, {good}\nSELECT * FROM (WITH {', '.join([*map(bad, tables), log])}\n{body.strip()})"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: BASE + body.strip() for name, body in _bodies().items()}
+    bodies = _bodies()
+    plain = {name: BASE + body.strip() for name, body in bodies.items()}
+    return plain | {f"{name}_faulty": _faulty(bodies[name]) for name in CHECKED}

@@ -6,11 +6,14 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from niaga.operators import quality
 from niaga.plans import catalog
+from niaga.plans.faults import CHECKED
+from oracle import oracle_sql
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracle_sql()
 
 # Report order: column, or -column for descending.
 ORDER = {
@@ -44,9 +47,9 @@ def con():
     return duck(SF_DIR)
 
 
-def test_only_timestamped_history_has_no_counterpart():
-    assert set(catalog.queries()) - set(ORACLES) == {"dq9_audit_history"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_a_counterpart():
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -70,8 +73,35 @@ def test_movement_types_in_report_order(spark):
     assert place == sorted(place)
 
 
+@pytest.mark.parametrize("name", [f"{name}_faulty" for name in CHECKED])
+def test_faults_are_found(spark, name):
+    rows = QUERIES[name](spark, SF_DIR).collect()
+    if name.startswith("constraint"):
+        assert sum(r.violations > 0 for r in rows) >= 7
+    elif name == "dq_suite_faulty":
+        assert {r.status for r in rows} == {"FAIL"}
+    else:
+        assert rows
+
+
+def test_ids_of_the_audit_table_are_not_shared(spark):
+    log = catalog.mart_of(spark, SF_DIR)["etl_run_log"]
+    assert log.select("run_id").distinct().count() == log.count()
+
+
+def test_one_large_shuffle(spark):
+    """Low stock and the funnel join the small dimension before the one shuffle of the fact's rows."""
+    for name in ("d1_low_stock", "chart_funnel"):
+        df = QUERIES[name](spark, SF_DIR)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # each shuffled aggregate of the fact: a funnel counts distinct sessions in a second, small one
+        assert plan.count("Exchange hashpartitioning") <= (1 if name == "d1_low_stock" else 2), plan
+
+
 def test_audit_history_is_newest_first(spark):
-    rows = QUERIES["dq9_audit_history"](spark, SF_DIR).collect()
+    rows = quality.dq9_audit_history(catalog.mart_of(spark, SF_DIR)).collect()
+    assert rows[0].started_at is not None
     assert [r.step_name for r in rows][0] == "fact::fact_web_clickstream"
     assert len(rows) == 15 and {r.status for r in rows} == {"SUCCESS"}
 

@@ -64,6 +64,27 @@ def test_bad_values_are_set_apart_with_their_text(spark, tmp_path):
     }
 
 
+def test_rows_with_surplus_fields_are_set_apart(spark, tmp_path):
+    """They may hold a stray separator anywhere, so none of their values is used. Short rows have no value at the end."""
+    path = write(
+        tmp_path / "o.csv",
+        "order_id,user_id,product_id,jumlah_barang,order_timestamp,metode_pembayaran,status_order",
+        "O1,U1,P1,2,2026-06-01 10:00:00,OVO,Delivered",
+        "O2,U1,P1,2,2026-06-01 10:00:00,OVO,Deliv,ered,EXTRA",
+        "O3,U1,P1,2,2026-06-01 10:00:00,OVO,Delivered,",
+        'O4,U1,P1,2,2026-06-01 10:00:00,"OVO, or cash",Delivered',
+        'O5,U1,P1,2,2026-06-01 10:00:00,"OVO, or cash",Delivered,"x, y"',
+        "O6,U1,P1,2,2026-06-01 10:00:00",
+    )
+    source = read_csv(spark, "oms_orders", path)
+    got = {r.order_id: (r.metode_pembayaran, r.status_order) for r in source.rows.collect()}
+    bad = {r.order_id: (r.bad_columns, r.record) for r in source.rejects.collect()}
+    assert {k: v for k, v in got.items() if k != "O6"} == {"O1": ("OVO", "Delivered"), "O4": ("OVO, or cash", "Delivered")}
+    assert {k for k, (reason, _) in bad.items() if "surplus fields" in reason} == {"O2", "O3", "O5"}
+    assert bad["O2"][1].endswith("Deliv,ered,EXTRA")
+    assert "O6" in got or bad["O6"][0] == "metode_pembayaran, status_order"
+
+
 def test_missing_source(spark, tmp_path):
     with pytest.raises(SourceError, match="'mdm_products' not found"):
         read_csv(spark, "mdm_products", str(tmp_path / "none.csv"))
@@ -148,6 +169,18 @@ def test_command_line_loads_and_reports(spark, tmp_path, capsys):
     out = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert [tuple(r)[:2] + (r.total_belanja_idr,) for r in out.collect()] == [("U2", "Budi", "800"), ("U1", "Ani", "200")]
     assert main(["report", "a4_status_share", "--root", root]) == 0
+    assert "Cancelled" in capsys.readouterr().out
     window = ["--first", "2026-06-01", "--last", "2026-06-03"]
     assert main(["report", "e1_daily_summary", "--root", root, *window]) == 0
-    assert "Cancelled" in capsys.readouterr().out
+    capsys.readouterr()
+    assert main(["report", "e1_daily_summary", "--root", root]) == 0  # from the first to the last day with an order
+    assert main(["report", "sales_detail", "--root", root, "--where", "kota=Nowhere"]) == 0
+    printed = capsys.readouterr().out.strip().splitlines()
+    assert printed[-1].startswith("order_id") and len(printed) > 2
+
+
+def test_printed_reports_are_whole(spark, capsys):
+    from niaga.__main__ import _print
+
+    _print(spark.range(0, 250, 1, 3).withColumn("none", F.lit(None)))
+    assert len(capsys.readouterr().out.splitlines()) == 251
