@@ -54,11 +54,11 @@ def main() -> None:
     for name in HEADLINE:
         timed(name, lambda name=name: queries[name](spark, sf_dir).collect())
 
-    total = sum(seconds for name, seconds in times.items() if name != "load_first")
+    total = sum(times.values())
     print(
         json.dumps(
             {
-                "metric": "full load and 22 report queries, total wall time",
+                "metric": "first and second full load and 22 report queries, total wall time",
                 "value": round(total, 3),
                 "unit": "sec",
                 "queries": times,

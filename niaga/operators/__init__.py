@@ -1,4 +1,13 @@
-from niaga.operators.keys import dense_key
+from niaga.operators.keys import dense_key, dense_key_by_day, range_count, staged_bounds
 from niaga.operators.relational import distinct_values, keep_first, lookup, top
 
-__all__ = ["dense_key", "distinct_values", "keep_first", "lookup", "top"]
+__all__ = [
+    "dense_key",
+    "dense_key_by_day",
+    "distinct_values",
+    "keep_first",
+    "lookup",
+    "range_count",
+    "staged_bounds",
+    "top",
+]

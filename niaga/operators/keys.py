@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+SAMPLED = 64  # staged rows per range from which the bounds are taken
+RANGE_ROWS = 2_000_000  # rows of a range at most (about)
+LEAST_ROWS = 25_000  # rows for which a further task is worth it
 
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id: position within its partition
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
@@ -42,3 +49,62 @@ def dense_key(df: DataFrame, key: str, order: list[str], scratch: str) -> DataFr
         .withColumn(key, F.col("_before") + within + 1)
         .drop("_part", "_before", "_position")
     )
+
+
+def range_count(rows: int, parallel: int) -> int:
+    """Ranges for a table of so many rows: what the tasks can hold, or fewer than run at once for a small one."""
+    return max(1, math.ceil(rows / RANGE_ROWS), min(parallel, math.ceil(rows / LEAST_ROWS)))
+
+
+def staged_bounds(staged: DataFrame, rows: int, ranges: int) -> list[tuple[int, str]]:
+    """At most ``ranges`` - 1 bounds in (day, natural key) order, from a sample of two staged columns."""
+    if ranges == 1 or not rows:
+        return []
+    sample = staged if rows <= SAMPLED * ranges else staged.sample(min(1.0, SAMPLED * ranges / rows), seed=1)
+    seen = sorted({(r[0], r[1]) for r in sample.collect() if r[0] is not None and r[1] is not None})
+    return sorted({seen[len(seen) * i // ranges] for i in range(1, ranges)} if seen else set())
+
+
+def dense_key_by_day(
+    df: DataFrame,
+    key: str,
+    order: tuple[str, str, str],
+    bounds: list[tuple[int, str]],
+    calendar: list[int],
+    scratch: str,
+) -> DataFrame:
+    """Number the rows that are not set aside 1..n by (day, natural key), as column ``key``.
+
+    ``order`` names the flag of rows set aside, the day and the natural key. ``bounds`` cut the order into ranges, so
+    that ``df`` is evaluated once: nothing samples it. A row finds its range by a broadcast row of its day (a row for
+    each day of the calendar, with the day's bounds); one shuffle by that number and one sort place the rows, which are
+    written with their position. Rows set aside come last in their range and take no number.
+    """
+    spark = df.sparkSession
+    aside, day, item = order
+    cuts: dict[int, list[str]] = {}
+    for d, i in bounds:
+        cuts.setdefault(d, []).append(i)
+    before = [(d, bisect_left(bounds, (d, "")), cuts.get(d, [])) for d in calendar]
+    days = spark.createDataFrame(before, f"{day} int, _before int, _cuts array<string>")
+    found = F.col("_before") + F.size(F.filter("_cuts", lambda b: b <= F.col(item)))
+    (
+        df.join(F.broadcast(days), day, "left")
+        .withColumn("_range", F.coalesce(found, F.lit(0)))
+        .select(*df.columns, "_range")
+        .repartitionById(len(bounds) + 1, "_range")
+        .sortWithinPartitions(aside, day, item)
+        .withColumn("_position", F.monotonically_increasing_id())
+        .write.parquet(scratch)
+    )
+    fields = [StructField("_range", IntegerType()), StructField("_position", LongType())]
+    placed = spark.read.schema(StructType([*df.schema.fields, *fields])).parquet(scratch)
+    sizes = placed.groupBy("_range").agg(F.count_if(~F.col(aside)).alias("_size"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_first"))
+    within = F.col("_position").bitwiseAND(F.lit(_POSITION_MASK))
+    return (
+        placed.join(F.broadcast(starts), "_range")
+        .withColumn(key, F.when(~F.col(aside), F.col("_first") + within + 1))
+        .drop("_range", "_first", "_position")
+    )

@@ -16,12 +16,12 @@ from niaga.schemas import MONTH, ORPHANS, TABLES
 
 ORPHAN = "_orphan"
 
-# Surrogate keys follow time and then the natural key. Orphans sort last, so
-# they take no number; the same order clusters the rows by month for storage.
+# Surrogate keys follow time and then the natural key; orphans take no number.
+# The same order clusters the rows by month for storage.
 KEY_ORDER = {
-    "fact_orders": [ORPHAN, "date_key", "order_id"],
-    "fact_inventory_movements": [ORPHAN, "date_key", "movement_id"],
-    "fact_web_clickstream": [ORPHAN, "date_key", "log_id"],
+    "fact_orders": (ORPHAN, "date_key", "order_id"),
+    "fact_inventory_movements": (ORPHAN, "date_key", "movement_id"),
+    "fact_web_clickstream": (ORPHAN, "date_key", "log_id"),
 }
 ORPHAN_TABLE = {
     "fact_orders": "orphan_orders",
@@ -155,18 +155,21 @@ def unkeyed_fact(name: str, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def stored_fact(name: str, keyed: DataFrame) -> DataFrame:
-    """Declared columns plus the month, sorted so that each file covers few days."""
+    """Declared columns plus the month. The rows come in the order of their keys, so each file covers few days."""
     table = TABLES[name]
-    return (
-        keyed.where(~F.col(ORPHAN))
-        .select(
-            *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema),
-            date_month(F.col("date_key")).alias(MONTH),
-        )
-        .sortWithinPartitions(MONTH, table.primary_key)
+    return keyed.where(~F.col(ORPHAN)).select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema),
+        date_month(F.col("date_key")).alias(MONTH),
     )
 
 
+def staged_order(name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """(day, natural key) of the staged rows of a fact."""
+    staged = tables[READS[name][0]]
+    times = {"fact_orders": "order_timestamp", "fact_inventory_movements": "recorded_timestamp"}
+    return staged.select(date_key(F.col(times.get(name, "hit_timestamp"))), TABLES[name].natural_key)
+
+
 def set_aside(name: str, keyed: DataFrame) -> DataFrame:
     """Rows left out of fact ``name``."""
     schema = ORPHANS[ORPHAN_TABLE[name]]

@@ -17,8 +17,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from niaga.operators import dense_key
-from niaga.operators.constraints import foreign_keys, natural_keys, null_counts, primary_keys
+from niaga.operators import dense_key, dense_key_by_day, range_count, staged_bounds
+from niaga.operators.constraints import (
+    foreign_keys,
+    natural_keys,
+    null_counts,
+    primary_keys,
+    primary_keys_hold,
+)
 from niaga.operators.quality import RULES, observed_suite, rule_counts
 from niaga.plans import dimensions, facts
 from niaga.schemas import (
@@ -213,9 +219,17 @@ _FACT_TOTALS = {
 
 
 def _load_fact(load: Load, name: str, tables: dict[str, DataFrame]) -> None:
-    rows = facts.unkeyed_fact(name, tables)
-    key, order = TABLES[name].primary_key, facts.KEY_ORDER[name]
-    numbered = dense_key(rows, key, order, load.path("ordered", name))
+    spark, staged = load.spark, facts.READS[name][0]
+    count = load.metrics[staged]["rows"]
+    ranges = range_count(count, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    numbered = dense_key_by_day(
+        facts.unkeyed_fact(name, tables),
+        TABLES[name].primary_key,
+        facts.KEY_ORDER[name],
+        staged_bounds(facts.staged_order(name, tables), count, ranges),
+        [r.date_key for r in tables["dim_date"].select("date_key").collect()],
+        load.path("ordered", name),
+    )
     writes = {
         name: lambda: _write_checked(
             load, name, facts.stored_fact(name, numbered), _FACT_TOTALS.get(name)
@@ -251,7 +265,7 @@ def _build(
             for name, staging in dimensions.READS.items():
                 start(name, lambda t, n=name: _load_dimension(load, n, t, snapshot), [staging])
             for name, reads in facts.READS.items():
-                start(name, lambda t, n=name: _load_fact(load, n, t), reads)
+                start(name, lambda t, n=name: _load_fact(load, n, t), [*reads, "dim_date"])
         for table in written.values():
             table.result()
     except Exception:
@@ -262,15 +276,16 @@ def _build(
 def _verify(load: Load, mart: Mart) -> list[str]:
     """Check constraints, then store the quality suite; returns the failed checks.
 
-    Nulls and rules were counted while writing. Keys need a shuffle each, so
-    only those are computed here; each result is a row per declared constraint.
+    Nulls and rules were counted while writing. Primary keys are compared as bitmaps, and
+    counted one by one only if one does not hold. Natural and foreign keys need a shuffle
+    each; each result is a row per declared constraint.
     """
     spark = load.spark
     found = _together(
         spark,
         {
             "log": load.save_log,
-            "pk": lambda: primary_keys(mart).collect(),
+            "pk": lambda: [] if primary_keys_hold(mart) else primary_keys(mart).collect(),
             "unique": lambda: natural_keys(mart).collect(),
             "fk": lambda: foreign_keys(mart).collect(),
         },

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from niaga.operators import dense_key, keep_first, lookup, top
+from niaga.operators import dense_key, dense_key_by_day, keep_first, lookup, range_count, staged_bounds, top
 
 
 def plan_of(df) -> str:
@@ -56,6 +57,33 @@ def test_dense_key_of_nothing_and_of_descending_groups(spark, tmp_path):
     assert {(r.aside, r.n): r.key for r in got} == {(False, 1): 1, (False, 2): 2, (True, 1): 3}
 
 
+@pytest.mark.parametrize("ranges", [1, 8, 200])
+def test_dense_key_by_day(spark, tmp_path, ranges):
+    rows = [(i % 7 == 0, 20240101 + (i * i) % 9, f"K-{(i * 7919) % 100_003}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "aside boolean, day int, id string").repartition(5)
+    bounds = staged_bounds(df.select("day", "id"), len(rows), ranges)
+    assert len(bounds) == ranges - 1
+    calendar = list(range(20240101, 20240131))
+    placed = dense_key_by_day(df, "key", ("aside", "day", "id"), bounds, calendar, str(tmp_path / "ordered"))
+    got = {(r.aside, r.day, r.id): r.key for r in placed.collect()}
+    expected = sorted(r for r in rows if not r[0])
+    assert {k: v for k, v in got.items() if not k[0]} == {r: i for i, r in enumerate(expected, start=1)}
+    assert len(got) == len(rows) and {v for k, v in got.items() if k[0]} == {None}
+
+
+def test_rows_are_evaluated_once(spark, tmp_path):
+    """Nothing samples the rows that get a key: each passes the plan above the source one time."""
+    seen = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([(False, 1, f"K{i}") for i in range(500)], "aside boolean, day int, id string")
+    watched = df.rdd.map(lambda r: (seen.add(1), r)[1]).toDF(df.schema)
+    placed = dense_key_by_day(watched, "key", ("aside", "day", "id"), [(1, "K3"), (1, "K5")], [1], str(tmp_path / "o"))
+    assert placed.agg(F.max("key")).first()[0] == 500 and seen.value == 500
+
+
+def test_number_of_ranges():
+    assert [range_count(n, 8) for n in (0, 1, 25_001, 10**6, 10**9)] == [1, 1, 2, 8, 500]
+
+
 def test_lookup_without_key_matches_nothing(spark):
     rows = spark.createDataFrame([(1, "a"), (2, None), (3, "zz"), (4, "none-7")], "id int, k string")
     # a dimension holding every stand-in value must still not match a missing key

@@ -6,9 +6,9 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
-from niaga.operators import quality
+from niaga.operators import constraints, quality
 from niaga.plans import catalog
-from niaga.plans.faults import CHECKED
+from niaga.plans.faults import CHECKED, with_faults
 from oracle import oracle_sql
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -84,6 +84,15 @@ def test_faults_are_found(spark, name):
         assert rows
 
 
+def test_bitmaps_tell_whether_primary_keys_hold(spark):
+    mart = catalog.mart_of(spark, SF_DIR)
+    assert constraints.primary_keys_hold(mart)
+    assert not constraints.primary_keys_hold(with_faults(mart))
+    for table, key in (("fact_orders", "order_key"), ("dim_page", "page_key")):
+        twice = mart[table].unionByName(mart[table].where(f"{key} = 3"))
+        assert not constraints.primary_keys_hold(mart.replaced(**{table: twice}))
+
+
 def test_ids_of_the_audit_table_are_not_shared(spark):
     log = catalog.mart_of(spark, SF_DIR)["etl_run_log"]
     assert log.select("run_id").distinct().count() == log.count()
