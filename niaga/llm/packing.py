@@ -61,10 +61,14 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
 
 
 def _distinct(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, id, count) of each id of each text, in this order."""
-    key = np.sort(np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes) * np.uint64(VOCABULARY) + ids)
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-    return (key[at] >> np.uint64(16)).astype(np.int64), (key[at] & np.uint64(VOCABULARY - 1)).astype(np.int64), np.diff(np.append(at, len(key)))
+    """(text, id, count) of each id of each text, in this order, in four bytes each."""
+    kind = np.uint32 if len(sizes) <= 1 << 16 else np.uint64
+    key = np.repeat(np.arange(len(sizes), dtype=kind) << kind(16), sizes)
+    key |= ids
+    key.sort()
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).astype(np.int32) if len(key) else np.zeros(0, np.int32)
+    text, term = (key[at] >> kind(16)).astype(np.int32), (key[at] & kind(VOCABULARY - 1)).astype(np.int32)
+    return text, term, np.diff(np.append(at, np.int32(len(key))))
 
 
 def term_statistics(coded: DataFrame) -> tuple[np.ndarray, int, float]:
@@ -96,9 +100,11 @@ def neighbour_order(ids: np.ndarray, sizes: np.ndarray, inverse: np.ndarray, mea
     """The order in which the texts of a shard are laid end to end."""
     n = len(sizes)
     text, term, count = _distinct(ids, sizes)
-    impact = (inverse[term] * count * (K1 + 1) / (count + K1 * (1 - B + B * sizes[text] / max(mean, 1)))).astype(np.float32)
+    length = (K1 * (1 - B + B * sizes / max(mean, 1))).astype(np.float32)
+    impact = inverse[term] * count.astype(np.float32) * np.float32(K1 + 1)
+    impact /= length[text] + count
     own = np.searchsorted(text, np.arange(n + 1))
-    listed = np.argsort(term, kind="stable")
+    listed = np.argsort(term, kind="stable").astype(np.int32)
     lists = np.searchsorted(term[listed], np.arange(VOCABULARY + 1))
     members, impacts = text[listed], impact[listed]
     unused, order = np.ones(n, bool), np.empty(n, np.int64)
