@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, hamming, packing, pii, pivots, quality, setsketch, toxicity, unigram
+from niaga.llm import bpe, debruijn, hamming, oracles, packing, pii, pivots, quality, setsketch, toxicity, unigram
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,4 +104,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

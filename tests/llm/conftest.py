@@ -1,16 +1,8 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-SF = "/root/testdata/sf0.01"
-
-# Columns whose names operators use themselves: they must not get in the way.
-CLASHING = "row string, rest int, ids int, score double, c int, h int, key string, label int, stats int, spans string"
+from llm.samples import CLASHING, ODD
 
 
 @pytest.fixture(scope="session")
@@ -25,22 +17,6 @@ def docs_of(spark):
     return make
 
 
-# Every kind of row that operators define a result for.
-ODD = [
-    (1, None),
-    (2, ""),
-    (3, " \t\n "),
-    (4, "one"),
-    (5, "one two three four five"),
-    (5, "one two three four five"),  # a repeated row
-    (6, "One TWO three four five"),
-    (None, "one two three four five"),
-    (7, "déjà vu \U0001f600 日本語 \x1c x"),
-    (8, "word " * 30000),
-    (9, "a" * 300000),
-]
-
-
 @pytest.fixture(scope="session")
 def odd(docs_of):
     return docs_of(ODD).cache()
@@ -49,7 +25,3 @@ def odd(docs_of):
 @pytest.fixture(scope="session")
 def nothing(docs_of):
     return docs_of([])
-
-
-def rows_of(df, *keys):
-    return sorted((tuple(r[k] for k in keys) for r in df.collect()), key=lambda r: tuple((x is not None, x) for x in r))

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import ODD, SF, rows_of
+from llm.samples import ODD, SF, rows_of
 from tokenizers import Tokenizer
 
 from niaga.llm import bpe

@@ -4,8 +4,8 @@ import hashlib
 import random
 
 import pytest
-from brute import without_repeats
-from conftest import ODD, SF
+from llm.brute import without_repeats
+from llm.samples import ODD, SF
 
 from niaga.llm import debruijn as d
 from niaga.llm.queries import op7_substring_dedup

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import ODD, SF
+from llm.samples import ODD, SF
 
 from niaga.llm import calibration, quality, toxicity, words
 from niaga.llm.queries import op1_quality, op4_toxicity

@@ -4,7 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from conftest import ODD, SF
+from llm.samples import ODD, SF
 from tokenizers import Tokenizer
 
 from niaga.llm import bpe, packing

@@ -5,8 +5,8 @@ import random
 
 import numpy as np
 import pytest
-from brute import base_spans
-from conftest import ODD, SF
+from llm.brute import base_spans
+from llm.samples import ODD, SF
 
 from niaga.llm import pii
 from niaga.llm.queries import op10_personal_data

@@ -7,9 +7,9 @@ import subprocess
 import sys
 
 import pytest
-from brute import base_spans, near_groups, without_repeats
-from conftest import CLASHING
-from test_packing import check as check_pieces
+from llm.brute import base_spans, near_groups, without_repeats
+from llm.samples import CLASHING
+from llm.test_packing import check as check_pieces
 
 import corpus_pipeline as p
 from niaga.llm import queries, toxicity

@@ -4,8 +4,8 @@ import random
 
 import numpy as np
 import pytest
-from brute import near_groups, shingles
-from conftest import ODD, SF
+from llm.brute import near_groups, shingles
+from llm.samples import ODD, SF
 
 from niaga.llm import setsketch as s
 from niaga.llm.queries import op5_setsketch

@@ -5,7 +5,7 @@ import random
 import pytest
 import public_tokenizers
 import sentencepiece
-from conftest import ODD, SF
+from llm.samples import ODD, SF
 from tokenizers import Tokenizer, models
 
 from niaga.llm import unigram

@@ -2,8 +2,8 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from brute import components, linked
-from conftest import SF
+from llm.brute import components, linked
+from llm.samples import SF
 
 from niaga.llm import hamming, pivots
 from niaga.llm.queries import op3_pivot_dedup, op8_multi_index
