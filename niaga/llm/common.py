@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -137,6 +138,13 @@ class Members:
         self.words = np.zeros(1 << self.BITS - 6, np.int64)
         self.words[words.column("word").to_numpy()] = words.column("bits").to_numpy()
 
+    def __getstate__(self) -> bytes:
+        """Sent to the tasks compressed: while few bits are set, a small part of its size."""
+        return zlib.compress(self.words.tobytes(), 1)
+
+    def __setstate__(self, state: bytes) -> None:
+        self.words = np.frombuffer(zlib.decompress(state), np.int64)
+
     def holds(self, keys: np.ndarray) -> np.ndarray:
         mask = np.int64((1 << self.BITS) - 1)
         out = np.ones(len(keys), bool)
