@@ -303,10 +303,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     star = buckets.filter("c <> leader").select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")).distinct()
     links = cut(_confirmed(cut(_likely(star, classes)), classes, docs, k))
     roots = graph.components(links)
+    roots = cut(roots)
     rest = _remaining(buckets, classes, roots, docs, k)
-    if not rest.isEmpty():
-        roots = graph.components(links.unionByName(rest))
     root = classes.select("c", "first").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    if not rest.isEmpty():  # links between components: a much smaller graph of their roots
+        of = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+        between = rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        merged = graph.components(between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+        root = root.join(merged.select(F.col("node").alias("root"), F.col("root").alias("merged")), "root", "left")
+        root = root.select("c", "first", F.coalesce("merged", "root").alias("root"))
     named = root.join(root.groupBy("root").agg(F.min("first").alias("component")), "root").select("c", "component")
     found = rows.select("doc_id", "row", "n_shingles", "c").join(named, "c", "left")
     component = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component"))
