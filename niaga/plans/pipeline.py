@@ -351,10 +351,16 @@ def run_load(
     row = [(load.run_id, len(failed), dt.datetime.now(dt.UTC))]
     published = spark.createDataFrame(row, _PUBLISHED).coalesce(1)
     published.write.mode("append").parquet(f"{load.root}/published")
+    _remove(spark, load.path("ordered"))  # rows before they were numbered
     mart = mart.replaced(etl_run_log=_audit(spark, load.root))  # list its new files
     return LoadResult(load.run_id, mart, failed, load.metrics)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _new_load(spark: SparkSession, root: str) -> Load:
     load = Load(
         spark,

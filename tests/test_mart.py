@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from conftest import CRM, MDM, OMS, at, source_frames
@@ -186,6 +187,7 @@ def test_second_load_gives_the_same_tables(spark, loaded):
     root, first = loaded
     second = run_load(spark, source_frames(spark), root, SNAPSHOT, publish_failed_checks=True)
     assert second.run_id > first.run_id
+    assert not os.path.exists(f"{root}/runs/{second.run_id}/ordered")
     latest = open_latest(spark, root)
     for t in TABLES.values():
         assert table(latest[t.name], *t.names) == table(first.mart[t.name], *t.names)
