@@ -134,3 +134,27 @@ def test_probing_finds_every_code_in_the_radius():
 def test_radius_covers_the_neighbours():
     assert hamming.radius(1.0) == 0 and hamming.radius(-1.0) == 64
     assert 9 <= hamming.radius(0.95) <= 13 < hamming.radius(0.5) < hamming.radius(0.2)
+
+
+def dense_group(n, d=64, seed=4):
+    """A third of the rows are near-copies of one vector, none equal; a tenth of the others are near-copies of others."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=d)
+    third = centre + rng.normal(size=(n // 3, d)) * 0.24
+    rest = rng.normal(size=(n - n // 3, d))
+    rest[1::10] = rest[: len(rest) - 1 : 10][: len(rest[1::10])] + rng.normal(size=rest[1::10].shape) * 0.2
+    return [(int(i), 0, np.float32(v).tolist()) for i, v in enumerate(rng.permutation(np.concatenate([third, rest])))]
+
+
+@pytest.mark.parametrize("points", [256, 1024, 4096])
+def test_dense_group_of_a_third_of_the_rows(spark, monkeypatch, points):
+    monkeypatch.setattr(pivots, "LEAST", points)
+    rows = dense_group(3000)
+    v = np.array([r[2] for r in rows], float)
+    norm = np.sqrt((v * v).sum(axis=1))
+    near = (v @ v.T) / np.outer(norm, norm) >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(got.values()) >= 0.999 * near.sum() > 300_000
+    dense = np.flatnonzero(near.sum(axis=1) > 100)
+    assert len(dense) > 900 and all(got[i] == near[i].sum() for i in dense)
