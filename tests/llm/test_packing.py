@@ -91,3 +91,39 @@ def test_rest_is_cut_into_powers_of_two():
         sizes = np.diff(np.concatenate([[0], packing.boundaries(total, 64)]))
         assert sizes.sum() == total and all(s == 64 or s & (s - 1) == 0 for s in sizes)
         assert (np.diff(sizes) <= 0).all()
+
+
+def test_related_texts_of_other_files_meet(docs_of, monkeypatch):
+    """Pairs that share rare words lie far apart in the input, in partitions of their own."""
+    monkeypatch.setattr(packing, "SHARD", 6000)
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}" for a in ("zor", "mik", "plu", "qan", "vex", "tyb", "hux", "jaf") for b in ("dle", "grot", "wump", "shiv", "nock", "brez")]
+    topics = [" ".join(rng.choice(rng.permutation(words)[:4], 60)) for _ in range(40)]
+    rows = [(k, f"{topics[k % 40]} it is the same as before and so it is") for k in range(120)]
+    pieces = packing.pack(docs_of(rows, 12), window=512).collect()
+    check(pieces, rows, 512)
+    sequences = defaultdict(set)
+    for p in pieces:
+        sequences[p.sequence_id].add(p.doc_id)
+    met = {(a, b) for own in sequences.values() for a in own for b in own if a < b and a % 40 == b % 40}
+    assert len({k % 40 for k, _ in met}) >= 36
+
+
+def test_all_terms_of_a_seed_ask():
+    """The seed's neighbour shares only its thirteenth term; the row between shares none."""
+    rows = [np.arange(100, 113), np.arange(300, 313), np.array([112] + [*range(400, 412)])]
+    ids, sizes = np.concatenate(rows).astype("<u2"), np.full(3, 13)
+    inverse = np.ones(packing.VOCABULARY, np.float32)
+    inverse[112] = 0.5
+    assert [*packing.neighbour_order(ids, sizes, inverse, 13.0, 26)][:2] == [0, 2]
+
+
+def test_texts_that_meet_none_try_their_next_rare_term():
+    keys = np.full((3, packing.KEYS), packing.END, np.uint16)
+    keys[0, :2], keys[1, :2], keys[2, :1] = (10, 30), (20, 30), (40,)
+    first = np.bincount(keys[:, 0], minlength=packing.VOCABULARY)
+    second = np.bincount(keys[:, 1], minlength=packing.VOCABULARY)
+    second[packing.END] = 0
+    assert packing.settled(keys, [first, second]).tolist() == [1, 1, -1]
+    signed = packing.signatures(keys, [first, second], np.zeros(3, np.uint64))
+    assert signed[0][:2] == signed[1][:2] == b"\x00\x1e"
