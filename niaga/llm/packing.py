@@ -18,6 +18,7 @@ are ignored; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,26 +41,36 @@ K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16  # ids are held in two bytes
 
 
-def rank_encoder(path: str, pattern: str):
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that a tokenizers file adds to its vocabulary. Texts are split at them, as the library does by default."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t[k] for t in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
+def rank_encoder(path: str, pattern: str, added: dict[str, int] | None = None):
     """The vocabulary from its rank file. The ids are those of the tokenizers library for the same vocabulary (``tests/llm``
     compares the two), at a quarter of the time where most words are new."""
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added or {})
 
 
 def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids): two bytes an id, the end-of-document id included."""
     place = bpe.vocabulary()
+    added = {} if path else added_tokens(place["json"])
     path, pattern = path or place["ranks"], pattern or place["pattern"]
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = kept(f"ranks-{path}", lambda: rank_encoder(path, pattern))
+        coder = kept(f"ranks-{path}-{added}", lambda: rank_encoder(path, pattern, added))
         for part in slices(batches):
-            ids = [np.array([*coder.encode_ordinary(text), END], "<u2").tobytes() for text in part.column("text").to_pylist()]
+            ids = [np.array([*coder.encode(text, allowed_special="all"), END], "<u2").tobytes() for text in part.column("text").to_pylist()]
             yield batch(schema, part.column("doc_id"), ids)
 
     return texts(docs).mapInArrow(work, "doc_id long, ids binary")

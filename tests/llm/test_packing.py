@@ -127,3 +127,12 @@ def test_texts_that_meet_none_try_their_next_rare_term():
     assert packing.settled(keys, [first, second]).tolist() == [1, 1, -1]
     signed = packing.signatures(keys, [first, second], np.zeros(3, np.uint64))
     assert signed[0][:2] == signed[1][:2] == b"\x00\x1e"
+
+
+def test_added_tokens_in_a_text_have_their_ids(docs_of):
+    mark = "<|endoftext|>"
+    rows = [(1, f"a{mark}b"), (2, f"{mark}{mark} one {mark}"), (3, f"two words {mark} 日本\n{mark[:-1]}"), (4, "<|endoftext|")]
+    whole = Tokenizer.from_file(bpe.vocabulary()["json"])
+    assert whole.encode(rows[0][1], add_special_tokens=False).ids == [64, 50256, 65]
+    for p in packing.encoded(docs_of(rows)).collect():
+        assert np.frombuffer(p.ids, "<u2").tolist() == [*whole.encode(dict(rows)[p.doc_id], add_special_tokens=False).ids, 1]
