@@ -166,6 +166,16 @@ def with_evidence(found: DataFrame, decay: float, scale: float) -> DataFrame:
     return found.withColumn("passages", significant).withColumn("raw", raw).drop("segments")
 
 
+def calibration_of(rows: DataFrame) -> tuple[float, float, np.ndarray]:
+    """The calibration of raw evidence. Evidence is a sum that grows with the text: its inverse hyperbolic sine is binned, so that one
+    very long text does not widen the bins of the others."""
+    return calibration.fit(rows.withColumn("raw", F.asinh("raw")), "raw", unknown=0.0)
+
+
+def calibrated(raw: np.ndarray, model: tuple[float, float, np.ndarray]) -> np.ndarray:
+    return calibration.apply(np.arcsinh(raw), model)
+
+
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = COUNTED) -> DataFrame:
     """(doc_id, row, held_out, n_words, raw, passages, score) of every document; row is the hash of its text, score the
     calibrated share of toxic ones."""
@@ -179,13 +189,13 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     clean = checked.filter("label = 0 and n_words > 0")
     n, total = clean.agg(F.count("*"), F.sum(F.col("n_words") * F.exp(-rate * F.col("best")))).first()
     scale = n / total if n and total else 0.1  # the likeliest K of an extreme-value law with this lambda
-    model = calibration.fit(with_evidence(checked, rate, scale), "raw", unknown=0.0)
+    model = calibration_of(with_evidence(checked, rate, scale))
     kinds = "doc_id long, row long, held_out boolean, n_words long, raw double, passages array<struct<first: long, behind: long, score: double, expected: double>>, score double"
     evident = with_evidence(found, rate, scale).select("doc_id", "row", held_out().alias("held_out"), "n_words", "raw", "passages")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             raw = part.column("raw").to_numpy(zero_copy_only=False)
-            yield part.append_column("score", pa.array(calibration.apply(raw, model)))
+            yield part.append_column("score", pa.array(calibrated(raw, model)))
 
     return evident.mapInArrow(work, kinds)

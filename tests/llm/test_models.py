@@ -151,3 +151,12 @@ def test_odd_rows(spark, odd, nothing, operator, column):
     assert operator(nothing, labels).count() == 0
     none = labels.filter("doc_id < 0")
     assert {r.score for r in operator(odd, none).select("score").collect()} and operator(odd, none).count() == len(ODD)
+
+
+def test_one_very_long_toxic_text_leaves_the_others_apart(spark):
+    """Clean evidence around -3, toxic from 15 on, and a toxic text of 86,000: in equal bins of 43 both would share one."""
+    raw = [(-3 + i % 7 / 10, 0) for i in range(300)] + [(15.0 + i % 20, 1) for i in range(100)] + [(86_000.0, 1)]
+    rows = spark.createDataFrame(raw, "raw double, label int")
+    assert calibration.apply(np.array([25.0]), calibration.fit(rows, "raw"))[0] < 0.5
+    low, high = toxicity.calibrated(np.array([-2.5, 25.0]), toxicity.calibration_of(rows))
+    assert low < 0.05 and high > 0.95
