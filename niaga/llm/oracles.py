@@ -76,5 +76,60 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
 FROM kept"""
 
 
+def _leaf(n_chars: str) -> str:
+    """sha256 over the fields of a row, each with its length."""
+    fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
+    return "sha256(" + " || ".join(f"coalesce(strlen({c})::VARCHAR || ':' || ({c}), '-')" for c in fields) + ")"
+
+
+_STEP = "CASE WHEN s.digest IS NULL THEN sha256(w.acc) WHEN s.i < w.i THEN sha256(s.digest || w.acc) ELSE sha256(w.acc || s.digest) END"
+
+OP13 = f"""
+WITH RECURSIVE crc AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t
+),
+leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("n_chars")} AS leaf,
+           CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                     lambda a, c: xor(a >> 8, t[(xor(a, c) & 255) + 1])), 4294967295) % 7 = 0
+                THEN {_leaf("n_chars + 1")} END AS changed
+    FROM documents, crc
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+),
+nodes AS (
+    SELECT tree, 0 AS level, i, n, leaf AS digest FROM ranked
+    UNION ALL
+    SELECT tree, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM nodes WHERE n > 1
+    GROUP BY tree, level, i // 2, n
+),
+subroots AS (
+    SELECT tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, digest FROM nodes WHERE n = 1
+),
+tops AS (
+    SELECT 0 AS level, i, n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 2, n
+),
+walk AS (
+    SELECT tree, i AS own, 0 AS level, i, n, coalesce(changed, leaf) AS acc, '' AS proof FROM ranked
+    UNION ALL
+    SELECT w.tree, w.own, w.level + 1, w.i // 2, (w.n + 1) // 2, {_STEP}, w.proof || coalesce(s.digest, '')
+    FROM walk w LEFT JOIN nodes s ON s.tree = w.tree AND s.level = w.level AND s.i = xor(w.i, 1) WHERE w.n > 1
+),
+climb AS (
+    SELECT tree, own, 0 AS level, r.i, r.n, acc, proof, r.digest AS subroot FROM walk JOIN subroots r ON lang = tree WHERE walk.n = 1
+    UNION ALL
+    SELECT w.tree, w.own, w.level + 1, w.i // 2, (w.n + 1) // 2, {_STEP}, w.proof || coalesce(s.digest, ''), w.subroot
+    FROM climb w LEFT JOIN tops s ON s.level = w.level AND s.i = xor(w.i, 1) WHERE w.n > 1
+)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = digest AS verified
+FROM ranked JOIN climb ON climb.tree = ranked.tree AND own = ranked.i AND climb.n = 1 JOIN tops ON tops.n = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: text.strip() for name, text in (("op3_pivot_dedup", OP3), ("op5_setsketch", OP5), ("op7_substring_dedup", OP7))}
+    found = {"op3_pivot_dedup": OP3, "op5_setsketch": OP5, "op7_substring_dedup": OP7, "op13_merkle_manifest": OP13}
+    return {name: text.strip() for name, text in found.items()}

@@ -11,6 +11,6 @@ from niaga.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     assert compare(queries.queries()[name](spark, SF), con, queries.oracle_sql()[name]) is None
