@@ -76,6 +76,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
 FROM kept"""
 
 
+_TOKENS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TOKENS} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_TOKENS} AS w FROM benchmark),
+iw AS (
+    SELECT DISTINCT item, n, array_to_string(w[s:s + n - 1], ' ') AS x
+    FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM (SELECT *, least(len(w), 10) AS n FROM i WHERE len(w) > 0))
+),
+dw AS (
+    SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS x
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+),
+hit AS (SELECT r, s, n, item FROM dw JOIN iw USING (n, x)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+listed AS (
+    SELECT r, count(item) AS n_items, coalesce(string_agg(item, ',' ORDER BY item), '') AS items
+    FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)"""
+
+
 def _leaf(n_chars: str) -> str:
     """sha256 over the fields of a row, each with its length."""
     fields = ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")
@@ -131,5 +156,6 @@ FROM ranked JOIN climb ON climb.tree = ranked.tree AND own = ranked.i AND climb.
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op3_pivot_dedup": OP3, "op5_setsketch": OP5, "op7_substring_dedup": OP7, "op13_merkle_manifest": OP13}
+    found = {"op3_pivot_dedup": OP3, "op5_setsketch": OP5, "op7_substring_dedup": OP7, "op12_winnowing": OP12}
+    found |= {"op13_merkle_manifest": OP13}
     return {name: text.strip() for name, text in found.items()}

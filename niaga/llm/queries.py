@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, hamming, merkle, oracles, packing, pii, pivots, quality, setsketch, toxicity, unigram
+from niaga.llm import bpe, debruijn, hamming, merkle, oracles, packing, pii, pivots, quality, setsketch, toxicity, unigram, winnowing
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in ten-word windows of benchmark items, and digests of these items."""
+    return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of membership of every document, and whether it holds after tampering."""
     return merkle.proofs(table(spark, sf_dir, "documents"))
@@ -104,6 +109,7 @@ def queries() -> dict[str, Query]:
         op8_multi_index,
         op9_byte_bpe,
         op10_personal_data,
+        op12_winnowing,
         op13_merkle_manifest,
     )
     return {f.__name__: f for f in operators} | {"pipeline": pipeline}
