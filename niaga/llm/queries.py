@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from niaga.llm import bpe, debruijn, hamming, merkle, oracles, packing, pii, pivots, quality, setsketch, toxicity, unigram, winnowing
+from niaga.llm import bpe, debruijn, hamming, merkle, oracles, packing, pii, pivots, quality, setsketch, toxicity, unigram, whitening, winnowing
 from niaga.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading principal components, whitened."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in ten-word windows of benchmark items, and digests of these items."""
     return winnowing.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -109,6 +115,7 @@ def queries() -> dict[str, Query]:
         op8_multi_index,
         op9_byte_bpe,
         op10_personal_data,
+        op11_whitening,
         op12_winnowing,
         op13_merkle_manifest,
     )
