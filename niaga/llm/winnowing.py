@@ -103,6 +103,18 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("item", "width", F.array_join("w", " ").alias("window"), least.alias("hash"))
 
 
+def place(wide: Column | str, first: Column) -> Column:
+    return F.shiftleft(first.cast("long"), 4).bitwiseOR(F.col(wide) if isinstance(wide, str) else wide)
+
+
+def width(place: Column) -> Column:
+    return place.bitwiseAND(F.lit(15)).cast("int")
+
+
+def at(place: Column) -> Column:
+    return F.shiftright(place, 4)
+
+
 def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["row"] == b["row"])
 
@@ -132,16 +144,17 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "item_id", text_col: s
     # hits of fingerprints, extended to the windows that hold them, compared by words
     if widths:
         hit = fingerprints(texts, widths).join(wanted, ["width", "hash"], "left_semi").select("doc_id", "row", "width", "at")
-        hit = hit.groupBy("doc_id", "row").agg(F.collect_set(F.struct("width", "at")).alias("hits"))  # fewer than the words
+        # a place (width and word) is one number: sets of numbers are hashed, sets of structs are searched through
+        hit = hit.groupBy("doc_id", "row").agg(F.collect_set(place("width", F.col("at"))).alias("hits"))  # fewer than the words
         hit = put("hits", hit)
         both = texts.join(hit, same_document(texts, hit)).select(texts["doc_id"], texts["row"], words(texts["text"]).alias("w"), "hits")
-        first = lambda h: F.greatest(h["at"] - h["width"] + F.least(h["width"], F.lit(RUN)), F.lit(0))
-        last = lambda h: F.least(h["at"], F.size("w") - h["width"])
-        starts = lambda h: F.transform(F.sequence(first(h), last(h)), lambda s: F.struct(h["width"].alias("width"), s.alias("start")))
+        first = lambda h: F.greatest(at(h) - width(h) + F.least(width(h), F.lit(RUN)), F.lit(0))
+        last = lambda h: F.least(at(h), F.size("w") - width(h))
+        starts = lambda h: F.transform(F.sequence(first(h), last(h)), lambda s: place(width(h), s))
         both = both.withColumn("tried", F.array_distinct(F.flatten(F.transform("hits", starts))))
-        window = lambda t: F.array_join(F.slice("w", t["start"] + 1, t["width"]), " ")
-        tried = both.select("doc_id", "row", F.explode(F.transform("tried", lambda t: F.struct(t["width"], t["start"], window(t).alias("window")))).alias("t"))
-        tried = tried.select("doc_id", "row", "t.*")
+        window = lambda t: F.array_join(F.slice("w", (at(t) + 1).cast("int"), width(t)), " ")
+        held_there = lambda t: F.struct(width(t).alias("width"), at(t).cast("int").alias("start"), window(t).alias("window"))
+        tried = both.select("doc_id", "row", F.explode(F.transform("tried", held_there)).alias("t")).select("doc_id", "row", "t.*")
         matched = tried.join(windows.select("width", "window", "set"), ["width", "window"])
         matched = matched.select("doc_id", "row", "start", (F.col("start") + F.col("width")).alias("end"), "set")
     else:
