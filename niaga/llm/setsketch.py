@@ -40,7 +40,8 @@ RATE = 20.0  # arrivals of an element at a register in a unit of time
 LEVELS = 65534
 MARGIN = 0.2  # five standard deviations of the estimate at the threshold
 NO_ID = lambda c: F.coalesce(F.col(c), F.lit((1 << 63) - 1))  # noqa: E731  a null id, as a key behind all others
-LEADERS, MEMBERS = 128, 1024  # unlinked classes and members of a bucket in one block
+LEADERS, MEMBERS = 128, 1024  # unlinked classes and members of a bucket in one block, at most
+LEADER_ELEMENTS, MEMBER_ELEMENTS = 1 << 19, 1 << 20  # elements of their sets in one block (about), so that long texts make small blocks
 
 
 def element_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -146,17 +147,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, key, c, copies): the buckets of each class; key is the band's registers themselves."""
-    schema = pa.schema([("c", pa.int64()), ("copies", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """(band, key, c, copies, n): the buckets of each class; key is the band's registers themselves."""
+    schema = pa.schema([("c", pa.int64()), ("copies", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             keys = _matrix(part.column("registers")).reshape(part.num_rows, BANDS, ROWS)
             packed = np.ascontiguousarray(keys.astype("<u2")).view("<i8").reshape(part.num_rows, BANDS)
-            yield batch(schema, part.column("c"), part.column("copies"), list(packed))
+            yield batch(schema, part.column("c"), part.column("copies"), part.column("n"), list(packed))
 
-    made = classes.select("c", "copies", "registers").mapInArrow(work, "c long, copies long, keys array<long>")
-    return made.select("c", "copies", F.posexplode("keys").alias("band", "key"))
+    made = classes.select("c", "copies", "n", "registers").mapInArrow(work, "c long, copies long, n long, keys array<long>")
+    return made.select("c", "copies", "n", F.posexplode("keys").alias("band", "key"))
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -222,13 +223,24 @@ def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, docs: D
     """
     root = roots.select(F.col("node").alias("c"), "root")
     with_root = buckets.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    lead = with_root.filter("c = leader").select("band", "key", F.col("root").alias("linked"))
-    open_ones = with_root.join(lead, ["band", "key"]).withColumn("apart", F.col("root") != F.col("linked"))
-    size = open_ones.groupBy("band", "key").agg(F.count("*").alias("members"), F.sum(F.col("apart").cast("long")).alias("unlinked"))
-    size = size.filter("unlinked > 0 and members > 2").select(
-        "band", "key", F.ceil(F.col("unlinked") / LEADERS).cast("int").alias("lb"), F.ceil(F.col("members") / MEMBERS).cast("int").alias("mb")
+    # what a bucket holds, from its components: two small aggregates, then one join whose hot buckets can be split
+    parts = with_root.groupBy("band", "key", "root").agg(
+        F.max((F.col("c") == F.col("leader")).cast("int")).alias("own"), F.count("*").alias("members"), F.sum("n").alias("elements")
     )
-    rows = cut(open_ones.select("band", "key", "c", "root", "apart").join(size, ["band", "key"]).join(classes.select("c", "n", "registers"), "c"))
+    info = parts.groupBy("band", "key").agg(
+        F.max(F.struct("own", "root", "members", "elements")).alias("linked"), F.sum("members").alias("members"), F.sum("elements").alias("elements")
+    )
+    blocks_of = lambda count, most, elements, fit: F.greatest(F.ceil(count / most), F.ceil(elements / fit)).cast("int")
+    unlinked, open_elements = F.col("members") - F.col("linked.members"), F.col("elements") - F.col("linked.elements")
+    info = info.filter((unlinked > 0) & (F.col("members") > 2)).select(
+        "band",
+        "key",
+        F.col("linked.root").alias("linked"),
+        blocks_of(unlinked, LEADERS, open_elements, LEADER_ELEMENTS).alias("lb"),
+        blocks_of(F.col("members"), MEMBERS, F.col("elements"), MEMBER_ELEMENTS).alias("mb"),
+    )
+    found = with_root.join(apart(info, "key"), ["band", "key"]).withColumn("apart", F.col("root") != F.col("linked"))
+    rows = cut(found.select("band", "key", "c", "root", "apart", "lb", "mb").join(classes.select("c", "n", "registers"), "c"))
     spread = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = ["band", "key", "l", "m"]
@@ -242,6 +254,11 @@ def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, docs: D
     def part(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return tuple(t.column(c).combine_chunks().to_numpy() for c in ("c", "root", "n"))
 
+    def sets(texts: pa.ChunkedArray, together: bool = False) -> list | Iterator:
+        """The sets of all texts, each of its own, or made in slices and given as (bounds, elements) of a slice."""
+        made = (element_sets(*text_buffer(p.column("text")), k) for p in slices(pa.table({"text": texts}).to_batches()))
+        return made if together else [e[b[i] : b[i + 1]].copy() for b, e in made for i in range(len(b) - 1)]
+
     def hopeful(x: pa.Table, y: pa.Table) -> pa.Table:
         """The classes of a block that some other one may be linked to, by the sketches."""
         found: set[int] = set()
@@ -263,16 +280,18 @@ def _remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, docs: D
         a, b = [], []
         if x.num_rows and y.num_rows:
             (cx, ox, _), (cy, oy, _) = part(x), part(y)
-            (xb, xe), (yb, ye) = (element_sets(*text_buffer(t.column("text").combine_chunks()), k) for t in (x, y))
-            sizes = np.diff(yb)
-            for i in range(len(cx)):
-                own = xe[xb[i] : xb[i + 1]]
-                at = np.minimum(np.searchsorted(own, ye), len(own) - 1)
-                shared = np.add.reduceat((own[at] == ye).astype(np.int64), yb[:-1])
-                linked = (oy != ox[i]) & (100 * shared >= SIMILARITY * (len(own) + sizes - shared))
-                _, one = np.unique(oy[linked], return_index=True)
-                a += [int(cx[i])] * len(one)
-                b += cy[linked][one].tolist()
+            own, at = sets(x.column("text")), 0
+            for yb, ye in sets(y.column("text"), True):  # a few texts at once: only the sets of x are held
+                upto = at + len(yb) - 1
+                sizes, c, o = np.diff(yb), cy[at:upto], oy[at:upto]
+                for i, elements in enumerate(own):
+                    place = np.minimum(np.searchsorted(elements, ye), len(elements) - 1)
+                    shared = np.add.reduceat((elements[place] == ye).astype(np.int64), yb[:-1])
+                    linked = (o != ox[i]) & (100 * shared >= SIMILARITY * (len(elements) + sizes - shared))
+                    _, one = np.unique(o[linked], return_index=True)
+                    a += [int(cx[i])] * len(one)
+                    b += c[linked][one].tolist()
+                at = upto
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     may = cut(blocks(rows, "registers", hopeful, "c long").distinct())
@@ -312,7 +331,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
         merged = graph.components(between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
         root = root.join(merged.select(F.col("node").alias("root"), F.col("root").alias("merged")), "root", "left")
         root = root.select("c", "first", F.coalesce("merged", "root").alias("root"))
-    named = root.join(root.groupBy("root").agg(F.min("first").alias("component")), "root").select("c", "component")
+    root = apart(root, "root")  # dealt by the root anew, so that the rows of a large component can be split
+    named = root.join(apart(root.groupBy("root").agg(F.min("first").alias("component")), "root"), "root").select("c", "component")
     found = rows.select("doc_id", "row", "n_shingles", "c").join(named, "c", "left")
     component = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())

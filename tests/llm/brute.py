@@ -16,9 +16,9 @@ def shingles(text: str | None, k: int = 4) -> frozenset:
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
-def near_groups(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+def near_groups(rows: list[tuple[int, str | None]], k: int = 4) -> dict[int, int]:
     """Smallest id reachable, by all pairs."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, k) for i, t in rows}
     parent = {i: i for i in sets}
 
     def find(i):

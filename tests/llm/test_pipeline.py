@@ -52,7 +52,7 @@ def test_toxic_documents_go_and_others_stay_as_they_are(written, spark):
 def test_one_document_of_each_group_stays(written):
     docs, made = written[1]
     before = texts(docs)
-    groups = near_groups([(i, r.text) for i, r in before.items()])
+    groups = near_groups([(i, r.text) for i, r in before.items()], p.SHINGLE)
     after = texts(made)
     assert set(after) == {i for i, root in groups.items() if root == i} and len(after) < len(before)
     assert all(after[i] == before[i] for i in after)

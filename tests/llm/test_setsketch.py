@@ -102,3 +102,23 @@ def test_sketches_merge_and_estimate():
     assert (s.merge(made[0], made[1]) == made[2]).all()
     near = s.likeliest(made[:1], made[1:2], np.array([len(a)]), np.array([len(b)]))[0]
     assert near == pytest.approx(2000 / 4000, abs=0.05)
+
+
+def test_blocks_follow_the_sizes_of_the_sets(docs_of, monkeypatch):
+    """Blocks of a few hundred elements: a long text is a block of its own, and texts of x meet y in slices."""
+    monkeypatch.setattr(s, "LEADER_ELEMENTS", 300)
+    monkeypatch.setattr(s, "MEMBER_ELEMENTS", 700)
+    r = random.Random(5)
+    base = [f"w{r.randrange(5000)}" for _ in range(300)]
+    rows = [(i, varied(base, r, r.choice([5, 10, 14, 16, 18]))) for i in range(40)]
+    check(rows, s.near_duplicates(docs_of(rows)).collect())
+
+
+def test_five_words(docs_of):
+    r = random.Random(6)
+    base = [f"w{r.randrange(50)}" for _ in range(100)]
+    rows = [(i, varied(base, r, i % 6)) for i in range(30)]
+    got = s.near_duplicates(docs_of(rows), k=5).collect()
+    groups = near_groups(rows, 5)
+    assert {x.doc_id: x.component_id for x in got} == groups
+    assert groups != near_groups(rows, 4)
