@@ -17,6 +17,7 @@ from niaga.llm.common import cut, restored, table, without
 from niaga.session import shared_root
 
 TOXIC = 0.5  # documents of this score and above are rejected
+SHINGLE = 5  # words of a shingle; the four of op5_setsketch are its contract's alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near-duplicates."""
-    found = cut(setsketch.near_duplicates(docs))
+    """Keeps the document of the smallest id of each group of near-duplicates (0.8 of all runs of five words in common)."""
+    found = cut(setsketch.near_duplicates(docs, SHINGLE))
     linked = found.filter("kept and n_shingles > 0").groupBy("doc_id", "row").count()
     return without(docs, found.filter("not kept"), linked.filter("count > 1"))
 
