@@ -36,7 +36,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--allow-failed-checks", action="store_true", help="publish, but still exit 1")
     load.add_argument("--skip-unreadable-rows", action="store_true")
     load.add_argument(
-        "--multi-line", action="store_true", help="quoted cells hold line breaks; each file is then read by one task"
+        "--multi-line", action="store_true", help="each file is read whole by one task, for files whose lines end otherwise than with a line feed"
     )
     report = commands.add_parser("report", help="run one report on the published mart")
     report.add_argument("name", choices=sorted([*REPORTS, *PAGES, "e1_daily_summary"]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from niaga.plans.faults import CHECKED, with_faults
 from niaga.plans.pipeline import Mart, build_unpublished
 from niaga.schemas import LOADED_AT, MONTH, ORPHANS, SOURCES, TABLES
 from niaga.session import shared_root
-from niaga.sources import sample_sources
+from niaga.sources import export_csv, read_csv, sample_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +166,16 @@ def _narrow(m: Mart) -> DataFrame:
     return report.select(*(F.col(c).cast("bigint").alias(c) if t.startswith("decimal") else c for c, t in report.dtypes))
 
 
+def _line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose names hold line breaks, quotes and separators, written as CSV files and read back by many tasks."""
+    names = [f.name for f in SOURCES["crm_user_profiles"].schema]
+    broken = F.concat("nama_lengkap", F.lit('\n"'), "kota", F.lit('",\r\n'), "account_tier")
+    people = sample_sources(spark, sf_dir)["crm_user_profiles"].rows.withColumn("nama_lengkap", broken)
+    folder = f"{shared_root(spark)}/niaga/{spark.sparkContext.applicationId}/csv-{uuid.uuid4().hex}"
+    export_csv(people.select(names), folder)
+    return read_csv(spark, "crm_user_profiles", folder).rows.select(names)
+
+
 def _audit(m: Mart) -> DataFrame:
     return m["etl_run_log"].select("step_name", "status", "row_count")
 
@@ -176,6 +187,7 @@ def queries() -> dict[str, Query]:
         "stg_oms": _staged("oms_orders"),
         "stg_wms": _staged("wms_inventory_movements"),
         "stg_web": _staged("web_clickstream_logs"),
+        "csv_line_breaks": _line_breaks,
         "date_span": _span,
         "date_key_expr": _date_keys,
         "param_query": _param_query,

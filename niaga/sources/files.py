@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from niaga.lookups import NULL_TOKENS
 from niaga.schemas import ARRIVAL, SOURCES, Source
+from niaga.sources.records import broken_records
 
 
 MALFORMED = "_malformed"
@@ -57,6 +58,60 @@ def _parse(column: str, type_name: str) -> Column:
     return F.trim(text).try_cast(type_name)
 
 
+def _fields(record: Column, columns: int, multi_line: bool) -> Column:
+    """The cells of a record's text, with a mark behind the last one."""
+    wider = ", ".join(f"f{i} string" for i in range(columns + 1))
+    return F.from_csv(F.concat(record, F.lit(f",{_MARK}")), wider, {"quote": '"', "escape": '"', "multiLine": str(multi_line)})
+
+
+def _surplus(fields: Column, columns: int) -> Column:
+    """Whether there are more cells than columns, also where the surplus one is empty: then the mark lies beyond the columns."""
+    return ~F.coalesce(F.array_contains(F.array(*(fields[f"f{i}"] for i in range(columns + 1))), _MARK), F.lit(False))
+
+
+def _lines(spark: SparkSession, path: str, header: list[str], multi_line: bool) -> DataFrame:
+    """The columns of the files, read by Spark's reader: a record for each line, or files read whole."""
+    as_text = [StructField(c, StringType()) for c in header]
+    # enforceSchema=false checks the header of every file against the first one
+    raw = (
+        _csv(spark, multi_line)
+        .schema(StructType([*as_text, StructField(MALFORMED, StringType())]))
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("enforceSchema", False)
+        .csv(path)
+    )
+    # The reader sets aside the text of rows with too few or too many fields, and would cut the latter.
+    fields = _fields(F.regexp_replace(MALFORMED, "[\r\n]+$", ""), len(header), multi_line)
+    arrival = F.struct(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"),
+    )
+    surplus = F.when(F.col(MALFORMED).isNotNull() & _surplus(fields, len(header)), F.col(MALFORMED))
+    return raw.select(*(F.col(f"`{c}`") for c in header), arrival.alias(ARRIVAL), surplus.alias(MALFORMED))
+
+
+def _records(records: DataFrame, header: list[str]) -> DataFrame:
+    """The columns of records that may hold line breaks; the first record of a file is its header."""
+    rows = records.withColumn("record", F.regexp_replace("record", "\r$", ""))
+    rows = rows.filter(F.trim("record") != "").withColumn("_first", F.col("block") == 0)
+    rows = rows.withColumn("_fields", _fields(F.col("record"), len(header), True))
+    cell = lambda i: F.col(f"_fields.f{i}")
+    # a header is checked as the reader does it: in a file's first block, the row of the least position
+    tops = rows.filter("_first").groupBy("file").agg(F.min_by("_fields", "pos").alias("_top"), F.min("pos").alias("_at"))
+    same = F.lit(True)
+    for i, c in enumerate(header):
+        same = same & (F.lower(F.col(f"_top.f{i}")).eqNullSafe(F.lower(F.lit(c))))
+    if (other := tops.filter(~same).select("file").head()) is not None:
+        raise SourceError(f"another header than that of the first file: {other.file}")
+    rows = rows.join(tops.select("file", "_at"), "file").filter(~(F.col("_first") & (F.col("pos") == F.col("_at"))))
+    arrival = F.struct(F.col("name").alias("file"), "block", F.col("pos").alias("position"))
+    bad = F.when(F.col("unclosed") | _surplus(F.col("_fields"), len(header)), F.col("record"))
+    return rows.select(
+        *(F.when(cell(i) != _MARK, cell(i)).alias(c) for i, c in enumerate(header)), arrival.alias(ARRIVAL), bad.alias(MALFORMED)
+    )
+
+
 def read_csv(
     spark: SparkSession,
     name: str,
@@ -66,6 +121,10 @@ def read_csv(
 ) -> SourceFrame:
     """One CSV source (a file or a folder of files) as declared columns.
 
+    Quoted cells may hold line breaks, and a file is still read by many tasks: only files that have such cells
+    are put together from their lines (``records``). ``multi_line`` has each file read whole by one task instead, for
+    files that end their lines otherwise.
+
     Columns are bound by header name, so their order is free and extra ones are
     ignored. ``_arrival`` holds (file name, block, position), which orders rows
     as they stand in the files however the scan was split. It is shuffled with
@@ -84,37 +143,17 @@ def read_csv(
     if missing:
         raise SourceError(f"source '{name}' lacks columns: {', '.join(missing)}")
 
-    as_text = [StructField(c, StringType()) for c in header]
-    # enforceSchema=false checks the header of every file against the first one
-    raw = (
-        _csv(spark, multi_line)
-        .schema(StructType([*as_text, StructField(MALFORMED, StringType())]))
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    records = None if multi_line else broken_records(spark, path)
+    raw = _lines(spark, path, header, multi_line) if records is None else _records(records, header)
     if raw.isEmpty():
         raise SourceError(f"source '{name}' is empty: {path}")
-    # The reader sets aside the text of rows with too few or too many fields, and would cut the latter. A mark behind
-    # the last field tells them apart, also where the surplus field is empty: it lies beyond the columns.
-    wider = ", ".join(f"f{i} string" for i in range(len(header) + 1))
-    marked = F.concat(F.regexp_replace(MALFORMED, "[\r\n]+$", ""), F.lit(f",{_MARK}"))
-    fields = F.from_csv(marked, wider, {"quote": '"', "escape": '"', "multiLine": str(multi_line)})
-    ends = F.array_contains(F.array(*(fields[f"f{i}"] for i in range(len(header) + 1))), _MARK)
-    surplus = F.when(F.col(MALFORMED).isNotNull() & ~F.coalesce(ends, F.lit(False)), F.col(MALFORMED))
-
-    arrival = F.struct(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("position"),
-    )
     text = raw.select(
         *(
             F.when(~F.col(f.name).isin(*null_tokens), F.col(f.name)).alias(f.name)
             for f in source.schema
         ),
-        arrival.alias(ARRIVAL),
-        surplus.alias(MALFORMED),
+        ARRIVAL,
+        MALFORMED,
     )
     return split_rejects(source, text)
 

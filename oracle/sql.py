@@ -550,6 +550,8 @@ def _bodies() -> dict[str, str]:
         "stg_oms": "SELECT * EXCLUDE (pos) FROM oms_raw",
         "stg_wms": "SELECT * EXCLUDE (pos) FROM wms_raw",
         "stg_web": "SELECT * FROM web",
+        "csv_line_breaks": "SELECT * REPLACE (nama_lengkap || chr(10) || '\"' || kota || '\",' || chr(13) || chr(10) || account_tier"
+        " AS nama_lengkap) FROM crm",
         "date_span": "SELECT * FROM span",
         "date_key_expr": "SELECT strftime(hit_timestamp, '%Y%m%d')::INTEGER AS date_key, count(*) AS n"
         " FROM web GROUP BY ALL",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from niaga.operators import keep_first
 from niaga.schemas import ARRIVAL, SOURCES
 from niaga.sources import SourceError, export_csv, read_all, read_csv
+from niaga.sources.records import lines
 
 PRODUCTS = "product_id,nama_produk,kategori,harga_modal_idr,harga_jual_idr,is_active"
 
@@ -148,6 +149,75 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     assert source.rows.select(F.col(ARRIVAL)["file"]).head()[0] == "p.csv"
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Sessions read files of some hundred bytes in many tasks."""
+    keys = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+CELLS = ["a", "", "x y", 'say ""hi""', "line\nbreak", "a,b", "\n", "\n\n,", '""', 'two\r\nmore""\n', 'mid "" quote,\n"",', "long " * 60, "deep\n" * 90]
+
+
+def cell(random, text):
+    return f'"{text}"' if random.random() < 0.4 or set(text) & set('\n\r,"') else text
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quoted_line_breaks_in_files_read_by_many_tasks(spark, tmp_path, small_splits, seed):
+    """Cells with breaks, quotes and separators, longer than a task's block too, equal those of a sequential reader."""
+    import csv
+    import random
+
+    r = random.Random(seed)
+    ends = "\r\n" if seed % 2 else "\n"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    expected = []
+    for part in range(3):
+        body = [[f"P{part}-{i}", r.choice(CELLS), r.choice(CELLS[:3 if part == 1 else None]), "1", "2", "True"] for i in range(60)]
+        text = PRODUCTS + ends + ends.join(",".join(cell(r, c) for c in row) for row in body) + ends
+        (folder / f"{part}.csv").write_bytes(text.encode())
+        with open(folder / f"{part}.csv", newline="") as f:
+            expected += [row for row in csv.reader(f)][1:]
+    source = read_csv(spark, "mdm_products", str(folder), null_tokens=("",))
+    assert lines(spark, str(folder)).rdd.getNumPartitions() > 20  # of three files
+    got = source.rows.orderBy(ARRIVAL).collect()
+    assert [(x.product_id, x.nama_produk, x.kategori) for x in got] == [(a, b or None, c or None) for a, b, c, *_ in expected]
+    assert source.rejects.isEmpty()
+
+
+def test_a_quote_inside_an_unquoted_cell_is_text(spark, tmp_path, small_splits):
+    body = [f'P{i},pipe {i}" wide,b,1,2,True' for i in range(30)] + ['Q,"a\nb",c,1,2,True', 'R,"x" y"z,c,1,2,True', "S,t,u,1,2,True"]
+    source = read_csv(spark, "mdm_products", write(tmp_path / "p.csv", PRODUCTS, *body))
+    names = {r.product_id: r.nama_produk for r in source.rows.collect()}
+    assert len(names) == 33 and names["P7"] == 'pipe 7" wide' and names["Q"] == "a\nb" and names["S"] == "t"
+
+
+def test_an_unclosed_cell_and_surplus_cells_are_set_apart(spark, tmp_path, small_splits):
+    body = ['P1,"two\nlines",b,1,2,True', 'P2,"x\ny",b,1,2,True,more', "P3,short", 'P4,ok,b,1,2,True', 'P5,"never closed,b', "1,2,True"]
+    source = read_csv(spark, "mdm_products", write(tmp_path / "p.csv", PRODUCTS, *body))
+    assert sorted(r.product_id for r in source.rows.collect()) == ["P1", "P4"]
+    rejects = {(r.product_id or "")[:2]: r for r in source.rejects.collect()}
+    assert set(rejects) == {"P2", "P3", "P5"}
+    assert rejects["P2"].record == 'P2,"x\ny",b,1,2,True,more' and rejects["P5"].record.endswith("1,2,True")
+    assert rejects["P3"].record is None
+
+
+def test_files_with_breaks_and_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(folder / "a.csv", PRODUCTS, 'P1,"two\nlines",b,1,2,True')
+    write(folder / "b.csv", PRODUCTS.replace("kategori", "other"), "P2,x,b,1,2,True")
+    with pytest.raises(SourceError, match="header"):
+        read_csv(spark, "mdm_products", str(folder))
+
+
 def test_command_line_loads_and_reports(spark, tmp_path, capsys):
     """CSV files in, a published mart, a report out, and exit status 1 for a failed check."""
     from conftest import CRM, MDM, OMS, WEB, WMS
