@@ -91,20 +91,19 @@ def _lines(spark: SparkSession, path: str, header: list[str], multi_line: bool)
     return raw.select(*(F.col(f"`{c}`") for c in header), arrival.alias(ARRIVAL), surplus.alias(MALFORMED))
 
 
-def _records(records: DataFrame, header: list[str]) -> DataFrame:
-    """The columns of records that may hold line breaks; the first record of a file is its header."""
-    rows = records.withColumn("record", F.regexp_replace("record", "\r$", ""))
-    rows = rows.filter(F.trim("record") != "").withColumn("_first", F.col("block") == 0)
-    rows = rows.withColumn("_fields", _fields(F.col("record"), len(header), True))
-    cell = lambda i: F.col(f"_fields.f{i}")
-    # a header is checked as the reader does it: in a file's first block, the row of the least position
-    tops = rows.filter("_first").groupBy("file").agg(F.min_by("_fields", "pos").alias("_top"), F.min("pos").alias("_at"))
-    same = F.lit(True)
+def _records(records: DataFrame, tops: DataFrame, header: list[str]) -> DataFrame:
+    """The columns of records that may hold line breaks, without the first line of each file, its header."""
+    # headers are checked as the reader does it
+    top = _fields(F.regexp_replace("top", "\r$", ""), len(header), True)
+    same = ~_surplus(top, len(header))
     for i, c in enumerate(header):
-        same = same & (F.lower(F.col(f"_top.f{i}")).eqNullSafe(F.lower(F.lit(c))))
+        same = same & F.lower(top[f"f{i}"]).eqNullSafe(F.lower(F.lit(c)))
     if (other := tops.filter(~same).select("file").head()) is not None:
         raise SourceError(f"another header than that of the first file: {other.file}")
-    rows = rows.join(tops.select("file", "_at"), "file").filter(~(F.col("_first") & (F.col("pos") == F.col("_at"))))
+    rows = records.join(tops.select("file", "at"), "file").filter((F.col("block") != 0) | (F.col("pos") != F.col("at")))
+    rows = rows.withColumn("record", F.regexp_replace("record", "\r$", "")).filter(F.trim("record") != "")
+    rows = rows.withColumn("_fields", _fields(F.col("record"), len(header), True))
+    cell = lambda i: F.col(f"_fields.f{i}")
     arrival = F.struct(F.col("name").alias("file"), "block", F.col("pos").alias("position"))
     bad = F.when(F.col("unclosed") | _surplus(F.col("_fields"), len(header)), F.col("record"))
     return rows.select(
@@ -143,9 +142,9 @@ def read_csv(
     if missing:
         raise SourceError(f"source '{name}' lacks columns: {', '.join(missing)}")
 
-    records = None if multi_line else broken_records(spark, path)
-    raw = _lines(spark, path, header, multi_line) if records is None else _records(records, header)
-    if raw.isEmpty():
+    broken = None if multi_line else broken_records(spark, path)
+    raw = _records(*broken, header) if broken else _lines(spark, path, header, multi_line)
+    if not broken and raw.isEmpty():
         raise SourceError(f"source '{name}' is empty: {path}")
     text = raw.select(
         *(

@@ -119,10 +119,14 @@ def records(rows: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
-def broken_records(spark: SparkSession, path: str) -> DataFrame | None:
-    """The records of the files, or None if no quoted cell of theirs holds a line break: then every line is a record."""
+def broken_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """The records of the files, and (file, at, top) with the place and text of every file's first line; None if no quoted cell of
+    theirs holds a line break: then every line is a record."""
     rows = lines(spark, path)
     if rows.filter(F.contains("line", F.lit('"'))).isEmpty():
         return None
-    held = blocks(rows)
-    return records(rows, held) if not held.filter("open").isEmpty() else None
+    held = blocks(rows).persist()  # a row for each block
+    if held.filter("open").isEmpty():
+        return None
+    tops = rows.filter("block = 0").groupBy("file").agg(F.min("pos").alias("at"), F.min_by("line", "pos").alias("top"))
+    return records(rows, held), tops.persist()  # a row for each file
