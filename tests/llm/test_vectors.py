@@ -103,11 +103,9 @@ def test_query_of_neighbours(spark):
     check_search({r.vec_id: r.embedding for r in rows}, op8_multi_index(spark, SF).collect())
 
 
-def test_search_in_small_blocks_of_clusters(spark, monkeypatch):
-    monkeypatch.setattr(hamming, "BLOCK", 40)
-    monkeypatch.setattr(hamming, "QUERIES", 2)
+def test_search_in_small_parts_of_clusters(spark):
     rows = clustered(3, 64)
-    check_search({i: v for i, _, v in rows}, hamming.nearest(frame(spark, rows)).collect(), 0.95)
+    check_search({i: v for i, _, v in rows}, hamming.nearest(frame(spark, rows), part=20).collect(), 0.95)
 
 
 def test_odd_search(spark):
@@ -117,18 +115,55 @@ def test_odd_search(spark):
     assert hamming.nearest(frame(spark, [(50, 1, [1.0, 2.0])])).count() == 0
 
 
-def test_probing_finds_every_code_in_the_radius():
+def near_copies(n=3000, d=64, seed=7, noise=0.15):
+    """Groups of some ten near copies."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 10, d))
+    return centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, d)) * noise
+
+
+def test_probing_finds_every_code_in_the_radius_once():
     rng = np.random.default_rng(6)
-    v = rng.normal(size=(500, 16))
-    rotation = hamming.learned_rotation(v)
-    index = hamming.Index(np.arange(500), v, rotation)
-    code = index.codes[7]
-    apart = np.unpackbits(index.codes ^ code, axis=1).sum(axis=1)
-    found = set()
-    for distance in range(4):
-        found |= {*index.probe(code, distance).tolist()}
-        radius = len(code) * (distance + 1) - 1
-        assert {*np.flatnonzero(apart <= radius).tolist()} <= found
+    v = rng.normal(size=(3000, 16))
+    code = hamming.codes(v, hamming.learned_rotation(v))
+    ids = [np.array([i]) for i in range(len(v))]
+    parts = [hamming.Part(t, code, v, ids) for t in range(hamming.TABLES)]
+    apart = hamming.distances(code, code[7])
+    assert (apart == np.unpackbits((code ^ code[7]).view(np.uint8), axis=1).sum(axis=1)).all()
+    found = []
+    for low, high in ((0, 2), (3, 3), (4, 6)):
+        for part in parts:
+            found += [int(part.ids[r][0]) for r in part.probe(code[7], low, high)]
+        assert len(found) == len(set(found))
+        assert {*np.flatnonzero(apart <= hamming.TABLES * (high + 1) - 1).tolist()} <= set(found)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_slack_and_the_share_of_the_rows_that_is_retrieved(seed):
+    """On near copies the index spares most of the rows."""
+    v = near_copies(seed=seed)
+    made = hamming.learned(v)
+    assert 0 <= made.slack <= hamming.BITS and 0 <= made.first <= hamming.SUB
+    code = hamming.codes(v, made.rotation)
+    x = hamming.unit(v)
+    share, hits = [], 0
+    for i in range(0, len(v), 50):
+        cosines = x @ x[i]
+        cosines[i] = -2
+        near = np.argsort(-cosines)[:5]
+        reach = (hamming.radius(float(cosines[near[-1]])) + made.slack) // hamming.TABLES
+        each = hamming._ONES[code ^ code[i]].min(axis=1)
+        share.append((each <= reach).mean())
+        hits += (each[near] <= reach).sum()
+    assert np.mean(share) < 0.3
+    assert hits >= 0.95 * 5 * len(share)
+
+
+def test_equal_vectors_are_one_entry(spark):
+    rng = np.random.default_rng(9)
+    one, rest = (np.float32(rng.normal(size=s)).tolist() for s in (8, (200, 8)))
+    rows = [(i, 0, one if i % 3 == 0 else rest[i % 200]) for i in range(600)]
+    check_search({i: v for i, _, v in rows}, hamming.nearest(frame(spark, rows)).collect())
 
 
 def test_radius_covers_the_neighbours():
