@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from niaga.plans import pages, reports
 from niaga.plans.catalog import REPORTS
+from niaga.plans.incremental import run_incremental
 from niaga.plans.pipeline import SNAPSHOT_DATE, Mart, open_latest, run_load
 from niaga.schemas import SOURCES
 from niaga.sources import export_csv, read_all
@@ -34,6 +35,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--input", required=True, help="folder with <source>.csv files or folders")
     load.add_argument("--snapshot", type=day, default=SNAPSHOT_DATE)
     load.add_argument("--allow-failed-checks", action="store_true", help="publish, but still exit 1")
+    load.add_argument("--incremental", action="store_true", help="keep the keys of the last run and write changed months only")
     load.add_argument("--skip-unreadable-rows", action="store_true")
     load.add_argument(
         "--multi-line", action="store_true", help="each file is read whole by one task, for files whose lines end otherwise than with a line feed"
@@ -102,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     paths = {name: f"{args.input.rstrip('/')}/{name}.csv" for name in SOURCES}
-    loaded = run_load(
+    loaded = (run_incremental if args.incremental else run_load)(
         spark,
         read_all(spark, paths, multi_line=args.multi_line),
         args.root,

@@ -15,10 +15,11 @@ from niaga.functions import date_key
 from niaga.operators import constraints, quality
 from niaga.plans import dimensions, kpis, pages, reports
 from niaga.plans.faults import CHECKED, with_faults
-from niaga.plans.pipeline import Mart, build_unpublished
+from niaga.plans.incremental import months_written, run_incremental
+from niaga.plans.pipeline import LoadResult, Mart, build_unpublished, run_load
 from niaga.schemas import LOADED_AT, MONTH, ORPHANS, SOURCES, TABLES
 from niaga.session import shared_root
-from niaga.sources import export_csv, read_csv, sample_sources
+from niaga.sources import SourceFrame, export_csv, read_csv, sample_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +103,7 @@ REPORTS: dict[str, Callable[[Mart], DataFrame]] = {
 }
 
 _marts: dict[tuple[str, str], Mart] = {}
+_loads: dict[tuple[str, str], tuple[LoadResult, LoadResult, str]] = {}
 _building = threading.Lock()
 
 
@@ -176,6 +178,55 @@ def _line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, "crm_user_profiles", folder).rows.select(names)
 
 
+def _spread_over_months(sources: dict[str, SourceFrame]) -> dict[str, SourceFrame]:
+    """The sources with their orders moved by nought to four months, by the day of the month."""
+    moved = F.col("order_timestamp") + F.make_ym_interval(F.lit(0), F.dayofmonth("order_timestamp") % 5)
+    orders = sources["oms_orders"].rows.withColumn("order_timestamp", moved)
+    return {**sources, "oms_orders": SourceFrame(orders)}
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[LoadResult, LoadResult, str]:
+    """A load of the sources as they were, with other quantities on the 7th and without orders of the 8th, and one on top of it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _building:
+        if key not in _loads:
+            root = f"{shared_root(spark)}/niaga/{key[0]}/incremental-{uuid.uuid4().hex}"
+            now = _spread_over_months(sample_sources(spark, sf_dir))
+            day = F.dayofmonth("order_timestamp")
+            orders = now["oms_orders"].rows
+            old = orders.join(orders.filter(day != 8).select("order_id").distinct(), "order_id", "left_semi")
+            old = old.withColumn("jumlah_barang", F.col("jumlah_barang") + (day == 7).cast("int"))
+            first = run_load(spark, {**now, "oms_orders": SourceFrame(old)}, root, SNAPSHOT, publish_failed_checks=True)
+            second = run_incremental(spark, now, root, SNAPSHOT, publish_failed_checks=True)
+            _loads[key] = first, second, root
+        return _loads[key]
+
+
+def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of a mart after the second load, by natural keys."""
+    m = _two_loads(spark, sf_dir)[1].mart
+    return (
+        m["fact_orders"]
+        .join(m["dim_customer"].select("customer_key", "user_id"), "customer_key")
+        .join(m["dim_product"].select("product_key", "product_id"), "product_key")
+        .select("order_id", "date_key", "order_datetime", "user_id", "product_id", "status_order", "quantity", "gross_profit_idr")
+    )
+
+
+def _incremental_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each fact: rows, rows whose key the second load changed, months, and months that it wrote."""
+    first, second, root = _two_loads(spark, sf_dir)
+    counts = None
+    for t in TABLES.values():
+        if t.is_fact:
+            before = first.mart[t.name].select(t.natural_key, F.col(t.primary_key).alias("before"))
+            now = second.mart[t.name].select(t.natural_key, t.primary_key).join(before, t.natural_key, "left")
+            changed = F.count_if(F.col("before") != F.col(t.primary_key)).alias("changed")
+            row = now.agg(F.lit(t.name).alias("table"), F.count("*").alias("n"), changed)
+            counts = row if counts is None else counts.unionByName(row)
+    return counts.join(months_written(spark, root, second.run_id), "table")
+
+
 def _audit(m: Mart) -> DataFrame:
     return m["etl_run_log"].select("step_name", "status", "row_count")
 
@@ -188,6 +239,8 @@ def queries() -> dict[str, Query]:
         "stg_wms": _staged("wms_inventory_movements"),
         "stg_web": _staged("web_clickstream_logs"),
         "csv_line_breaks": _line_breaks,
+        "incremental_orders": _incremental_orders,
+        "incremental_keys": _incremental_keys,
         "date_span": _span,
         "date_key_expr": _date_keys,
         "param_query": _param_query,

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 from niaga.operators import dense_key, dense_key_by_day, range_count, staged_bounds
 from niaga.operators.constraints import (
@@ -43,6 +43,15 @@ from niaga.sources.files import SourceError
 
 SNAPSHOT_DATE = dt.date(2026, 7, 1)  # default day up to which tenure is counted
 _PUBLISHED = columns("run_id string, failed_checks int, published_at timestamp")
+# months of the facts of an incremental run: where they are, the checksum of their rows, the highest key given so far
+_SUM = DecimalType(38, 0)
+MONTHS = StructType(
+    [
+        *columns("table string, month int, run_id string, rows bigint").fields,
+        *(StructField(name, _SUM) for name in ("x", "y")),
+        *columns("highest bigint").fields,
+    ]
+)
 
 
 class ConstraintViolation(RuntimeError):
@@ -121,6 +130,15 @@ class Load:
             finished = dt.datetime.now(dt.UTC)
             self.log.append((f"{layer}::{name}", status, rows, started, finished, notes))
 
+    def note(self, layer: str, name: str, rows: int, started: dt.datetime, notes: str) -> None:
+        """Log a step that wrote nothing."""
+        self._log(layer, name, "SUCCESS", rows, started, notes)
+
+    @staticmethod
+    def schema_of_keys(name: str) -> StructType:
+        table = TABLES[name]
+        return StructType([table.schema[table.natural_key], table.schema[table.primary_key]])
+
     def save_log(self) -> None:
         """Append the rows of this run to the audit table.
 
@@ -144,7 +162,7 @@ def create_logs(spark: SparkSession, root: str) -> None:
         spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
 
 
-def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) -> dict:
+def together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) -> dict:
     """Independent jobs submitted at once, so small ones fill idle executors."""
     with ThreadPoolExecutor(len(jobs)) as pool:
         running = {n: pool.submit(inheritable_thread_target(spark)(job)) for n, job in jobs.items()}
@@ -154,7 +172,7 @@ def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], object]]) ->
 # --- the three layers ---------------------------------------------------------------------
 
 
-def _stage(load: Load, name: str, source: SourceFrame, strict: bool) -> DataFrame:
+def stage(load: Load, name: str, source: SourceFrame, strict: bool) -> DataFrame:
     """Write one staging table. Unreadable rows go to a table of their own.
 
     They are counted in the pass that writes the others and read again only if
@@ -183,7 +201,7 @@ def _stage(load: Load, name: str, source: SourceFrame, strict: bool) -> DataFram
     return staged
 
 
-def _write_checked(load: Load, name: str, df: DataFrame, measures=None) -> DataFrame:
+def write_checked(load: Load, name: str, df: DataFrame, measures=None) -> DataFrame:
     """Write a mart table, counting nulls and offending rows in the same pass."""
     table = TABLES[name]
     counts = {**null_counts(table), **rule_counts(name), **(measures or {})}
@@ -196,23 +214,23 @@ def _write_checked(load: Load, name: str, df: DataFrame, measures=None) -> DataF
     )
 
 
-def _load_calendar(load: Load) -> DataFrame:
+def load_calendar(load: Load) -> DataFrame:
     """``dim_date`` over the span the staging writes observed."""
     spans = [load.metrics[s.staging] for s in SOURCES.values() if s.event_time]
     first = min(m["min_ts"] for m in spans if m["min_ts"]).date()
     last = max(m["max_ts"] for m in spans if m["max_ts"]).date()
     days = dimensions.calendar(load.spark, first, last)
-    return _write_checked(load, "dim_date", dimensions.declared("dim_date", days))
+    return write_checked(load, "dim_date", dimensions.declared("dim_date", days))
 
 
 def _load_dimension(load: Load, name: str, tables: dict[str, DataFrame], snapshot: dt.date) -> DataFrame:
     rows = dimensions.unkeyed_dimension(name, tables, snapshot)
     key, order = TABLES[name].primary_key, dimensions.KEY_ORDER[name]
     numbered = dense_key(rows, key, order, load.path("ordered", name))
-    return _write_checked(load, name, dimensions.declared(name, numbered))
+    return write_checked(load, name, dimensions.declared(name, numbered))
 
 
-_FACT_TOTALS = {
+FACT_TOTALS = {
     "fact_orders": {"total_revenue": "sum(gross_revenue_idr)"},
     "fact_inventory_movements": {"net_stock_change": "sum(signed_quantity)"},
 }
@@ -231,14 +249,14 @@ def _load_fact(load: Load, name: str, tables: dict[str, DataFrame]) -> None:
         load.path("ordered", name),
     )
     writes = {
-        name: lambda: _write_checked(
-            load, name, facts.stored_fact(name, numbered), _FACT_TOTALS.get(name)
+        name: lambda: write_checked(
+            load, name, facts.stored_fact(name, numbered), FACT_TOTALS.get(name)
         )
     }
     aside = facts.ORPHAN_TABLE.get(name)
     if aside:
         writes[aside] = lambda: load.write(None, aside, facts.set_aside(name, numbered))
-    _together(load.spark, writes)
+    together(load.spark, writes)
 
 
 def _build(
@@ -259,9 +277,9 @@ def _build(
                 written[name] = pool.submit(inheritable_thread_target(load.spark)(run))
 
             for name, source in SOURCES.items():
-                start(source.staging, lambda _, n=name: _stage(load, n, sources[n], strict_sources))
+                start(source.staging, lambda _, n=name: stage(load, n, sources[n], strict_sources))
             timed = [s.staging for s in SOURCES.values() if s.event_time]
-            start("dim_date", lambda _: _load_calendar(load), timed)
+            start("dim_date", lambda _: load_calendar(load), timed)
             for name, staging in dimensions.READS.items():
                 start(name, lambda t, n=name: _load_dimension(load, n, t, snapshot), [staging])
             for name, reads in facts.READS.items():
@@ -281,7 +299,7 @@ def _verify(load: Load, mart: Mart) -> list[str]:
     each; each result is a row per declared constraint.
     """
     spark = load.spark
-    found = _together(
+    found = together(
         spark,
         {
             "log": load.save_log,
@@ -341,27 +359,52 @@ def run_load(
     A broken constraint always stops the run. A failed quality check stops it
     too, unless ``publish_failed_checks`` says to publish and only report.
     """
-    load = _new_load(spark, root)
+    load = new_load(spark, root)
     _build(load, sources, snapshot, strict_sources)
-    mart = open_run(spark, load.root, load.run_id)
+    return finish(load, open_run(spark, load.root, load.run_id), publish_failed_checks)
+
+
+def finish(
+    load: Load, mart: Mart, publish_failed_checks: bool, before: Callable[[], None] | None = None
+) -> LoadResult:
+    """Check a run that is written, and publish it; ``before`` may refuse."""
+    spark = load.spark
     failed = tuple(_verify(load, mart))
     if failed and not publish_failed_checks:
         raise QualityFailure(f"run {load.run_id} not published: {', '.join(failed)}")
-
+    if before:
+        before()
     row = [(load.run_id, len(failed), dt.datetime.now(dt.UTC))]
     published = spark.createDataFrame(row, _PUBLISHED).coalesce(1)
     published.write.mode("append").parquet(f"{load.root}/published")
     _remove(spark, load.path("ordered"))  # rows before they were numbered
-    mart = mart.replaced(etl_run_log=_audit(spark, load.root))  # list its new files
+    mart = mart.replaced(etl_run_log=audit(spark, load.root))  # list its new files
     return LoadResult(load.run_id, mart, failed, load.metrics)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that does not exist yet; False if another load was first."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place.getParent())
+    return files.createNewFile(place)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
 
 
-def _new_load(spark: SparkSession, root: str) -> Load:
+def new_load(spark: SparkSession, root: str) -> Load:
     load = Load(
         spark,
         root.rstrip("/"),
@@ -375,13 +418,13 @@ def build_unpublished(
     spark: SparkSession, sources: Mapping[str, SourceFrame], root: str, snapshot: dt.date = SNAPSHOT_DATE
 ) -> Mart:
     """A whole mart that is neither checked nor published, to run queries and checks on."""
-    load = _new_load(spark, root)
+    load = new_load(spark, root)
     _build(load, sources, snapshot, strict_sources=True)
     load.save_log()
     return open_run(spark, load.root, load.run_id)
 
 
-def _audit(spark: SparkSession, root: str) -> DataFrame:
+def audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(AUDIT).parquet(f"{root}/etl_run_log")
 
 
@@ -392,17 +435,56 @@ def open_run(spark: SparkSession, root: str, run_id: str) -> Mart:
         return spark.read.schema(schema).parquet(f"{root}/runs/{run_id}/{name}")
 
     tables = {s.staging: table(s.staging, s.schema) for s in SOURCES.values()}
-    tables |= {t.name: table(t.name, t.stored_schema) for t in TABLES.values()}
+    tables |= {t.name: table(t.name, t.stored_schema) for t in TABLES.values() if not t.is_fact}
+    facts_at = _months_of(spark, root, run_id)
+    for t in TABLES.values():
+        if t.is_fact:
+            tables[t.name] = _fact_of(spark, root, t.name, facts_at[t.name]) if facts_at else table(t.name, t.stored_schema)
     tables |= {name: table(name, schema) for name, schema in ORPHANS.items()}
-    tables["etl_run_log"] = _audit(spark, root)
+    tables["etl_run_log"] = audit(spark, root)
     return Mart(tables)
 
 
+def _months_of(spark: SparkSession, root: str, run_id: str) -> dict[str, dict[str, list[int]]] | None:
+    """{fact: {run: its months}} of an incremental run (a row for each month of a fact), None for a full one."""
+    path = f"{root}/runs/{run_id}/months"
+    if not path_exists(spark, path):
+        return None
+    found: dict[str, dict[str, list[int]]] = {t.name: {} for t in TABLES.values() if t.is_fact}
+    for r in spark.read.schema(MONTHS).parquet(path).select("table", "run_id", "month").collect():
+        found[r.table].setdefault(r.run_id, []).append(r.month)
+    return found
+
+
+def _fact_of(spark: SparkSession, root: str, name: str, held: dict[str, list[int]]) -> DataFrame:
+    """A fact whose months lie in several runs."""
+    schema = TABLES[name].stored_schema
+    parts = []
+    for run, months in sorted(held.items()):
+        base = f"{root}/runs/{run}/{name}"
+        paths = [f"{base}/{MONTH}={m}" for m in sorted(months)]
+        parts.append(spark.read.schema(schema).option("basePath", base).parquet(*paths))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def latest_run(spark: SparkSession, root: str) -> str | None:
+    """The run published last below ``root``, not the one that started last."""
+    root = root.rstrip("/")
+    if not path_exists(spark, f"{root}/published"):
+        return None
+    runs = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
+    return runs.agg(F.max_by("run_id", F.struct("published_at", "run_id"))).head()[0]
+
+
 def open_latest(spark: SparkSession, root: str) -> Mart:
     """The mart published last below ``root``."""
     root = root.rstrip("/")
-    runs = spark.read.schema(_PUBLISHED).parquet(f"{root}/published")
-    run_id = runs.agg(F.max("run_id")).head()[0]
+    run_id = latest_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"no published mart below {root}")
     return open_run(spark, root, run_id)

@@ -552,6 +552,19 @@ def _bodies() -> dict[str, str]:
         "stg_web": "SELECT * FROM web",
         "csv_line_breaks": "SELECT * REPLACE (nama_lengkap || chr(10) || '\"' || kota || '\",' || chr(13) || chr(10) || account_tier"
         " AS nama_lengkap) FROM crm",
+        "incremental_orders": """
+            SELECT order_id, strftime(moved, '%Y%m%d')::INTEGER AS date_key, moved AS order_datetime, user_id, product_id,
+                   status_order, quantity, gross_profit_idr
+            FROM (SELECT *, order_datetime + to_months((day(order_datetime) % 5)::INTEGER) AS moved FROM fact_orders)
+            JOIN (SELECT customer_key, user_id FROM dim_customer) USING (customer_key)
+            JOIN (SELECT product_key, product_id FROM dim_product) USING (product_key)""",
+        "incremental_keys": """
+            SELECT 'fact_orders' AS "table", count(*) AS n, 0::BIGINT AS changed, count(DISTINCT date_key % 5) AS months,
+                   count(DISTINCT date_key % 5) FILTER (date_key % 100 IN (7, 8)) AS written FROM fact_orders
+            UNION ALL SELECT 'fact_inventory_movements', count(*), 0, count(DISTINCT date_key // 100), 0
+            FROM fact_inventory_movements
+            UNION ALL SELECT 'fact_web_clickstream', count(*), 0, count(DISTINCT date_key // 100), 0
+            FROM fact_web_clickstream""",
         "date_span": "SELECT * FROM span",
         "date_key_expr": "SELECT strftime(hit_timestamp, '%Y%m%d')::INTEGER AS date_key, count(*) AS n"
         " FROM web GROUP BY ALL",
