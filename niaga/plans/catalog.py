@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from niaga.functions import date_key
 from niaga.operators import constraints, quality
+from niaga.operators.history import as_of, first_versions, merge_versions
 from niaga.plans import dimensions, kpis, pages, reports
 from niaga.plans.faults import CHECKED, with_faults
 from niaga.plans.incremental import months_written, run_incremental
@@ -24,6 +25,8 @@ from niaga.sources import SourceFrame, export_csv, read_csv, sample_sources
 Query = Callable[[SparkSession, str], DataFrame]
 
 SNAPSHOT = dt.date(2024, 2, 1)
+CHANGES = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20))  # when members of the dimensions change
+HISTORY_READ = {"dim_product": ["harga_jual_idr"], "dim_customer": ["account_tier"]}
 WINDOW = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
 
 SALES_FILTER = {
@@ -227,6 +230,45 @@ def _incremental_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(months_written(spark, root, second.run_id), "table")
 
 
+def _changing(m: Mart, table: str, day: dt.datetime, step: int) -> DataFrame:
+    """A dimension as it was from a day on: prices of every third product, or tiers of every fourth customer, differ."""
+    rows = m[table]
+    number = F.regexp_extract(TABLES[table].natural_key, "[0-9]+", 0).cast("long")
+    if table == "dim_product":
+        return rows.withColumn("harga_jual_idr", F.col("harga_jual_idr") + F.when(number % 3 == step, 1000 * step).otherwise(0))
+    return rows.withColumn("account_tier", F.when(number % 4 == step, F.lit(f"Tier {step}")).otherwise(F.col("account_tier")))
+
+
+def _histories(m: Mart) -> dict[str, DataFrame]:
+    """The versions of products and customers after two changes."""
+    found = {}
+    for table, attributes in HISTORY_READ.items():
+        key = TABLES[table].natural_key
+        found[table] = first_versions(m[table], key, attributes)
+        for step, day in enumerate(CHANGES, start=1):
+            found[table] = merge_versions(found[table], _changing(m, table, day, step), key, attributes, day)
+    return found
+
+
+def _history_versions(m: Mart) -> DataFrame:
+    return _histories(m)["dim_product"]
+
+
+def _orders_as_of(m: Mart) -> DataFrame:
+    """Orders with the price and the tier valid when they were placed."""
+    found = _histories(m)
+    rows = (
+        m["fact_orders"]
+        .select("order_id", "order_datetime", "quantity", "customer_key", "product_key")
+        .join(m["dim_customer"].select("customer_key", "user_id"), "customer_key")
+        .join(m["dim_product"].select("product_key", "product_id"), "product_key")
+        .drop("customer_key", "product_key")
+    )
+    rows = as_of(rows, found["dim_product"], "product_id", "order_datetime", ["harga_jual_idr"])
+    rows = as_of(rows, found["dim_customer"], "user_id", "order_datetime", ["account_tier"])
+    return rows.withColumn("revenue_idr", F.col("quantity") * F.col("harga_jual_idr"))
+
+
 def _audit(m: Mart) -> DataFrame:
     return m["etl_run_log"].select("step_name", "status", "row_count")
 
@@ -241,6 +283,8 @@ def queries() -> dict[str, Query]:
         "csv_line_breaks": _line_breaks,
         "incremental_orders": _incremental_orders,
         "incremental_keys": _incremental_keys,
+        "history_versions": _on_mart(_history_versions),
+        "orders_as_of": _on_mart(_orders_as_of),
         "date_span": _span,
         "date_key_expr": _date_keys,
         "param_query": _param_query,

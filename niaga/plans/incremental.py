@@ -17,10 +17,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from niaga.functions import date_key, date_month
 from niaga.operators import dense_key
 from niaga.operators.constraints import null_counts
+from niaga.operators.history import VALID_FROM, VALID_TO, first_versions, merge_versions
 from niaga.operators.quality import rule_counts
 from niaga.plans import dimensions, facts
 from niaga.plans.pipeline import (
@@ -30,7 +32,6 @@ from niaga.plans.pipeline import (
     Load,
     LoadResult,
     Mart,
-    audit,
     claim,
     finish,
     latest_run,
@@ -46,6 +47,11 @@ from niaga.plans.pipeline import (
 from niaga.schemas import MONTH, ORPHANS, SOURCES, TABLES
 from niaga.sources import SourceFrame
 
+# attributes whose changes over time are kept
+HISTORY = {
+    "dim_customer": ["nama_lengkap", "email", "kota", "account_tier"],
+    "dim_product": ["nama_produk", "kategori", "harga_modal_idr", "harga_jual_idr", "is_active"],
+}
 ATTEMPTS = 3  # loads that may overtake this one before it gives up
 
 
@@ -127,6 +133,25 @@ def _load_dimension(load: Load, base: str, mart: Mart, name: str, tables: Mappin
     return written
 
 
+def _keep_history(load: Load, base: str, mart: Mart, name: str, now: DataFrame, snapshot: dt.date) -> None:
+    """The versions of a dimension's members up to this run; the first run on the way here had the first ones."""
+    key, attributes = TABLES[name].natural_key, HISTORY[name]
+    if path_exists(load.spark, f"{load.root}/runs/{base}/history_{name}"):
+        before = open_history(load.spark, load.root, base, name)
+    else:
+        before = first_versions(mart[name], key, attributes)
+    at = dt.datetime.combine(snapshot, dt.time())
+    load.write(None, f"history_{name}", merge_versions(before, now, key, attributes, at))
+
+
+def open_history(spark: SparkSession, root: str, run_id: str, name: str) -> DataFrame:
+    """(natural key, attributes, valid_from, valid_to) of a dimension's members, as an incremental run stored it."""
+    declared = TABLES[name].schema
+    kept = [declared[c] for c in [TABLES[name].natural_key, *HISTORY[name]]]
+    times = [StructField(c, TimestampNTZType()) for c in (VALID_FROM, VALID_TO)]
+    return spark.read.schema(StructType([*kept, *times])).parquet(f"{root.rstrip('/')}/runs/{run_id}/history_{name}")
+
+
 def _load_fact(load: Load, base: str, mart: Mart, name: str, tables: Mapping[str, DataFrame]) -> list[tuple]:
     """Write the months that changed; returns the rows of the months table."""
     table, key = TABLES[name], TABLES[name].primary_key
@@ -193,13 +218,13 @@ def _attempt(spark: SparkSession, sources: Mapping[str, SourceFrame], root: str,
             name: lambda name=name: _load_dimension(load, base, mart, name, staged, snapshot) for name in dimensions.READS
         }
         tables = staged | together(spark, jobs)
-        made = together(
-            spark, {name: lambda name=name: _load_fact(load, base, mart, name, {t: tables[t] for t in facts.READS[name]}) for name in facts.READS}
-        )
+        steps = {name: lambda name=name: _load_fact(load, base, mart, name, {t: tables[t] for t in facts.READS[name]}) for name in facts.READS}
+        kept = {f"history_{name}": lambda name=name: _keep_history(load, base, mart, name, tables[name], snapshot) for name in HISTORY}
+        made = together(spark, steps | kept)
     except Exception:
         load.save_log()
         raise
-    rows = [row for part in made.values() for row in part]
+    rows = [row for name in facts.READS for row in made[name]]
     spark.createDataFrame(rows, MONTHS).coalesce(1).write.parquet(load.path("months"))
     now = open_run(spark, load.root, load.run_id)
     together(spark, {name: lambda name=name: _measured(load, now, name) for name in facts.READS})
@@ -239,4 +264,4 @@ def months_written(spark: SparkSession, root: str, run_id: str) -> DataFrame:
     )
 
 
-__all__ = ["Overtaken", "audit", "months_written", "run_incremental"]
+__all__ = ["Overtaken", "months_written", "open_history", "run_incremental"]

@@ -543,6 +543,26 @@ def _dq_suite() -> str:
     return union(parts)
 
 
+# versions of a dimension's members: what each snapshot held, without those that equal the one before
+VERSIONS = """
+    SELECT {key}, {value}, valid_from, lead(valid_from) OVER (PARTITION BY {key} ORDER BY valid_from) AS valid_to
+    FROM (
+        SELECT *, lag({value}) OVER (PARTITION BY {key} ORDER BY valid_from) AS before FROM (
+            SELECT {key}, {value}, TIMESTAMP '1900-01-01' AS valid_from FROM {table}
+            UNION ALL SELECT {key}, {one}, TIMESTAMP '2024-01-10' FROM {table}
+            UNION ALL SELECT {key}, {two}, TIMESTAMP '2024-01-20' FROM {table})
+    ) WHERE before IS NULL OR before <> {value}"""
+_NUMBER = "regexp_extract({key}, '[0-9]+')::BIGINT"
+PRICES = {
+    name: f"harga_jual_idr + CASE WHEN {_NUMBER.format(key='product_id')} % 3 = {step} THEN {1000 * step} ELSE 0 END"
+    for name, step in (("one", 1), ("two", 2))
+}
+TIERS = {
+    name: f"CASE WHEN {_NUMBER.format(key='user_id')} % 4 = {step} THEN 'Tier {step}' ELSE account_tier END"
+    for name, step in (("one", 1), ("two", 2))
+}
+
+
 def _bodies() -> dict[str, str]:
     q = {
         "stg_crm": "SELECT * FROM crm",
@@ -565,6 +585,17 @@ def _bodies() -> dict[str, str]:
             FROM fact_inventory_movements
             UNION ALL SELECT 'fact_web_clickstream', count(*), 0, count(DISTINCT date_key // 100), 0
             FROM fact_web_clickstream""",
+        "history_versions": f"SELECT * FROM ({VERSIONS.format(key='product_id', value='harga_jual_idr', table='dim_product', **PRICES)})",
+        "orders_as_of": f"""
+            SELECT o.order_id, o.order_datetime, o.quantity, o.user_id, o.product_id, p.harga_jual_idr, t.account_tier,
+                   o.quantity * p.harga_jual_idr AS revenue_idr
+            FROM (SELECT order_id, order_datetime, quantity, user_id, product_id FROM fact_orders
+                  JOIN (SELECT customer_key, user_id FROM dim_customer) USING (customer_key)
+                  JOIN (SELECT product_key, product_id FROM dim_product) USING (product_key)) o
+            ASOF JOIN ({VERSIONS.format(key='product_id', value='harga_jual_idr', table='dim_product', **PRICES)}) p
+            ON o.product_id = p.product_id AND o.order_datetime >= p.valid_from
+            ASOF JOIN ({VERSIONS.format(key='user_id', value='account_tier', table='dim_customer', **TIERS)}) t
+            ON o.user_id = t.user_id AND o.order_datetime >= t.valid_from""",
         "date_span": "SELECT * FROM span",
         "date_key_expr": "SELECT strftime(hit_timestamp, '%Y%m%d')::INTEGER AS date_key, count(*) AS n"
         " FROM web GROUP BY ALL",
