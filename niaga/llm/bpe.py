@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from niaga.llm.common import batch, kept, slices, text_buffer, texts
 
-KNOWN_MATCHES = 400_000  # matches a worker remembers; the older half is then forgotten and encoded again when met
+KNOWN_BYTES = 48 << 20  # of the matches a worker remembers (about); the older half is then forgotten and encoded again when met
+SHORT = 64  # characters of a match that is worth remembering
+ENTRY = 250  # bytes of a remembered match beside its characters and ids
 
 
 def vocabulary(name: str = "byte_bpe_50k") -> dict[str, str]:
@@ -56,6 +58,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.kind = f"<u{width}"
         self.known: dict[str, bytes] = {}
+        self.size = 0  # bytes of what is known (about)
 
     def match_ids(self, match: str) -> bytes:
         written = match.encode().decode("latin-1").translate(self.written)
@@ -63,14 +66,21 @@ class Encoder:
 
     def encode(self, values: list[str]) -> list[bytes]:
         matches = [self.find(v) for v in values]
-        if len(self.known) > KNOWN_MATCHES:
-            self.known = dict(islice(self.known.items(), KNOWN_MATCHES // 2, None))
+        if self.size > KNOWN_BYTES:
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            self.size //= 2
         distinct: set[str] = set()
         for found in matches:
             distinct.update(found)
+        long: dict[str, bytes] = {}
         for match in distinct.difference(self.known):
-            self.known[match] = self.match_ids(match)
-        ids = self.known.__getitem__
+            made = self.match_ids(match)
+            if len(match) <= SHORT:
+                self.known[match] = made
+                self.size += ENTRY + 4 * len(match) + len(made)
+            else:
+                long[match] = made
+        ids = {**long, **{m: self.known[m] for m in distinct if m not in long}}.__getitem__ if long else self.known.__getitem__
         return [b"".join(map(ids, found)) for found in matches]
 
 

@@ -37,6 +37,8 @@ KEYS = 8  # rare terms of a text that order it
 ROUNDS = 4  # of them, tried in turn until others meet it
 FIRST = 64  # neighbours that are put in order before the others
 SAMPLED = 128  # texts looked at for the bounds of one shard
+SAMPLE_ROWS = 1 << 18  # and of all of them together, at any size of the input
+RANGES = 8192  # ranges that the texts are dealt into, at most
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16  # ids are held in two bytes
 
@@ -199,8 +201,9 @@ def dealt(coded: DataFrame, holds: np.ndarray, rows: int, total: int) -> DataFra
     light = cut(coded.mapInArrow(keys_of, "keys binary, salt long, size long"))
     light = light.coalesce(rows // 32_768 + 1)  # some bytes a row
     meets = meetings(light)
-    shards = max(1, -(-total * 5 // (SHARD * 4)))  # a quarter above what is needed: bounds are estimates
-    every = max(1, rows // (SAMPLED * shards))
+    # a quarter above what is needed: bounds are estimates. Beyond RANGES a task cuts several shards from its sorted rows.
+    shards = min(RANGES, max(1, -(-total * 5 // (SHARD * 4))))
+    every = max(1, rows // min(SAMPLED * shards, SAMPLE_ROWS))
     sample = light.filter(F.pmod(F.xxhash64("keys", "salt"), F.lit(every)) == 0).toArrow()
     bounds = np.zeros(0, "S1")
     if sample.num_rows:

@@ -15,8 +15,10 @@ an empty table gives an empty one. Offsets count code points of the whole text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -146,11 +148,41 @@ def _votes(text: str, kind: int, start: int, end: int, base: bool) -> tuple[list
     return votes, [int(base), int("." in value), int(" " in value or "-" in value), int(len(number) > 11)]
 
 
+class Taken:
+    """Stretches of a text, in the order of their starts: whether another one meets any of them."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = [s for s, _, _ in spans]
+        self.reach = list(accumulate((e for _, _, e in spans), max))  # the farthest end up to each of them
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)  # those that begin before its end
+        return before > 0 and self.reach[before - 1] > start
+
+
+class Apart:
+    """Stretches that do not meet each other, added one by one."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> bool:
+        """Whether the stretch met none of the others and is now one of them."""
+        at = bisect_left(self.starts, start)
+        if at and self.ends[at - 1] > start or at < len(self.starts) and self.starts[at] < end:
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
+
+
 def candidates(text: str) -> list[Candidate]:
     base = base_spans(text)
     found = [(*span, True) for span in base]
     if "(at)" in text or "[at]" in text or _DIGIT.search(text):
-        found += [(*span, False) for span in _loose_spans(text) if not any(s < span[2] and span[0] < e for s, _, e in base)]
+        taken = Taken(base)
+        found += [(*span, False) for span in _loose_spans(text) if not taken.meets(span[0], span[2])]
     out = []
     for start, kind, end, strict in found:
         votes, features = _votes(text, kind, start, end, strict)
@@ -248,8 +280,9 @@ def accepted(text: str, model: Model) -> list[tuple[int, int, int, bool, float]]
     chance = model.probability(np.array([c.pattern for c in found]))
     out = [(c.start, c.kind, c.end, True, float(p)) for c, p in zip(found, chance, strict=True) if c.base]
     more = [(float(p), c) for c, p in zip(found, chance, strict=True) if not c.base and p >= ACCEPT]
+    apart = Apart()  # candidates do not meet base spans
     for p, c in sorted(more, key=lambda x: (-x[0], x[1].start, x[1].kind)):
-        if not any(s < c.end and c.start < e for s, _, e, _, _ in out):
+        if apart.add(c.start, c.end):
             out.append((c.start, c.kind, c.end, False, p))
     return sorted(out)
 

@@ -51,28 +51,33 @@ class Counter:
         for piece, score in pieces:
             self.pieces.add_word(piece, (len(piece), score))
         self.pieces.make_automaton()
+        self.longest = max((len(piece) for piece, _ in pieces), default=1)
         self.single = {piece for piece, _ in pieces if len(piece) == 1}
         self.unknown = min((score for _, score in pieces), default=0.0) - UNKNOWN
         self.parts = re.compile(f"{BLANK}+[^{BLANK}]*").findall
         self.known: dict[str, tuple[float, int]] = {}
 
     def viterbi(self, part: str) -> tuple[float, int]:
-        """(best score, its pieces) of one part."""
-        n = len(part)
-        score, count = [0.0] + [float("-inf")] * n, [0] * (n + 1)
+        """(best score, its pieces) of one part. Only as many places as the longest piece are held, in a ring."""
+        size = self.longest + 1
+        score, count = [0.0] + [float("-inf")] * self.longest, [0] * size
         matches = self.pieces.iter(part)
         match = next(matches, None)
-        for end in range(1, n + 1):
+        at = 0
+        for end, last in enumerate(part, start=1):
+            before, at = at, end % size
+            best, pieces = float("-inf"), 0
             while match is not None and match[0] == end - 1:
                 length, own = match[1]
-                value = score[end - length] + own
-                if value > score[end]:
-                    score[end], count[end] = value, count[end - length] + 1
+                begin = (end - length) % size
+                value = score[begin] + own
+                if value > best:
+                    best, pieces = value, count[begin] + 1
                 match = next(matches, None)
-            last = part[end - 1]
-            if last not in self.single and score[end - 1] + self.unknown > score[end]:
-                score[end], count[end] = score[end - 1] + self.unknown, count[end - 1] + len(last.encode())
-        return score[n], count[n]
+            if last not in self.single and score[before] + self.unknown > best:
+                best, pieces = score[before] + self.unknown, count[before] + len(last.encode())
+            score[at], count[at] = best, pieces
+        return score[at], count[at]
 
     def count(self, text: str) -> tuple[float, int]:
         total, pieces, known = 0.0, 0, self.known

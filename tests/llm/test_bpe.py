@@ -54,7 +54,7 @@ def test_every_character_is_cut_as_in_the_reference(coder, reference):
 
 
 def test_forgetting_changes_nothing(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "KNOWN_MATCHES", 3)
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 900)
     place = bpe.vocabulary()
     small = bpe.Encoder(place["json"], place["pattern"])
     for text in ["one two three four five six", "six five one", "two two"]:
@@ -107,3 +107,25 @@ def test_query(spark, reference):
         assert got[r.doc_id].n_tokens == len(own)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(own.tobytes()).hexdigest()
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def resident() -> int:
+    """Megabytes that this process holds."""
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 >> 20
+
+
+def test_memory_of_texts_without_blanks():
+    """Matches of a script without blanks are mostly new ones: what is remembered is bounded by bytes."""
+    place = bpe.vocabulary()
+    encoder = bpe.Encoder(place["json"], place["pattern"])
+    r = random.Random(4)
+    text = lambda n: "\u3002".join("".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(n)) for _ in range(4000))
+    encoder.encode([text(12)])
+    before = resident()
+    for _ in range(50):
+        encoder.encode([text(12)])
+    assert resident() - before < 150 and encoder.size < 2 * bpe.KNOWN_BYTES
+    known = len(encoder.known)
+    long = [text(300)]
+    assert encoder.encode(long) == encoder.encode(long) and len(encoder.known) - known < 10

@@ -13,7 +13,6 @@ from niaga.llm.queries import op2_packing
 
 def expected(rows):
     whole = Tokenizer.from_file(bpe.vocabulary()["json"])
-    whole.encode_special_tokens = True
     return [(i, [*whole.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows]
 
 

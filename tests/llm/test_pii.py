@@ -79,3 +79,32 @@ def test_odd_rows(odd, nothing, docs_of):
     assert pii.spans(nothing).count() == 0
     r = pii.spans(docs_of([(1, "\U0001f600 a@b.io")])).first()
     assert r.base == "email:2:8"
+
+
+def test_very_many_spans_in_one_text():
+    """Time in proportion to the spans: 100 000 of them, base and loose ones that meet each other or not."""
+    import time
+
+    r = random.Random(8)
+    parts = [lambda i: f"+1 555 {i:07}", lambda i: f"a{i}(at)b.com", lambda i: f"x{i}@y.org", lambda i: f"(555) {i % 1000:03}-{i % 10000:04}"]
+    text = " and ".join(r.choice(parts)(i) for i in range(100_000))
+    model = pii.Model()
+    started = time.monotonic()
+    found = pii.candidates(text)
+    assert len(found) >= 50_000
+    pii.accepted(text, model)
+    assert time.monotonic() - started < 60
+
+
+def test_stretches_that_meet():
+    r = random.Random(9)
+    for _ in range(300):
+        spans = sorted((s := r.randrange(50), 0, s + r.randrange(1, 12)) for _ in range(r.randrange(8)))
+        taken, apart, kept = pii.Taken(spans), pii.Apart(), []
+        for _ in range(20):
+            a = r.randrange(50)
+            b = a + r.randrange(1, 12)
+            assert taken.meets(a, b) == any(s < b and a < e for s, _, e in spans)
+            free = not any(s < b and a < e for s, e in kept)
+            assert apart.add(a, b) == free
+            kept += [(a, b)] if free else []

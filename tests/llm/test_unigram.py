@@ -88,3 +88,16 @@ def test_query_and_odd_rows(spark, odd, nothing, counter):
 def test_vocabulary_is_the_file():
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     assert len(unigram.vocabulary()) == model.get_piece_size() - 3 - 256
+
+
+def test_memory_of_a_very_long_run():
+    """A run of characters without a blank holds as many places as the longest piece."""
+    import tracemalloc
+
+    counter = unigram.Counter([("\u2581", -1.0), ("a", -2.0), ("aa", -3.0), ("aaaa", -4.0)])
+    part = "\u2581" + "aab" * 200_000
+    tracemalloc.start()
+    score, n = counter.viterbi(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1 + 200_000 * 2 and peak < 5 << 20  # a copy of the text
