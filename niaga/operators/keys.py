@@ -12,6 +12,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 SAMPLED = 64  # staged rows per range from which the bounds are taken
 RANGE_ROWS = 2_000_000  # rows of a range at most (about)
 LEAST_ROWS = 25_000  # rows for which a further task is worth it
+MOST_RANGES = 16_384  # ranges of a table of any size; a range is then larger, and its rows lie in several files
+SAMPLE_ROWS = 1 << 18  # rows that the bounds are taken from, at any size of the table
 
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id: position within its partition
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
@@ -53,15 +55,22 @@ def dense_key(df: DataFrame, key: str, order: list[str], scratch: str) -> DataFr
 
 def range_count(rows: int, parallel: int) -> int:
     """Ranges for a table of so many rows: what the tasks can hold, or fewer than run at once for a small one."""
-    return max(1, math.ceil(rows / RANGE_ROWS), min(parallel, math.ceil(rows / LEAST_ROWS)))
+    return min(MOST_RANGES, max(1, math.ceil(rows / RANGE_ROWS), min(parallel, math.ceil(rows / LEAST_ROWS))))
+
+
+def sample_share(rows: int, ranges: int) -> float:
+    """The part of the rows that bounds are taken from: SAMPLED for each range, and never more than SAMPLE_ROWS."""
+    return min(1.0, min(SAMPLED * ranges, SAMPLE_ROWS) / max(rows, 1))
 
 
 def staged_bounds(staged: DataFrame, rows: int, ranges: int) -> list[tuple[int, str]]:
-    """At most ``ranges`` - 1 bounds in (day, natural key) order, from a sample of two staged columns."""
+    """At most ``ranges`` - 1 bounds in (day, natural key) order, from a sample of two staged columns of bounded size."""
     if ranges == 1 or not rows:
         return []
-    sample = staged if rows <= SAMPLED * ranges else staged.sample(min(1.0, SAMPLED * ranges / rows), seed=1)
-    seen = sorted({(r[0], r[1]) for r in sample.collect() if r[0] is not None and r[1] is not None})
+    share = sample_share(rows, ranges)
+    sample = (staged if share == 1 else staged.sample(share, seed=1)).toArrow()
+    days, items = (sample.column(i).to_pylist() for i in (0, 1))
+    seen = sorted({(d, i) for d, i in zip(days, items, strict=True) if d is not None and i is not None})
     return sorted({seen[len(seen) * i // ranges] for i in range(1, ranges)} if seen else set())
 
 
@@ -95,7 +104,8 @@ def dense_key_by_day(
         .repartitionById(len(bounds) + 1, "_range")
         .sortWithinPartitions(aside, day, item)
         .withColumn("_position", F.monotonically_increasing_id())
-        .write.parquet(scratch)
+        .write.option("maxRecordsPerFile", 2 * RANGE_ROWS)
+        .parquet(scratch)
     )
     fields = [StructField("_range", IntegerType()), StructField("_position", LongType())]
     placed = spark.read.schema(StructType([*df.schema.fields, *fields])).parquet(scratch)

@@ -91,6 +91,7 @@ class Load:
     log: list[tuple] = field(default_factory=list)
     metrics: dict[str, dict] = field(default_factory=dict)
     failed_checks: list[str] = field(default_factory=list)
+    notes: dict[str, str] = field(default_factory=dict)  # details of these checks
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root, "runs", self.run_id, *parts))
@@ -196,6 +197,7 @@ def stage(load: Load, name: str, source: SourceFrame, strict: bool) -> DataFrame
         table = f"rejects_{declared.staging}"
         load.write(None, table, source.rejects)
         load.failed_checks.append(f"unreadable_rows_{name}")
+        load.notes[f"unreadable_rows_{name}"] = f"{rejected} rows set aside in {table}"
         if strict:
             raise SourceError(f"{name}: {rejected} unreadable rows set aside in {load.path(table)}")
     return staged
@@ -330,9 +332,12 @@ def _verify(load: Load, mart: Mart) -> list[str]:
             if t.natural_key
         },
     )
+    if load.failed_checks:  # what staging found stands with the others
+        seen = [(name, "FAIL", load.notes[name]) for name in load.failed_checks]
+        suite = suite.unionByName(spark.createDataFrame(seen, CHECK_RESULT))
     suite.coalesce(1).write.parquet(load.path("dq_results"))
     results = load.read("dq_results", CHECK_RESULT).where("status = 'FAIL'").collect()
-    return sorted(load.failed_checks + [r.check_name for r in results])
+    return sorted(r.check_name for r in results)
 
 
 # --- entry points -------------------------------------------------------------------------

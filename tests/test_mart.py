@@ -328,6 +328,8 @@ def test_unreadable_rows_are_set_aside_otherwise(spark, tmp_path):
     )
     assert result.mart["fact_orders"].count() == 2
     assert "unreadable_rows_oms_orders" in result.failed_checks
+    stored = spark.read.parquet(f"{tmp_path}/runs/{result.run_id}/dq_results").where("check_name = 'unreadable_rows_oms_orders'")
+    assert [(r.status, r.detail) for r in stored.collect()] == [("FAIL", "1 rows set aside in rejects_stg_oms_orders")]
     aside = spark.read.parquet(f"{tmp_path}/runs/{result.run_id}/rejects_stg_oms_orders").collect()
     assert [(r.order_id, r.bad_columns) for r in aside] == [("O9", "jumlah_barang, order_timestamp")]
 

@@ -153,3 +153,13 @@ def test_lookup_splits_a_hot_key(spark, tmp_path):
     assert len(rows_by_task) == 300000 and len(hot) == 100000
     assert all(r.dk == (0 if r.k == "hot" else int(r.k[1:])) for r in rows_by_task if r.k != "k0")
     assert len(set(hot)) > 3
+
+
+def test_bounds_come_from_a_sample_of_one_size():
+    """What the driver collects does not grow with the table."""
+    from niaga.operators.keys import MOST_RANGES, SAMPLE_ROWS, range_count, sample_share
+
+    for rows in (10**7, 10**9, 10**12, 10**14):
+        ranges = range_count(rows, 200)
+        assert ranges <= MOST_RANGES and sample_share(rows, ranges) * rows < SAMPLE_ROWS + 1
+    assert sample_share(100, 8) == 1
