@@ -228,7 +228,8 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
     roots = graph.components(found.select(F.col("c").alias("a"), F.col("root").alias("b")))
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    named = named.join(named.groupBy("root").agg(F.min("first").alias("named")), "root").join(links, "c", "left")
+    named = apart(named, "root")  # dealt by the root anew, so that the rows of a large component can be split
+    named = named.join(apart(named.groupBy("root").agg(F.min("first").alias("named")), "root"), "root").join(links, "c", "left")
     named = named.select("c", "named", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"))
     component = F.when(F.col("c").isNull(), F.col("vec_id")).otherwise(F.col("named"))
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull())
