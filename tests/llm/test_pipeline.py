@@ -106,7 +106,7 @@ def test_stage_list_and_registration():
     assert [name for name, _ in p.STAGES] == ["toxicity", "near_duplicates", "substring_dedup", "personal_data", "packing"]
     names = list(queries.queries())
     assert [n for n in names if n.startswith("op")] == sorted(names[:-1], key=lambda n: int(n[2:].split("_")[0]))
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
 
 
