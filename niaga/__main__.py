@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from niaga.plans import pages, reports
 from niaga.plans.catalog import REPORTS
 from niaga.plans.incremental import run_incremental
-from niaga.plans.pipeline import SNAPSHOT_DATE, Mart, open_latest, run_load
+from niaga.plans.pipeline import SNAPSHOT_DATE, Mart, run_load
+from niaga.plans.rollups import folder_of, open_rolled_up, store_rollups
 from niaga.schemas import SOURCES
 from niaga.sources import export_csv, read_all
 
@@ -36,6 +37,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--snapshot", type=day, default=SNAPSHOT_DATE)
     load.add_argument("--allow-failed-checks", action="store_true", help="publish, but still exit 1")
     load.add_argument("--incremental", action="store_true", help="keep the keys of the last run and write changed months only")
+    load.add_argument("--rollups", action="store_true", help="store roll-ups of the facts, from which reports are answered")
     load.add_argument("--skip-unreadable-rows", action="store_true")
     load.add_argument(
         "--multi-line", action="store_true", help="each file is read whole by one task, for files whose lines end otherwise than with a line feed"
@@ -95,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = SparkSession.builder.appName("niaga").getOrCreate()
     if args.command == "report":
-        mart = open_latest(spark, args.root)
+        mart = open_rolled_up(spark, args.root)
         result = _report(args, mart)
         if args.csv:
             export_csv(result, args.csv)
@@ -112,6 +114,8 @@ def main(argv: list[str] | None = None) -> int:
         strict_sources=not args.skip_unreadable_rows,
         publish_failed_checks=args.allow_failed_checks,
     )
+    if args.rollups:
+        store_rollups(spark, loaded.mart, folder_of(args.root, loaded.run_id))
     for name, metrics in loaded.metrics.items():
         log.info("%s: %s", name, metrics)
     for check in loaded.failed_checks:

@@ -18,6 +18,7 @@ from niaga.plans import dimensions, kpis, pages, reports
 from niaga.plans.faults import CHECKED, with_faults
 from niaga.plans.incremental import months_written, run_incremental
 from niaga.plans.pipeline import LoadResult, Mart, build_unpublished, run_load
+from niaga.plans.rollups import SKETCH_ERROR, RolledUp, sessions, store_rollups
 from niaga.schemas import LOADED_AT, MONTH, ORPHANS, SOURCES, TABLES
 from niaga.session import shared_root
 from niaga.sources import SourceFrame, export_csv, read_csv, sample_sources
@@ -105,8 +106,17 @@ REPORTS: dict[str, Callable[[Mart], DataFrame]] = {
     )
 }
 
+# Reports that stored roll-ups answer without a scan of a fact.
+ROLLED_UP = (
+    "a1_monthly_kpi a2_category_revenue a3_top_products a4_status_share a5_payment_pref a6_city_revenue b1_tier_segment"
+    " b2_top_customers b3_dormant c2_page_latency d1_low_stock d2_movement_summary d3_top_defects kpi_margin"
+    " ins_fulfilment_rates ins_net_stock_by_wh ins_platform_share chart_daily_revenue chart_category_revenue chart_status"
+    " chart_payment chart_device chart_top_products chart_warehouse_pivot"
+).split()
+
 _marts: dict[tuple[str, str], Mart] = {}
 _loads: dict[tuple[str, str], tuple[LoadResult, LoadResult, str]] = {}
+_rolled_up: dict[tuple[str, str], RolledUp] = {}
 _building = threading.Lock()
 
 
@@ -125,6 +135,17 @@ def mart_of(spark: SparkSession, sf_dir: str) -> Mart:
         return _marts[key]
 
 
+def rolled_up(spark: SparkSession, sf_dir: str) -> RolledUp:
+    """The same mart with roll-ups of its facts, stored on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    mart = mart_of(spark, sf_dir)
+    with _building:
+        if key not in _rolled_up:
+            folder = f"{shared_root(spark)}/niaga/{key[0]}/rollups-{uuid.uuid4().hex}"
+            _rolled_up[key] = store_rollups(spark, mart, folder)
+        return _rolled_up[key]
+
+
 def use_mart(spark: SparkSession, sf_dir: str, mart: Mart) -> None:
     """Answer queries on ``sf_dir`` from a mart that is already loaded."""
     _marts[spark.sparkContext.applicationId, sf_dir] = mart
@@ -269,6 +290,22 @@ def _orders_as_of(m: Mart) -> DataFrame:
     return rows.withColumn("revenue_idr", F.col("quantity") * F.col("harga_jual_idr"))
 
 
+def _on_rollups(report: Callable[[Mart], DataFrame], choices=None, days=None) -> Query:
+    narrowed = (lambda m: pages.apply_filters(m, choices or {}, days)) if choices or days else (lambda m: m)
+    return lambda spark, sf_dir: report(narrowed(rolled_up(spark, sf_dir)))
+
+
+def _sketched(key: str) -> Callable[[Mart], DataFrame]:
+    """Distinct sessions by a key, and whether the estimate from merged sketches is as near as it states (four standard errors)."""
+
+    def report(m: Mart) -> DataFrame:
+        exact = m["fact_web_clickstream"].groupBy(key).agg(F.countDistinct("session_id").alias("exact"))
+        near = F.abs(F.col("sessions") - F.col("exact")) <= 4 * SKETCH_ERROR * F.col("exact") + 1
+        return exact.join(sessions(m, [key]), key, "left").select(key, "exact", F.coalesce(near, F.lit(False)).alias("near"))
+
+    return report
+
+
 def _audit(m: Mart) -> DataFrame:
     return m["etl_run_log"].select("step_name", "status", "row_count")
 
@@ -312,6 +349,20 @@ def queries() -> dict[str, Query]:
         report = constraint.get(name) or REPORTS[name]
         q[f"{name}_faulty"] = _on_mart(lambda m, report=report: report(with_faults(m)))
 
+    q |= {f"rollup_{name}": _on_rollups(REPORTS[name]) for name in ROLLED_UP}
+    products = {column: values for column, values in SALES_FILTER.items() if column != "kota"}
+    q |= {
+        "rollup_e1_daily_summary": _on_rollups(lambda m: reports.e1_daily_summary(m, *WINDOW)),
+        "rollup_page_category": _on_rollups(reports.a2_category_revenue, products, SALES_DAYS),
+        "rollup_page_sales_city": _on_rollups(reports.a6_city_revenue, SALES_FILTER, SALES_DAYS),
+        "rollup_page_web_latency": _on_rollups(reports.c2_page_latency, WEB_FILTER),
+        "rollup_page_inventory_volume": _on_rollups(pages.warehouse_volume, STOCK_FILTER),
+        "rollup_page_inventory_defects": _on_rollups(reports.d3_top_defects, STOCK_FILTER),
+        "sketch_daily_sessions": _on_rollups(_sketched("date_key")),
+        "sketch_page_sessions": _on_rollups(_sketched("page_key"), days=SALES_DAYS),
+        "sketch_device_sessions": _on_rollups(_sketched("device_key"), WEB_FILTER),
+    }
+
     def sales(report):
         return _filtered(report, SALES_FILTER, SALES_DAYS)
 

@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from niaga.functions import fold_rows, mean, number_label, percent_label, ratio_round, rupiah_label
 from niaga.plans.reports import Tables, c2_page_latency, c4_conversion, never_ordered
+from niaga.plans.rollups import grouped
 
 
 def _order_totals(m: Tables) -> DataFrame:
-    return m["fact_orders"].agg(
-        F.sum("gross_revenue_idr").alias("total_revenue"),
-        F.sum("gross_profit_idr").alias("total_profit"),
-        F.count("*").alias("total_orders"),
-        F.sum("is_delivered").alias("_delivered"),
-        F.sum("is_cancelled").alias("_cancelled"),
-    )
+    names = {
+        "gross_revenue_idr": "total_revenue",
+        "gross_profit_idr": "total_profit",
+        "n": "total_orders",
+        "delivered": "_delivered",
+        "cancelled": "_cancelled",
+    }
+    return grouped(m, "fact_orders", [], list(names)).withColumnsRenamed(names)
 
 
 def _headline(m: Tables) -> DataFrame:
@@ -27,7 +29,7 @@ def _headline(m: Tables) -> DataFrame:
         m["dim_customer"].agg(F.count("*").alias("total_customers")),
         m["dim_product"].agg(F.count("*").alias("total_products")),
         m["fact_web_clickstream"].agg(F.countDistinct("session_id").alias("sessions")),
-        m["fact_inventory_movements"].agg(F.sum("signed_quantity").alias("net_stock")),
+        grouped(m, "fact_inventory_movements", [], ["signed_quantity"]).withColumnRenamed("signed_quantity", "net_stock"),
     )
 
 
@@ -129,22 +131,18 @@ def ins_dormant_share(m: Tables) -> DataFrame:
 
 
 def ins_net_stock_by_wh(m: Tables) -> DataFrame:
-    per_site = (
-        m["fact_inventory_movements"]
-        .groupBy("warehouse_key")
-        .agg(F.sum("signed_quantity").alias("n"))
-    )
+    per_site = grouped(m, "fact_inventory_movements", ["warehouse_key"], ["signed_quantity"])
     return (
         per_site.join(m["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key")
         .groupBy("warehouse_name")
-        .agg(F.sum("n").alias("net_stock"))
+        .agg(F.sum("signed_quantity").alias("net_stock"))
         .withColumn("needs_restock", (F.col("net_stock") < 0).cast("int"))
         .orderBy("net_stock", "warehouse_name")
     )
 
 
 def ins_platform_share(m: Tables) -> DataFrame:
-    per_device = m["fact_web_clickstream"].groupBy("device_key").agg(F.count("*").alias("n"))
+    per_device = grouped(m, "fact_web_clickstream", ["device_key"], ["n"])
     hits = (
         per_device.join(m["dim_device"].select("device_key", "platform"), "device_key")
         .groupBy("platform")
@@ -178,12 +176,7 @@ def ins_city_extremes(m: Tables) -> DataFrame:
 
 
 def ins_fulfilment_rates(m: Tables) -> DataFrame:
-    totals = m["fact_orders"].agg(
-        F.count("*").alias("n"),
-        F.sum("is_delivered").alias("delivered"),
-        F.sum("is_cancelled").alias("cancelled"),
-        F.sum("is_returned").alias("returned"),
-    )
+    totals = grouped(m, "fact_orders", [], ["n", "delivered", "cancelled", "returned"])
     return totals.select(
         *(
             ratio_round(F.col(c), F.col("n"), 1, factor=100).alias(f"{c}_pct")

@@ -11,8 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from niaga.functions import date_key_of
 from niaga.plans.pipeline import Mart
 from niaga.plans.reports import Tables, between_days, e2_category_risk_fixed
+from niaga.plans.rollups import RolledUp, grouped, whole_months
+from niaga.schemas import MONTH
 
 Choices = Mapping[str, Sequence]
 
@@ -34,7 +37,8 @@ def apply_filters(
 
     The predicates are put on the dimensions, and each fact that has the key is
     semi-joined to the rows left. ``status_order`` and the dates are columns of
-    the fact itself and reach its scan.
+    the fact itself and reach its scan. Stored roll-ups are restricted alike, and
+    left out where they lack a column that a filter needs.
     """
     chosen = {column: list(values) for column, values in choices.items() if values}
     status = chosen.pop("status_order", None)
@@ -46,17 +50,31 @@ def apply_filters(
     for column, values in chosen.items():
         dim, _key = _FILTER_DIMENSION[column]
         kept[dim] = kept.get(dim, mart[dim]).where(F.col(column).isin(values))
-    tables = dict(kept)
-    for fact in ("fact_orders", "fact_inventory_movements", "fact_web_clickstream"):
-        rows = mart[fact] if days is None else between_days(mart[fact], *days)
-        if status and fact == "fact_orders":
+
+    def narrow(fact: str, rows: DataFrame) -> DataFrame | None:
+        """Rows of a fact, or of a roll-up of it, under the filters; None if they lack a column of a filter."""
+        have, wanted = set(rows.columns), set(mart[fact].columns)
+        if days and "date_key" in have:
+            rows = between_days(rows, *days)
+        elif days and whole_months(*days):
+            rows = rows.where(F.col(MONTH).between(*(date_key_of(day) // 100 for day in days)))
+        elif days:
+            return None
+        if status and "status_order" in wanted:
+            if "status_order" not in have:
+                return None
             rows = rows.where(F.col("status_order").isin(status))
         for dim in kept:
             key = next(k for d, k in _FILTER_DIMENSION.values() if d == dim)
-            if key in rows.columns:
+            if key in have:
                 rows = rows.join(kept[dim].select(key), key, "left_semi")
-        tables[fact] = rows
-    return mart.replaced(**tables)
+            elif key in wanted:
+                return None
+        return rows
+
+    facts = ("fact_orders", "fact_inventory_movements", "fact_web_clickstream")
+    smaller = mart.replaced(**kept, **{fact: narrow(fact, mart[fact]) for fact in facts})
+    return mart.narrowed(smaller, narrow) if isinstance(mart, RolledUp) else smaller
 
 
 def run_query(spark: SparkSession, mart: Mart, sql: str, args: dict | list | None = None) -> DataFrame:
@@ -191,9 +209,8 @@ def inventory_detail(mart: Tables) -> DataFrame:
 
 
 def daily_sales(mart: Tables) -> DataFrame:
-    daily = mart["fact_orders"].groupBy("date_key").agg(
-        F.sum("gross_revenue_idr").alias("revenue"), F.sum("gross_profit_idr").alias("profit")
-    )
+    daily = grouped(mart, "fact_orders", ["date_key"], ["gross_revenue_idr", "gross_profit_idr"])
+    daily = daily.withColumnsRenamed({"gross_revenue_idr": "revenue", "gross_profit_idr": "profit"})
     return (
         daily.join(mart["dim_date"].select("date_key", "full_date"), "date_key")
         .select("full_date", "revenue", "profit")
@@ -213,17 +230,13 @@ def signup_trend(mart: Tables) -> DataFrame:
 
 
 def warehouse_volume(mart: Tables) -> DataFrame:
-    per_site = (
-        mart["fact_inventory_movements"]
-        .groupBy("warehouse_key")
-        .agg(F.count("*").alias("n"), F.sum("quantity_change").alias("units"))
-    )
+    per_site = grouped(mart, "fact_inventory_movements", ["warehouse_key"], ["n", "quantity_change"])
     return (
         per_site.join(
             mart["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key"
         )
         .groupBy("warehouse_name")
-        .agg(F.sum("n").alias("movements"), F.sum("units").alias("units"))
+        .agg(F.sum("n").alias("movements"), F.sum("quantity_change").alias("units"))
         .orderBy("warehouse_name")
     )
 

@@ -5,6 +5,8 @@ data is joined, so such a join sees one row per key whatever the skew of the
 fact. No join carries a broadcast hint: Spark broadcasts a side it measures to
 be small and otherwise shuffles.
 
+``grouped`` takes the sums of a fact from the smallest stored roll-up that has them, where the mart has roll-ups.
+
 Product and customer keys are numbered in the order of their natural keys, so
 ties at a top-k cut are broken on the key, before the dimension is joined.
 """
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from niaga.functions import date_key_of, ratio_round
 from niaga.lookups import DEFECT, MOVEMENT_DIRECTION
 from niaga.operators import top
+from niaga.plans.rollups import grouped, rows_of
 from niaga.schemas import MONTH
 
 Tables = Mapping[str, DataFrame]
@@ -33,16 +36,14 @@ def _sum(column: str, alias: str | None = None) -> Column:
     return F.sum(column).alias(alias or column)
 
 
-def between_days(fact: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Fact rows of a date window; the month condition prunes stored partitions."""
+def in_days(first: dt.date, last: dt.date) -> Column:
+    """Whether a row lies in a date window; the month condition prunes stored partitions."""
     low, high = date_key_of(first), date_key_of(last)
-    return fact.where(
-        F.col(MONTH).between(low // 100, high // 100) & F.col("date_key").between(low, high)
-    )
+    return F.col(MONTH).between(low // 100, high // 100) & F.col("date_key").between(low, high)
 
 
-def defects(moves: DataFrame) -> DataFrame:
-    return moves.where(F.col("jenis_mutasi") == DEFECT)
+def between_days(fact: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    return fact.where(in_days(first, last))
 
 
 def with_share(counts: DataFrame, column: str, alias: str, scale: int) -> DataFrame:
@@ -55,9 +56,7 @@ def with_share(counts: DataFrame, column: str, alias: str, scale: int) -> DataFr
 
 
 def a1_monthly_kpi(m: Tables) -> DataFrame:
-    daily = m["fact_orders"].groupBy("date_key").agg(
-        _count("n"), _sum("quantity"), _sum("gross_revenue_idr"), _sum("gross_profit_idr")
-    )
+    daily = grouped(m, "fact_orders", ["date_key"], ["n", "quantity", "gross_revenue_idr", "gross_profit_idr"])
     return (
         daily.join(m["dim_date"].select("date_key", "year", "month", "month_name"), "date_key")
         .groupBy("year", "month", "month_name")
@@ -74,16 +73,19 @@ def a1_monthly_kpi(m: Tables) -> DataFrame:
     )
 
 
-def _per_product(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("product_key").agg(
-        _count("n"), _sum("quantity"), _sum("gross_revenue_idr"), _sum("gross_profit_idr")
-    )
+def _per_product(m: Tables, delivered: bool = False) -> DataFrame:
+    measures = ["n", "quantity", "gross_revenue_idr", "gross_profit_idr"]
+    return grouped(m, "fact_orders", ["product_key"], measures, *_only(delivered))
+
+
+def _only(delivered: bool) -> tuple:
+    return ("is_delivered = 1", ["is_delivered"]) if delivered else ()
 
 
 def a2_category_revenue(m: Tables) -> DataFrame:
     margin_bp = F.rint(F.col("margin_pct") * 100).cast("bigint")
     return (
-        _per_product(m["fact_orders"])
+        _per_product(m)
         .join(m["dim_product"].select("product_key", "kategori", "margin_pct"), "product_key")
         .groupBy("kategori")
         .agg(
@@ -102,7 +104,7 @@ def a2_category_revenue(m: Tables) -> DataFrame:
 
 def a3_top_products(m: Tables, n: int = 10) -> DataFrame:
     best = top(
-        _per_product(m["fact_orders"].where("is_delivered = 1")),
+        _per_product(m, delivered=True),
         n,
         F.desc("gross_revenue_idr"),
         F.asc("product_key"),
@@ -122,16 +124,14 @@ def a3_top_products(m: Tables, n: int = 10) -> DataFrame:
 
 
 def a4_status_share(m: Tables) -> DataFrame:
-    counts = m["fact_orders"].groupBy("status_order").agg(_count("jumlah_order"))
+    counts = grouped(m, "fact_orders", ["status_order"], ["n"]).withColumnRenamed("n", "jumlah_order")
     return with_share(counts, "jumlah_order", "persentase", 2).orderBy(
         F.desc("jumlah_order"), "status_order"
     )
 
 
 def _by_payment(m: Tables, *names: str) -> DataFrame:
-    per_key = m["fact_orders"].groupBy("payment_method_key").agg(
-        _count("n"), _sum("gross_revenue_idr")
-    )
+    per_key = grouped(m, "fact_orders", ["payment_method_key"], ["n", "gross_revenue_idr"])
     return (
         per_key.join(m["dim_payment_method"], "payment_method_key")
         .groupBy(*names)
@@ -149,13 +149,13 @@ def a5_payment_pref(m: Tables) -> DataFrame:
     )
 
 
-def _per_customer(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("customer_key").agg(_count("n"), _sum("gross_revenue_idr"))
+def _per_customer(m: Tables, delivered: bool = False) -> DataFrame:
+    return grouped(m, "fact_orders", ["customer_key"], ["n", "gross_revenue_idr"], *_only(delivered))
 
 
 def a6_city_revenue(m: Tables) -> DataFrame:
     return (
-        _per_customer(m["fact_orders"])
+        _per_customer(m)
         .join(m["dim_customer"].select("customer_key", "kota"), "customer_key")
         .groupBy("kota")
         .agg(
@@ -178,7 +178,7 @@ def b1_tier_segment(m: Tables) -> DataFrame:
     return (
         m["dim_customer"]
         .select("customer_key", "account_tier")
-        .join(_per_customer(m["fact_orders"]), "customer_key", "left")
+        .join(_per_customer(m), "customer_key", "left")
         .groupBy("account_tier")
         .agg(
             _count("jumlah_pelanggan"),
@@ -194,7 +194,7 @@ def b1_tier_segment(m: Tables) -> DataFrame:
 
 def b2_top_customers(m: Tables, n: int = 10) -> DataFrame:
     best = top(
-        _per_customer(m["fact_orders"].where("is_delivered = 1")),
+        _per_customer(m, delivered=True),
         n,
         F.desc("gross_revenue_idr"),
         F.asc("customer_key"),
@@ -215,7 +215,7 @@ def b2_top_customers(m: Tables, n: int = 10) -> DataFrame:
 
 def never_ordered(m: Tables) -> DataFrame:
     """Customers without any order."""
-    buyers = m["fact_orders"].select("customer_key").distinct()
+    buyers = rows_of(m, "fact_orders", ["customer_key"]).select("customer_key").distinct()
     return m["dim_customer"].join(buyers, "customer_key", "left_anti")
 
 
@@ -251,18 +251,14 @@ def c1_funnel(m: Tables) -> DataFrame:
 
 
 def c2_page_latency(m: Tables) -> DataFrame:
-    per_page = m["fact_web_clickstream"].groupBy("page_key").agg(
-        _count("total_hit"),
-        _sum("response_time_ms", "_ms"),
-        F.max("response_time_ms").alias("max_response_time_ms"),
-    )
+    per_page = grouped(m, "fact_web_clickstream", ["page_key"], ["n", "response_time_ms", "slowest_ms"])
     return (
         per_page.join(m["dim_page"].select("page_key", "page_url"), "page_key")
         .select(
             "page_url",
-            "total_hit",
-            ratio_round(F.col("_ms"), F.col("total_hit"), 1).alias("avg_response_time_ms"),
-            "max_response_time_ms",
+            F.col("n").alias("total_hit"),
+            ratio_round(F.col("response_time_ms"), F.col("n"), 1).alias("avg_response_time_ms"),
+            F.col("slowest_ms").alias("max_response_time_ms"),
         )
         .orderBy(F.desc("avg_response_time_ms"), "page_url")
     )
@@ -287,7 +283,7 @@ def c4_conversion(m: Tables) -> DataFrame:
         .where(F.col("customer_key").isNotNull())
         .distinct()
     )
-    buyers = m["fact_orders"].select("customer_key").distinct().withColumn("ordered", F.lit(1))
+    buyers = rows_of(m, "fact_orders", ["customer_key"]).select("customer_key").distinct().withColumn("ordered", F.lit(1))
     return (
         visitors.join(m["dim_customer"].select("customer_key", "kota"), "customer_key")
         .join(buyers, "customer_key", "left")
@@ -307,7 +303,7 @@ def c4_conversion(m: Tables) -> DataFrame:
 def d1_low_stock(m: Tables, n: int = 20) -> DataFrame:
     # several sites share a warehouse name: with the name joined first, one shuffle adds up the rows
     per_name = (
-        m["fact_inventory_movements"]
+        rows_of(m, "fact_inventory_movements", ["product_key", "warehouse_key"])
         .select("product_key", "warehouse_key", "signed_quantity")
         .join(m["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key")
         .groupBy("product_key", "warehouse_name")
@@ -324,11 +320,8 @@ def d1_low_stock(m: Tables, n: int = 20) -> DataFrame:
 
 
 def _by_warehouse_and_type(m: Tables) -> DataFrame:
-    per_site = (
-        m["fact_inventory_movements"]
-        .groupBy("warehouse_key", "jenis_mutasi")
-        .agg(_count("n"), _sum("quantity_change"), _sum("signed_quantity"))
-    )
+    measures = ["n", "quantity_change", "signed_quantity"]
+    per_site = grouped(m, "fact_inventory_movements", ["warehouse_key", "jenis_mutasi"], measures)
     return per_site.join(
         m["dim_warehouse"].select("warehouse_key", "warehouse_name"), "warehouse_key"
     )
@@ -356,9 +349,15 @@ def d2_movement_summary(m: Tables) -> DataFrame:
 def d3_top_defects(m: Tables, n: int = 10) -> DataFrame:
     # a product without defect movements has sum 0 and is left out anyway
     per_product = (
-        defects(m["fact_inventory_movements"])
-        .groupBy("product_key")
-        .agg(_sum("quantity_change", "total_unit_rusak"), _count("jumlah_kejadian"))
+        grouped(
+            m,
+            "fact_inventory_movements",
+            ["product_key"],
+            ["quantity_change", "n"],
+            F.col("jenis_mutasi") == DEFECT,
+            ["jenis_mutasi"],
+        )
+        .select("product_key", F.col("quantity_change").alias("total_unit_rusak"), F.col("n").alias("jumlah_kejadian"))
         .where("total_unit_rusak > 0")
     )
     worst = top(per_product, n, F.desc("total_unit_rusak"), F.asc("product_key"))
@@ -373,16 +372,19 @@ def d3_top_defects(m: Tables, n: int = 10) -> DataFrame:
 
 
 def e1_daily_summary(m: Tables, first: dt.date, last: dt.date) -> DataFrame:
-    def daily(name: str, *measures: Column) -> DataFrame:
-        return between_days(m[name], first, last).groupBy("date_key").agg(*measures)
+    window = in_days(first, last)
+
+    def daily(name: str, **names: str) -> DataFrame:
+        sums = grouped(m, name, ["date_key"], list(names), window, [MONTH, "date_key"])
+        return sums.withColumnsRenamed(names)
 
-    sales = daily("fact_orders", _count("total_order"), _sum("gross_revenue_idr", "total_revenue_idr"))
-    web = daily(
-        "fact_web_clickstream",
-        _count("total_web_hit"),
-        F.countDistinct("session_id").alias("unique_session"),
+    sales = daily("fact_orders", n="total_order", gross_revenue_idr="total_revenue_idr")
+    web = (
+        between_days(m["fact_web_clickstream"], first, last)
+        .groupBy("date_key")
+        .agg(_count("total_web_hit"), F.countDistinct("session_id").alias("unique_session"))
     )
-    moves = daily("fact_inventory_movements", _count("total_pergerakan_gudang"))
+    moves = daily("fact_inventory_movements", n="total_pergerakan_gudang")
     measures = [
         "total_order",
         "total_revenue_idr",
@@ -404,9 +406,8 @@ def e1_daily_summary(m: Tables, first: dt.date, last: dt.date) -> DataFrame:
 
 def _product_risk(m: Tables) -> DataFrame:
     """Per product: revenue and order count, defect units and movement count (null if none)."""
-    sales = m["fact_orders"].groupBy("product_key").agg(
-        _count("orders"), _sum("gross_revenue_idr", "revenue")
-    )
+    sales = grouped(m, "fact_orders", ["product_key"], ["n", "gross_revenue_idr"])
+    sales = sales.withColumnsRenamed({"n": "orders", "gross_revenue_idr": "revenue"})
     broken = F.when(F.col("jenis_mutasi") == DEFECT, F.col("quantity_change")).otherwise(0)
     moves = m["fact_inventory_movements"].groupBy("product_key").agg(
         _count("moves"), F.sum(broken).alias("defect_units")
@@ -467,16 +468,16 @@ def e2_category_risk_fixed(m: Tables) -> DataFrame:
 
 
 def chart_daily_revenue(m: Tables) -> DataFrame:
-    daily = m["fact_orders"].groupBy("date_key").agg(_sum("gross_revenue_idr", "revenue"))
+    daily = grouped(m, "fact_orders", ["date_key"], ["gross_revenue_idr"])
     return (
         daily.join(m["dim_date"].select("date_key", "full_date"), "date_key")
-        .select("full_date", "revenue")
+        .select("full_date", F.col("gross_revenue_idr").alias("revenue"))
         .orderBy("full_date")
     )
 
 
 def chart_category_revenue(m: Tables) -> DataFrame:
-    per_product = m["fact_orders"].groupBy("product_key").agg(_sum("gross_revenue_idr"))
+    per_product = grouped(m, "fact_orders", ["product_key"], ["gross_revenue_idr"])
     return (
         per_product.join(m["dim_product"].select("product_key", "kategori"), "product_key")
         .groupBy("kategori")
@@ -486,7 +487,7 @@ def chart_category_revenue(m: Tables) -> DataFrame:
 
 
 def chart_status(m: Tables) -> DataFrame:
-    counts = m["fact_orders"].groupBy("status_order").agg(_count("n"))
+    counts = grouped(m, "fact_orders", ["status_order"], ["n"])
     return with_share(counts, "n", "share_pct", 1).orderBy(F.desc("n"), "status_order")
 
 
@@ -515,9 +516,7 @@ def chart_funnel(m: Tables) -> DataFrame:
 
 def chart_device(m: Tables) -> DataFrame:
     counts = (
-        m["fact_web_clickstream"]
-        .groupBy("device_key")
-        .agg(_count("n"))
+        grouped(m, "fact_web_clickstream", ["device_key"], ["n"])
         .join(m["dim_device"].select("device_key", "device_type_code"), "device_key")
         .select("device_type_code", "n")
     )
@@ -526,9 +525,7 @@ def chart_device(m: Tables) -> DataFrame:
 
 def chart_top_products(m: Tables, n: int = 10) -> DataFrame:
     """Best products by name: products sharing a name count as one."""
-    per_product = (
-        m["fact_orders"].where("is_delivered = 1").groupBy("product_key").agg(_sum("gross_revenue_idr"))
-    )
+    per_product = grouped(m, "fact_orders", ["product_key"], ["gross_revenue_idr"], *_only(delivered=True))
     per_name = (
         per_product.join(m["dim_product"].select("product_key", "nama_produk"), "product_key")
         .groupBy("nama_produk")

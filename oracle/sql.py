@@ -7,6 +7,7 @@ the rewritten Spark plans are checked against the original semantics.
 
 from __future__ import annotations
 
+from niaga.plans.catalog import ROLLED_UP
 from niaga.plans.faults import CHECKED, TWICE, VALUES, changed
 
 # --- sources from the test tables -----------------------------------------------------------
@@ -430,11 +431,12 @@ E2_FIXED = f"""
 
 CATEGORIES = ["ECONOMY", "PROMO", "STANDARD"]
 CITIES = [f"NATION_{i}" for i in range(0, 25, 2)]
+CITY = f"""AND {_values("c.kota", CITIES)}"""
 SALES = f"""(
     SELECT o.* FROM fact_orders o JOIN dim_product p USING (product_key)
     JOIN dim_customer c USING (customer_key) JOIN dim_payment_method y USING (payment_method_key)
     JOIN dim_date d USING (date_key)
-    WHERE {_values("p.kategori", CATEGORIES)} AND {_values("c.kota", CITIES)}
+    WHERE {_values("p.kategori", CATEGORIES)} {CITY}
       AND {_values("y.payment_method_name", ["OVO", "GoPay", "COD"])}
       AND {_values("o.status_order", ["Delivered", "Shipped", "Pending", "Returned"])}
       AND d.full_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-24')"""
@@ -904,6 +906,16 @@ def _bodies() -> dict[str, str]:
         SELECT user_id, nama_lengkap, kota, account_tier, signup_date, tenure_days_as_of_load
         FROM {MEMBERS}"""
     q["page_exec_scatter"] = E2_FIXED.format(revenue="revenue", defects="defect_units")
+    same = ROLLED_UP + ["e1_daily_summary", "page_sales_city", "page_web_latency", "page_inventory_volume", "page_inventory_defects"]
+    q |= {f"rollup_{name}": q[name] for name in same}
+    q["rollup_page_category"] = a2(SALES.replace(CITY, ""))
+    for name, key, rows in (
+        ("daily", "date_key", "fact_web_clickstream"),
+        ("page", "page_key", f"(SELECT * FROM fact_web_clickstream WHERE {days})"),
+        ("device", "device_key", MOBILE),
+    ):
+        q[f"sketch_{name}_sessions"] = f"""
+            SELECT {key}, count(DISTINCT session_id) AS exact, TRUE AS near FROM {rows} GROUP BY {key}"""
     return q
 
 
