@@ -1,9 +1,11 @@
 """Toxicity by maximum-scoring segments (operator 4).
 
-Words (runs of letters, lower case) and their stems of four and six bytes are counted over all documents and over labelled
-training documents of both classes, in a fixed number of hash buckets. Their log-odds between the classes, with a Dirichlet
-prior in proportion to the frequency in the whole corpus, are taken less two standard errors; a word scores as the largest
-of its three, less a constant drift. A linear scan finds every maximal segment of a document. Karlin-Altschul statistics turn a segment's score S in a text of n words into its expected
+Words (runs of letters, lower case) and their stems of four and six bytes are told apart by 64-bit hashes. Those that at least
+``HOLDERS`` labelled training documents hold are counted in these, by class, and over the whole texts of all documents. Their log-odds
+between the classes, with a Dirichlet prior in proportion to the frequency in the whole corpus, are taken less two standard
+errors; a word scores as the largest of its three, less a constant drift, which is all that a word without evidence has. How many
+words are counted follows from the labelled documents (``COUNTED`` at most), so no two words share a count in a corpus of any size.
+Only words with evidence are sent to the tasks that score. A linear scan finds every maximal segment of a document. Karlin-Altschul statistics turn a segment's score S in a text of n words into its expected
 number of equals in clean text, K n exp(-lambda S): segments under a level are reported, and their evidence is summed and
 calibrated by isotonic regression on training rows that gave no counts.
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from niaga.llm import calibration, words
 from niaga.llm.common import batch, cut, held_out, slices, text_buffer, texts
 
-BUCKETS = 1 << 19  # counts of words and stems, and the scores sent to the tasks
+HOLDERS = 2  # labelled documents that hold a word, for it to be counted
 STEMS = (4, 6)  # bytes
 PRIOR = 2000.0  # words that the prior is worth
 DRIFT = 0.25  # taken from each word's score: how fast a segment dies out in neutral text
@@ -35,61 +37,88 @@ COUNTED = 100_000  # the most labelled rows (about) that are sent to the tasks t
 
 
 def _found(part: pa.RecordBatch) -> tuple[np.ndarray, words.Words]:
-    """Buckets of each word (first row) and of its stems, and the words."""
+    """Hashes of each word (first row) and of its stems, another one for each kind, and the words."""
     data, offsets = text_buffer(part.column("text"))
     found = words.split(data, offsets, letters=True)
     hashed = words.hashes(data, found, lower=True, stems=STEMS)
     hashed += np.arange(len(hashed), dtype=np.uint64)[:, None]
-    return (words.mix(hashed) % np.uint64(BUCKETS)).astype(np.int64), found
+    return words.mix(hashed).view(np.int64), found
 
 
-def _in_texts(buckets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket), each pair once."""
-    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    pair = np.sort((text * BUCKETS + buckets).ravel())
-    pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else pair
-    return pair // BUCKETS, pair % BUCKETS
+def _places(hashed: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where each hash stands among the sorted ``known``; behind the last for others."""
+    out = np.full(hashed.shape, len(known), np.int32)
+    for row, places in zip(hashed, out, strict=True):
+        if len(known):
+            at = np.searchsorted(known, row)
+            np.minimum(at, len(known) - 1, out=at)
+            places[:] = np.where(known[at] == row, at, len(known))
+    return out
 
 
-def word_counts(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
-    """(3, BUCKETS): texts that hold a word, in the whole corpus, in clean and in toxic labelled documents.
+def _of_texts(found: words.Words, kinds: int) -> np.ndarray:
+    """The text of each word, for each kind in turn."""
+    return np.tile(np.repeat(np.arange(len(found.bounds) - 1), np.diff(found.bounds)), kinds)
 
-    ``labelled`` (doc_id, label) is bounded and goes to every task; the counts meet per bucket in Spark.
-    """
+
+def labelled_counts(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(word, clean, toxic): how many labelled documents of each class hold a word or stem. ``labelled`` (doc_id, label) is bounded."""
+    schema = pa.schema([("word", pa.int64()), ("clean", pa.int64()), ("toxic", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            hashed, found = _found(part)
+            text, word = _of_texts(found, len(hashed)), hashed.ravel()
+            order = np.lexsort((text, word))
+            text, word = text[order], word[order]
+            once = np.append(True, (text[1:] != text[:-1]) | (word[1:] != word[:-1]))[: len(word)]
+            toxic, word = part.column("label").to_numpy()[text[once]].astype(np.int64), word[once]
+            head = np.flatnonzero(np.append(True, word[1:] != word[:-1])[: len(word)])
+            if len(head):
+                hits = np.add.reduceat(toxic, head)
+                yield batch(schema, word[head], np.diff(np.append(head, len(word))) - hits, hits)
+
+    rows = texts(docs).join(F.broadcast(labelled), "doc_id").select("text", "label")
+    counts = rows.mapInArrow(work, "word long, clean long, toxic long")
+    return counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, clean, toxic) of those that HOLDERS labelled documents hold, sorted. Bounded as the labelled documents are."""
+    held = counts.filter(F.col("clean") + F.col("toxic") >= HOLDERS).toArrow()
+    word, clean, toxic = (held.column(c).to_numpy() for c in ("word", "clean", "toxic"))
+    order = np.argsort(word)
+    return word[order], clean[order].astype(float), toxic[order].astype(float)
+
+
+def corpus_counts(docs: DataFrame, known: np.ndarray) -> np.ndarray:
+    """How many texts of the whole corpus hold each known word. A task yields one row for a word, and Spark adds them up."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, BUCKETS))
+        total = np.zeros(len(known), np.int64)
         for part in slices(batches):
-            bucket, found = _found(part)
-            text, bucket = _in_texts(bucket, found.bounds)
-            label = part.column("label").to_numpy(zero_copy_only=False)[text]
-            total[0] += np.bincount(bucket, minlength=BUCKETS)
-            for k in (0, 1):
-                total[1 + k] += np.bincount(bucket[label == k], minlength=BUCKETS)
-        used = np.flatnonzero(total[0])
-        schema = pa.schema([("bucket", pa.int32()), ("corpus", pa.float64()), ("clean", pa.float64()), ("toxic", pa.float64())])
-        yield batch(schema, used, *total[:, used])
-
-    rows = texts(docs).join(F.broadcast(labelled), "doc_id", "left").select("text", F.coalesce("label", F.lit(-1)).alias("label"))
-    sums = rows.mapInArrow(work, "bucket int, corpus double, clean double, toxic double").groupBy("bucket").agg(
-        F.sum("corpus").alias("corpus"), F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
-    out = np.zeros((3, BUCKETS))
-    for part in sums.toArrow().to_batches():
-        at = part.column("bucket").to_numpy()
-        for k, name in enumerate(("corpus", "clean", "toxic")):
-            out[k, at] = part.column(name).to_numpy()
+            hashed, found = _found(part)
+            place = _places(hashed, known).ravel()
+            seen = np.flatnonzero(place < len(known))
+            pair = np.sort(_of_texts(found, len(hashed))[seen] * len(known) + place[seen])
+            pair = pair[np.append(True, pair[1:] != pair[:-1])[: len(pair)]]
+            total += np.bincount(pair % max(len(known), 1), minlength=len(known))
+        used = np.flatnonzero(total)
+        yield batch(pa.schema([("place", pa.int32()), ("n", pa.int64())]), used, total[used])
+
+    sums = texts(docs).select("text").mapInArrow(work, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(known))
+    out[sums.column("place").to_numpy()] = sums.column("n").to_numpy()
     return out
 
 
-def log_odds(counts: np.ndarray) -> np.ndarray:
-    """The score of each bucket from its counts."""
-    corpus, clean, toxic = counts
-    if not clean.sum() or not toxic.sum():
-        return np.full(BUCKETS, -DRIFT, np.float32)
-    prior = PRIOR * (corpus + 0.5) / (corpus + 0.5).sum()
-    odds = lambda y: np.log((y + prior) / (y.sum() + PRIOR - y - prior))
-    delta = odds(toxic) - odds(clean)
+def log_odds(corpus: np.ndarray, clean: np.ndarray, toxic: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
+    """The score of each word from its counts; ``totals`` are those of all words of the clean and of the toxic documents."""
+    if not all(totals):
+        return np.full(len(corpus), -DRIFT, np.float32)
+    prior = PRIOR * corpus / max(corpus.sum(), 1)
+    odds = lambda y, total: np.log((y + prior) / np.maximum(total + PRIOR - y - prior, 1))
+    delta = odds(toxic, totals[1]) - odds(clean, totals[0])
     error = np.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
     sure = np.sign(delta) * np.maximum(np.abs(delta) - 2 * error, 0)
     return (np.clip(sure, -2, 8) - DRIFT).astype(np.float32)
@@ -131,17 +160,18 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, behind, right - left) for first, behind, left, right in stack]
 
 
-def maximal_segments(docs: DataFrame, scores: np.ndarray) -> DataFrame:
+def maximal_segments(docs: DataFrame, known: np.ndarray, scores: np.ndarray) -> DataFrame:
     """(doc_id, row, n_words, best, segments): every maximal segment of each whole text as byte offsets (first, behind) in its
-    UTF-8 form and a score; best is the largest score, 0 without a segment."""
+    UTF-8 form and a score; best is the largest score, 0 without a segment. Words that are not known have only the drift."""
+    scores = np.append(scores, np.float32(-DRIFT))
     segment = pa.list_(pa.struct([("first", pa.int64()), ("behind", pa.int64()), ("score", pa.float64())]))
     kinds = [("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("best", pa.float64())]
     schema = pa.schema([*kinds, ("segments", segment)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            bucket, found = _found(part)
-            scored, offsets = scores[bucket].max(axis=0), text_buffer(part.column("text"))[1]
+            hashed, found = _found(part)
+            scored, offsets = scores[_places(hashed, known)].max(axis=0), text_buffer(part.column("text"))[1]
             best, listed = [], []
             for i in range(part.num_rows):
                 at, begin = found.bounds[i], offsets[i]
@@ -181,13 +211,15 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int =
     calibrated share of toxic ones."""
     rows = cut(calibration.training_labels(labels, label, bound))
     apart = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0  # these rows give no counts: they calibrate
-    counts = word_counts(docs, rows.filter(~apart))
-    scores = log_odds(counts)
-    rate = decay(scores, counts[1])
-    found = cut(maximal_segments(docs, scores))
+    counts = cut(labelled_counts(docs, rows.filter(~apart)))
+    totals = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("clean", "toxic"))).first()
+    known, clean, toxic = vocabulary(counts)
+    scores = log_odds(corpus_counts(docs, known), clean, toxic, totals)
+    rate = decay(np.append(scores, -DRIFT), np.append(clean, totals[0] - clean.sum()))
+    telling = np.abs(scores + DRIFT) > 1e-6
+    found = cut(maximal_segments(docs, known[telling], scores[telling]))
     checked = found.join(rows.filter(apart), "doc_id")
-    clean = checked.filter("label = 0 and n_words > 0")
-    n, total = clean.agg(F.count("*"), F.sum(F.col("n_words") * F.exp(-rate * F.col("best")))).first()
+    n, total = checked.filter("label = 0 and n_words > 0").agg(F.count("*"), F.sum(F.col("n_words") * F.exp(-rate * F.col("best")))).first()
     scale = n / total if n and total else 0.1  # the likeliest K of an extreme-value law with this lambda
     model = calibration_of(with_evidence(checked, rate, scale))
     kinds = "doc_id long, row long, held_out boolean, n_words long, raw double, passages array<struct<first: long, behind: long, score: double, expected: double>>, score double"

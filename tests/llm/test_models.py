@@ -6,6 +6,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.samples import ODD, SF
 
@@ -71,6 +72,36 @@ def test_passages_cover_planted_words(spark, docs_of):
     assert hits >= 110 and misses <= 6 and false <= 25
 
 
+def hash_of(word, kind=0):
+    return int(toxicity._found(pa.RecordBatch.from_pydict({"text": [word]}))[0][kind, 0])
+
+
+def test_counts_of_words_and_stems_are_exact(spark, docs_of):
+    rows = [(1, "Alpha alphabet, alpha"), (2, "alpha beta"), (3, "BETA gamma"), (4, "alphabet gamma gamma"), (5, None), (6, "alpha")]
+    marks = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 0), (5, 1)], "doc_id long, label int")
+    counts = toxicity.labelled_counts(docs_of(rows), marks)
+    got = {r.word: (r.clean, r.toxic) for r in counts.collect()}
+    assert got[hash_of("alpha")] == (1, 1) and got[hash_of("alphabet")] == (2, 0) and got[hash_of("beta")] == (0, 2)
+    assert got[hash_of("alpha", 1)] == (2, 1) and got[hash_of("alphabet", 2)] == (2, 0)  # stems alph and alphab
+    known, clean, toxic = toxicity.vocabulary(counts)
+    assert len(known) == sum(sum(n) >= toxicity.HOLDERS for n in got.values()) and (np.diff(known) > 0).all()
+    corpus = dict(zip(known.tolist(), toxicity.corpus_counts(docs_of(rows), known), strict=True))
+    assert corpus[hash_of("alpha")] == 3 and corpus[hash_of("gamma")] == 2 and corpus[hash_of("alpha", 1)] == 4
+    assert [(int(c), int(t)) for c, t in zip(clean, toxic, strict=True)] == [got[w] for w in known.tolist()]
+
+
+def test_no_two_words_share_a_count(spark, docs_of):
+    """More words than the fixed buckets of before had places for without collisions."""
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(5))
+    rows = [(d, " ".join(name(i) for i in range(5000 * (d // 2), 5000 * (d // 2 + 1)))) for d in range(80)]
+    marks = spark.createDataFrame([(d, d % 2) for d in range(80)], "doc_id long, label int")
+    known, clean, toxic = toxicity.vocabulary(toxicity.labelled_counts(docs_of(rows), marks).filter("clean = 1 and toxic = 1"))
+    words_of = {hash_of(name(i)) for i in range(0, 200_000, 997)}
+    assert words_of <= set(known.tolist())
+    at = np.isin(known, list(words_of))
+    assert set(toxicity.corpus_counts(docs_of(rows), known)[at]) == {2.0}
+
+
 def brute_segments(scores):
     """All maximal segments: recursively the best segment (the first, shortest of equal ones), then left and right of it."""
     if not len(scores) or max(scores) <= 0:
