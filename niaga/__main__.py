@@ -20,6 +20,7 @@ from niaga.plans import pages, reports
 from niaga.plans.catalog import REPORTS
 from niaga.plans.incremental import run_incremental
 from niaga.plans.pipeline import SNAPSHOT_DATE, Mart, run_load
+from niaga.plans.placement import placed_folder, store_placed
 from niaga.plans.rollups import folder_of, open_rolled_up, store_rollups
 from niaga.schemas import SOURCES
 from niaga.sources import export_csv, read_all
@@ -37,6 +38,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--snapshot", type=day, default=SNAPSHOT_DATE)
     load.add_argument("--allow-failed-checks", action="store_true", help="publish, but still exit 1")
     load.add_argument("--incremental", action="store_true", help="keep the keys of the last run and write changed months only")
+    load.add_argument("--placed", action="store_true", help="store the facts once more, placed by the columns that pages filter by")
     load.add_argument("--rollups", action="store_true", help="store roll-ups of the facts, from which reports are answered")
     load.add_argument("--skip-unreadable-rows", action="store_true")
     load.add_argument(
@@ -114,6 +116,8 @@ def main(argv: list[str] | None = None) -> int:
         strict_sources=not args.skip_unreadable_rows,
         publish_failed_checks=args.allow_failed_checks,
     )
+    if args.placed:
+        store_placed(spark, loaded.mart, placed_folder(args.root, loaded.run_id))
     if args.rollups:
         store_rollups(spark, loaded.mart, folder_of(args.root, loaded.run_id))
     for name, metrics in loaded.metrics.items():

@@ -18,6 +18,7 @@ from niaga.plans import dimensions, kpis, pages, reports
 from niaga.plans.faults import CHECKED, with_faults
 from niaga.plans.incremental import months_written, run_incremental
 from niaga.plans.pipeline import LoadResult, Mart, build_unpublished, run_load
+from niaga.plans.placement import store_placed
 from niaga.plans.rollups import SKETCH_ERROR, RolledUp, sessions, store_rollups
 from niaga.schemas import LOADED_AT, MONTH, ORPHANS, SOURCES, TABLES
 from niaga.session import shared_root
@@ -117,6 +118,7 @@ ROLLED_UP = (
 _marts: dict[tuple[str, str], Mart] = {}
 _loads: dict[tuple[str, str], tuple[LoadResult, LoadResult, str]] = {}
 _rolled_up: dict[tuple[str, str], RolledUp] = {}
+_placed: dict[tuple[str, str], Mart] = {}
 _building = threading.Lock()
 
 
@@ -146,6 +148,16 @@ def rolled_up(spark: SparkSession, sf_dir: str) -> RolledUp:
         return _rolled_up[key]
 
 
+def placed_mart(spark: SparkSession, sf_dir: str) -> Mart:
+    """The same mart with its facts placed by the columns of the filters, stored on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    mart = mart_of(spark, sf_dir)
+    with _building:
+        if key not in _placed:
+            _placed[key] = store_placed(spark, mart, f"{shared_root(spark)}/niaga/{key[0]}/placed-{uuid.uuid4().hex}")
+        return _placed[key]
+
+
 def use_mart(spark: SparkSession, sf_dir: str, mart: Mart) -> None:
     """Answer queries on ``sf_dir`` from a mart that is already loaded."""
     _marts[spark.sparkContext.applicationId, sf_dir] = mart
@@ -295,6 +307,10 @@ def _on_rollups(report: Callable[[Mart], DataFrame], choices=None, days=None) ->
     return lambda spark, sf_dir: report(narrowed(rolled_up(spark, sf_dir)))
 
 
+def _on_placed(report: Callable[[Mart], DataFrame], choices, days=None) -> Query:
+    return lambda spark, sf_dir: report(pages.apply_filters(placed_mart(spark, sf_dir), choices, days))
+
+
 def _sketched(key: str) -> Callable[[Mart], DataFrame]:
     """Distinct sessions by a key, and whether the estimate from merged sketches is as near as it states (four standard errors)."""
 
@@ -363,6 +379,18 @@ def queries() -> dict[str, Query]:
         "sketch_device_sessions": _on_rollups(_sketched("device_key"), WEB_FILTER),
     }
 
+    q |= {
+        "placed_page_sales_daily": _on_placed(pages.daily_sales, SALES_FILTER, SALES_DAYS),
+        "placed_page_sales_category": _on_placed(reports.a2_category_revenue, SALES_FILTER, SALES_DAYS),
+        "placed_page_sales_filtered": _on_placed(pages.sales_detail, SALES_FILTER, SALES_DAYS),
+        "placed_page_web_latency": _on_placed(reports.c2_page_latency, WEB_FILTER),
+        "placed_page_inventory_volume": _on_placed(pages.warehouse_volume, STOCK_FILTER),
+        "placed_page_inventory_defects": _on_placed(reports.d3_top_defects, STOCK_FILTER),
+        "placed_fact_orders": lambda spark, sf_dir: placed_mart(spark, sf_dir)["fact_orders"].select(
+            *(f.name for f in TABLES["fact_orders"].schema)
+        ),
+    }
+
     def sales(report):
         return _filtered(report, SALES_FILTER, SALES_DAYS)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from niaga.functions import date_key_of
 from niaga.plans.pipeline import Mart
+from niaga.plans.placement import chosen_codes, with_codes
 from niaga.plans.reports import Tables, between_days, e2_category_risk_fixed
 from niaga.plans.rollups import RolledUp, grouped, whole_months
 from niaga.schemas import MONTH
@@ -37,7 +38,8 @@ def apply_filters(
 
     The predicates are put on the dimensions, and each fact that has the key is
     semi-joined to the rows left. ``status_order`` and the dates are columns of
-    the fact itself and reach its scan. Stored roll-ups are restricted alike, and
+    the fact itself and reach its scan, as do the codes of chosen values in a fact
+    placed by them. Stored roll-ups are restricted alike, and
     left out where they lack a column that a filter needs.
     """
     chosen = {column: list(values) for column, values in choices.items() if values}
@@ -50,6 +52,7 @@ def apply_filters(
     for column, values in chosen.items():
         dim, _key = _FILTER_DIMENSION[column]
         kept[dim] = kept.get(dim, mart[dim]).where(F.col(column).isin(values))
+    codes = {column: chosen_codes(mart, column, values) for column, values in chosen.items()}
 
     def narrow(fact: str, rows: DataFrame) -> DataFrame | None:
         """Rows of a fact, or of a roll-up of it, under the filters; None if they lack a column of a filter."""
@@ -64,6 +67,8 @@ def apply_filters(
             if "status_order" not in have:
                 return None
             rows = rows.where(F.col("status_order").isin(status))
+        for column, found in codes.items():
+            rows = with_codes(rows, column, found)
         for dim in kept:
             key = next(k for d, k in _FILTER_DIMENSION.values() if d == dim)
             if key in have:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from niaga.plans.pipeline import Mart, latest_run, open_run, path_exists, together
+from niaga.plans.placement import placed_folder, with_placement
 from niaga.schemas import MONTH, TABLES, columns
 
 LG_K = 14  # 16 384 registers: at most 16 kB for a sketch, less for few sessions
@@ -200,11 +201,12 @@ def _schema(fact: str) -> str:
 
 
 def open_rolled_up(spark: SparkSession, root: str) -> Mart:
-    """The mart published last below ``root``, with its roll-ups if it has any."""
+    """The mart published last below ``root``, with its placed facts and its roll-ups if it has any."""
     run_id = latest_run(spark, root)
     if run_id is None:
         raise FileNotFoundError(f"no published mart below {root}")
-    return with_rollups(spark, open_run(spark, root.rstrip("/"), run_id), folder_of(root, run_id))
+    mart = with_placement(spark, open_run(spark, root.rstrip("/"), run_id), placed_folder(root, run_id))
+    return with_rollups(spark, mart, folder_of(root, run_id))
 
 
 def whole_months(first: dt.date, last: dt.date) -> bool:

@@ -908,6 +908,8 @@ def _bodies() -> dict[str, str]:
     q["page_exec_scatter"] = E2_FIXED.format(revenue="revenue", defects="defect_units")
     same = ROLLED_UP + ["e1_daily_summary", "page_sales_city", "page_web_latency", "page_inventory_volume", "page_inventory_defects"]
     q |= {f"rollup_{name}": q[name] for name in same}
+    on_curve = "page_sales_daily page_sales_category page_sales_filtered page_web_latency page_inventory_volume page_inventory_defects"
+    q |= {f"placed_{name}": q[name] for name in [*on_curve.split(), "fact_orders"]}
     q["rollup_page_category"] = a2(SALES.replace(CITY, ""))
     for name, key, rows in (
         ("daily", "date_key", "fact_web_clickstream"),
