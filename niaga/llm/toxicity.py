@@ -45,15 +45,31 @@ def _found(part: pa.RecordBatch) -> tuple[np.ndarray, words.Words]:
     return words.mix(hashed).view(np.int64), found
 
 
-def _places(hashed: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Where each hash stands among the sorted ``known``; behind the last for others."""
-    out = np.full(hashed.shape, len(known), np.int32)
-    for row, places in zip(hashed, out, strict=True):
-        if len(known):
-            at = np.searchsorted(known, row)
-            np.minimum(at, len(known) - 1, out=at)
-            places[:] = np.where(known[at] == row, at, len(known))
-    return out
+class Places:
+    """Where hashes stand among the sorted ``known`` ones, behind the last for others: by a table of slots, some four for each known
+    hash, and by bisection where several known ones share a slot."""
+
+    def __init__(self, known: np.ndarray):
+        self.known, n = known, len(known)
+        self.mask = (1 << max(4, (4 * n).bit_length())) - 1
+        slot, own = known & self.mask, np.arange(n, dtype=np.int32)
+        self.slots, self.shared = np.full(self.mask + 1, n, np.int32), np.zeros(self.mask + 1, bool)
+        self.slots[slot] = own
+        self.shared[slot[self.slots[slot] != own]] = True
+
+    def of(self, hashed: np.ndarray) -> np.ndarray:
+        n = len(self.known)
+        out = np.full(hashed.shape, n, np.int32)
+        for row, places in zip(hashed, out, strict=True):
+            if n:
+                slot = row & self.mask
+                at = self.slots[slot]
+                hit = (at < n) & (self.known[np.minimum(at, n - 1)] == row)
+                places[hit] = at[hit]
+                doubt = np.flatnonzero(~hit & self.shared[slot])
+                at = np.minimum(np.searchsorted(self.known, row[doubt]), n - 1)
+                places[doubt] = np.where(self.known[at] == row[doubt], at, n)
+        return out
 
 
 def _of_texts(found: words.Words, kinds: int) -> np.ndarray:
@@ -95,10 +111,10 @@ def corpus_counts(docs: DataFrame, known: np.ndarray) -> np.ndarray:
     """How many texts of the whole corpus hold each known word. A task yields one row for a word, and Spark adds them up."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(known), np.int64)
+        places, total = Places(known), np.zeros(len(known), np.int64)
         for part in slices(batches):
             hashed, found = _found(part)
-            place = _places(hashed, known).ravel()
+            place = places.of(hashed).ravel()
             seen = np.flatnonzero(place < len(known))
             pair = np.sort(_of_texts(found, len(hashed))[seen] * len(known) + place[seen])
             pair = pair[np.append(True, pair[1:] != pair[:-1])[: len(pair)]]
@@ -169,9 +185,10 @@ def maximal_segments(docs: DataFrame, known: np.ndarray, scores: np.ndarray) ->
     schema = pa.schema([*kinds, ("segments", segment)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(known)
         for part in slices(batches):
             hashed, found = _found(part)
-            scored, offsets = scores[_places(hashed, known)].max(axis=0), text_buffer(part.column("text"))[1]
+            scored, offsets = scores[places.of(hashed)].max(axis=0), text_buffer(part.column("text"))[1]
             best, listed = [], []
             for i in range(part.num_rows):
                 at, begin = found.bounds[i], offsets[i]

@@ -90,6 +90,15 @@ def test_counts_of_words_and_stems_are_exact(spark, docs_of):
     assert [(int(c), int(t)) for c, t in zip(clean, toxic, strict=True)] == [got[w] for w in known.tolist()]
 
 
+def test_places_of_hashes():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5, 3000):
+        known = np.unique(np.concatenate([rng.integers(-(2**63), 2**63 - 1, n), np.arange(n // 2) << 40]))  # the latter share a slot
+        asked = rng.permutation(np.concatenate([known, rng.integers(-(2**63), 2**63 - 1, 500), [0, -1]]))
+        at = {int(h): i for i, h in enumerate(known)}
+        assert toxicity.Places(known).of(asked[None])[0].tolist() == [at.get(int(h), len(known)) for h in asked]
+
+
 def test_no_two_words_share_a_count(spark, docs_of):
     """More words than the fixed buckets of before had places for without collisions."""
     name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(5))
