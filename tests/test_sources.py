@@ -9,6 +9,7 @@ from niaga.operators import keep_first
 from niaga.schemas import ARRIVAL, SOURCES
 from niaga.sources import SourceError, export_csv, read_all, read_csv
 from niaga.sources.records import lines
+from niaga.sources.testtables import wms
 
 PRODUCTS = "product_id,nama_produk,kategori,harga_modal_idr,harga_jual_idr,is_active"
 
@@ -136,6 +137,23 @@ def test_header_of_every_file_is_checked(spark, tmp_path):
         read_csv(spark, "mdm_products", str(folder)).rows.collect()
 
 
+def test_movements_do_not_shuffle_the_order_lines_for_a_small_supplier_table(spark, tmp_path):
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    rows = {
+        "lineitem": ([(i, i % 60, i % 5, 1, 2.0, 9.0, 0.0, 0.0, "R", "F", dt.datetime(1995, 1, 3)) for i in range(400)], line),
+        "supplier": ([(0, 1), (1, 2), (2, 1), (3, None)], "s_suppkey bigint, s_nationkey bigint"),  # the fifth is unknown
+        "nation": ([(1, "NATION_1", 7), (2, "NATION_2", 8)], "n_nationkey bigint, n_name string, n_regionkey bigint"),
+        "region": ([(7, "ASIA"), (8, "MIDDLE EAST")], "r_regionkey bigint, r_name string"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    moves = wms(spark, str(tmp_path))
+    plan = moves._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan, plan
+    found = moves.groupBy("warehouse_id").count().collect()
+    assert {r[0]: r[1] for r in found} == {"WH-ASIA-01": 160, "WH-MIDDLE EAST-02": 80}
+
+
 def test_export_and_read_back(spark, tmp_path):
     df = spark.createDataFrame([("P1", 'a "b", c', "x", 1, 2, True)], SOURCES["mdm_products"].schema)
     export_csv(df, str(tmp_path / "out"))
