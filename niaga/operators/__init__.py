@@ -1,10 +1,12 @@
-from niaga.operators.keys import dense_key, dense_key_by_day, range_count, staged_bounds
+from niaga.operators.keys import CODEC, dense_key, dense_key_by_day, frequent_keys, range_count, staged_bounds
 from niaga.operators.relational import distinct_values, keep_first, lookup, top
 
 __all__ = [
+    "CODEC",
     "dense_key",
     "dense_key_by_day",
     "distinct_values",
+    "frequent_keys",
     "keep_first",
     "lookup",
     "range_count",

@@ -8,6 +8,7 @@ import pytest
 from conftest import CRM, MDM, OMS, WEB, WMS, at, source_frames
 from pyspark.sql import functions as F
 
+from niaga.plans import pipeline
 from niaga.plans.incremental import Overtaken, months_written, run_incremental
 from niaga.plans.pipeline import claim, latest_run, open_latest, run_load
 from niaga.schemas import LOADED_AT, MONTH, TABLES
@@ -86,6 +87,16 @@ def test_three_loads(spark, tmp_path):
     same_as_full(spark, open_latest(spark, root), sources, tmp_path, "full4")
 
 
+def test_the_joined_rows_are_written_once_and_read_by_all_steps(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "_remove", lambda *_: None)  # rows before they were numbered stay
+    root = str(tmp_path / "root")
+    run_load(spark, source_frames(spark), root, DAY, publish_failed_checks=True)
+    done = run_incremental(spark, source_frames(spark, oms_orders=OMS[:-1]), root, DAY, publish_failed_checks=True)
+    joined = spark.read.parquet(f"{root}/runs/{done.run_id}/ordered/fact_orders-joined")
+    assert sorted(r.order_id for r in joined.collect()) == [f"O{i}" for i in range(1, 7)]
+    assert written(spark, root, done.run_id)["fact_orders"] == (1, 1) and keys(done.mart, "fact_orders").keys() == {"O1", "O2", "O6"}
+
+
 def test_a_price_touches_the_months_of_its_orders_and_a_late_product_makes_facts(spark, tmp_path):
     root = str(tmp_path / "root")
     one = [("O1", "U1", "P1", 1, at("2026-03-01 10:00:00"), "OVO", "Delivered"), ("O2", "U1", "P2", 1, at("2026-04-01 10:00:00"), "OVO", "Delivered"),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import CRM, MDM, OMS, at, source_frames
 from pyspark.errors import ParseException
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from niaga.operators.constraints import dangling_keys, duplicate_keys, null_rows
 from niaga.operators.quality import dq1_row_counts, dq_suite
-from niaga.plans import dimensions, kpis, pages, reports
+from niaga.plans import dimensions, kpis, pages, pipeline, reports
 from niaga.plans.pipeline import (
     ConstraintViolation,
     QualityFailure,
@@ -42,6 +44,20 @@ def mart(loaded):
     return loaded[1].mart
 
 
+def test_written_tables_are_small(spark, tmp_path, monkeypatch):
+    """Compressed by zstd; columns that follow from others are not moved and written before the rows are numbered."""
+    monkeypatch.setattr(pipeline, "_remove", lambda *_: None)
+    done = run_load(spark, source_frames(spark), str(tmp_path), SNAPSHOT, publish_failed_checks=True)
+    base = f"{tmp_path}/runs/{done.run_id}"
+    for name in ("stg_oms_orders", "dim_customer", "fact_orders", "ordered/fact_orders"):
+        files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{base}/{name}/**/*.parquet", recursive=True)]
+        used = {f.row_group(g).column(0).compression for f in files for g in range(f.num_row_groups)}
+        assert used == {"ZSTD"}, (name, used)
+    derived = {"gross_revenue_idr", "gross_cost_idr", "gross_profit_idr", "is_delivered", "is_cancelled", "is_returned"}
+    assert not derived & set(spark.read.parquet(f"{base}/ordered/fact_orders").columns)
+    assert "signed_quantity" not in spark.read.parquet(f"{base}/ordered/fact_inventory_movements").columns
+
+
 def test_customers_keep_first_and_count_tenure(mart):
     assert table(mart["dim_customer"], "customer_key", "user_id", "nama_lengkap", "tenure_days_as_of_load") == [
         (1, "U1", "Ani", 181),

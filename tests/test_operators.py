@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from niaga.operators import dense_key, dense_key_by_day, keep_first, lookup, range_count, staged_bounds, top
+from niaga.operators import dense_key, dense_key_by_day, frequent_keys, keep_first, lookup, range_count, staged_bounds, top
 
 
 def plan_of(df) -> str:
@@ -19,6 +19,29 @@ def test_keep_first_takes_the_earliest_row(spark):
     assert got == {("a", "first"), ("b", "only"), (None, "y")}
 
 
+def test_keep_first_dealt_to_tasks_sorts_after_the_shuffle_only(spark, tmp_path):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 != 1, (F.col("id") % 5000).cast("string")).alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(1000003)).alias("_arrival"),
+        F.col("id").alias("v"),
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    often = frequent_keys(rows, "k", 30000)
+    assert often == ["hot"]
+    first = keep_first(rows, "k", tasks=7, frequent=often)
+    want = {(r.k, r.v) for r in keep_first(rows, "k").collect()}
+    assert {(r.k, r.v) for r in first.collect()} == want and first.count() == len(want)
+    # a row of a key that is not frequent meets no sort before its shuffle, and seven tasks after it
+    cold = plan_of(first).split("Exchange hashpartitioning(k#")[-1]
+    assert "REPARTITION_BY_NUM" in cold and "Sort" not in cold and "WindowGroupLimit" not in cold
+    assert "hashpartitioning(k#" in plan_of(first) and ", 7)" in cold
+
+
+def test_frequent_keys_of_a_small_table_are_not_sought(spark):
+    assert frequent_keys(spark.range(200).select(F.lit("a").alias("k")), "k", 200) == []
+
+
 def test_keep_first_limits_each_key_before_the_shuffle(spark, tmp_path):
     rows = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
