@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from niaga.plans import catalog, pages
 from niaga.plans.pipeline import run_load
-from niaga.plans.placement import BITS, CURVES, chosen_codes, code_name, codes_of, interleaved, placed_folder, store_placed
+from niaga.plans.placement import BITS, CODES, CURVES, chosen_codes, code_name, codes_of, interleaved, placed, placed_folder, store_placed
 from niaga.plans.rollups import open_rolled_up
 from niaga.schemas import TABLES
 
@@ -77,6 +77,15 @@ def test_codes_spread_by_shares_of_the_rows(spark):
     assert {r.value: r.code for r in codes_of(dim, "kota").collect()} == {"a": 0, "b": 256, "c": 768}
 
 
+def test_codes_are_attached_without_a_shuffle_of_the_fact(spark, stored):
+    """Spark knows how small a dimension is, so long as its values are not joined to their codes before."""
+    mart, folder, _ = stored
+    codes = spark.read.parquet(f"{folder}/{CODES}")
+    for fact in CURVES:
+        plan = placed(mart, codes, fact, 4)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 4, plan
+
+
 def test_a_value_that_no_member_has(stored):
     assert pages.apply_filters(stored[2], {"kota": ["nowhere"]})["fact_orders"].isEmpty()
 
