@@ -81,8 +81,12 @@ def test_codes_are_attached_without_a_shuffle_of_the_fact(spark, stored):
     """Spark knows how small a dimension is, so long as its values are not joined to their codes before."""
     mart, folder, _ = stored
     codes = spark.read.parquet(f"{folder}/{CODES}")
-    for fact in CURVES:
-        plan = placed(mart, codes, fact, 4)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30KB")  # above what is read of a dimension here
+    try:
+        plans = [placed(mart, codes, fact, 4)._jdf.queryExecution().executedPlan().toString() for fact in CURVES]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in plans:
         assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 4, plan
 
 
