@@ -140,8 +140,8 @@ def test_header_of_every_file_is_checked(spark, tmp_path):
 def test_movements_do_not_shuffle_the_order_lines_for_a_small_supplier_table(spark, tmp_path):
     line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
     rows = {
-        "lineitem": ([(i, i % 60, i % 5, 1, 2.0, 9.0, 0.0, 0.0, "R", "F", dt.datetime(1995, 1, 3)) for i in range(400)], line),
-        "supplier": ([(0, 1), (1, 2), (2, 1), (3, None), *((k, 1) for k in range(10, 9000))], "s_suppkey bigint, s_nationkey bigint"),  # the fifth is unknown
+        "lineitem": ([(i, i % 60, i % 5, 1, 2.0, 9.0, 0.0, 0.0, "R", "F", dt.datetime(1995, 1, 3)) for i in range(40000)], line),
+        "supplier": ([(0, 1), (1, 2), (2, 1), (3, None), *((k, 1) for k in range(10, 2000))], "s_suppkey bigint, s_nationkey bigint"),  # the fifth is unknown
         "nation": ([(1, "NATION_1", 7), (2, "NATION_2", 8)], "n_nationkey bigint, n_name string, n_regionkey bigint"),
         "region": ([(7, "ASIA"), (8, "MIDDLE EAST")], "r_regionkey bigint, r_name string"),
     }
@@ -156,7 +156,7 @@ def test_movements_do_not_shuffle_the_order_lines_for_a_small_supplier_table(spa
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange hashpartitioning" not in plan, plan
     found = moves.groupBy("warehouse_id").count().collect()
-    assert {r[0]: r[1] for r in found} == {"WH-ASIA-01": 160, "WH-MIDDLE EAST-02": 80}
+    assert {r[0]: r[1] for r in found} == {"WH-ASIA-01": 16000, "WH-MIDDLE EAST-02": 8000}
 
 
 def test_export_and_read_back(spark, tmp_path):
