@@ -1,8 +1,24 @@
-from niaga.operators.keys import CODEC, dense_key, dense_key_by_day, frequent_keys, range_count, staged_bounds
+from niaga.operators.keys import (
+    BUCKET_ROWS,
+    CODEC,
+    MOST_BUCKETS,
+    RANGE_ROWS,
+    bucket_count,
+    dense_key,
+    dense_key_by_day,
+    frequent_keys,
+    range_count,
+    staged_bounds,
+    write_buckets,
+)
 from niaga.operators.relational import distinct_values, keep_first, lookup, top
 
 __all__ = [
+    "BUCKET_ROWS",
     "CODEC",
+    "MOST_BUCKETS",
+    "RANGE_ROWS",
+    "bucket_count",
     "dense_key",
     "dense_key_by_day",
     "distinct_values",
@@ -12,4 +28,5 @@ __all__ = [
     "range_count",
     "staged_bounds",
     "top",
+    "write_buckets",
 ]

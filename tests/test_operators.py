@@ -5,7 +5,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from niaga.operators import dense_key, dense_key_by_day, frequent_keys, keep_first, lookup, range_count, staged_bounds, top
+from niaga.operators import (
+    bucket_count,
+    dense_key,
+    dense_key_by_day,
+    frequent_keys,
+    keep_first,
+    lookup,
+    range_count,
+    staged_bounds,
+    top,
+    write_buckets,
+)
 
 
 def plan_of(df) -> str:
@@ -186,3 +197,38 @@ def test_bounds_come_from_a_sample_of_one_size():
         ranges = range_count(rows, 200)
         assert ranges <= MOST_RANGES and sample_share(rows, ranges) * rows < SAMPLE_ROWS + 1
     assert sample_share(100, 8) == 1
+
+
+def test_rows_stored_in_buckets_of_their_key_are_not_shuffled(spark, tmp_path):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 != 1, (F.col("id") % 5000).cast("string")).alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(1000003)).alias("_arrival"),
+        F.col("id").alias("v"),
+    )
+    dealt = write_buckets(rows, "k", 5, str(tmp_path / "t"))
+    plain = spark.read.parquet(str(tmp_path / "t"))
+    first = keep_first(plain, "k", tasks=5, frequent=["hot"], dealt=dealt)
+    want = {(r.k, r.v) for r in keep_first(plain, "k").collect()}
+    assert {(r.k, r.v) for r in first.collect()} == want and first.count() == len(want)
+    # frequent and null keys alone are shuffled, behind the limit of their map tasks
+    final = plan_of(first).split("Initial Plan")[0]
+    assert final.count("Exchange") == 1 and "REPARTITION" not in final and "SelectedBucketsCount" in final
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("niaga_")]
+
+
+@pytest.mark.parametrize("ranges", [2, 8, 200])
+def test_dense_key_by_day_in_buckets(spark, tmp_path, ranges):
+    rows = [(i % 7 == 0, 20240101 + (i * i) % 9 if i % 50 else None, f"K-{(i * 7919) % 100_003}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "aside boolean, day int, id string").repartition(5)
+    bounds = staged_bounds(df.select("day", "id"), len(rows), ranges)
+    asked = (df, "key", ("aside", "day", "id"), bounds, list(range(20240101, 20240131)))
+    placed = dense_key_by_day(*asked, str(tmp_path / "buckets"), buckets=True)
+    assert placed.columns == ["aside", "day", "id", "key"]
+    assert sorted(map(str, placed.collect())) == sorted(map(str, dense_key_by_day(*asked, str(tmp_path / "shuffled")).collect()))
+    assert "SelectedBucketsCount" in plan_of(placed) and "REPARTITION" not in plan_of(placed)
+    parts = {r.p for r in placed.withColumn("p", F.spark_partition_id()).collect() if r.key}
+    assert len(parts) == len(bounds) + 1  # a task for each range
+
+
+def test_number_of_buckets():
+    assert [bucket_count(n, 8) for n in (0, 900_000, 3 * 10**6, 10**8, 10**10, 10**13)] == [0, 0, 3, 8, 250, 1024]
