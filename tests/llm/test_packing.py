@@ -135,3 +135,18 @@ def test_added_tokens_in_a_text_have_their_ids(docs_of):
     assert whole.encode(rows[0][1], add_special_tokens=False).ids == [64, 50256, 65]
     for p in packing.encoded(docs_of(rows)).collect():
         assert np.frombuffer(p.ids, "<u2").tolist() == [*whole.encode(dict(rows)[p.doc_id], add_special_tokens=False).ids, 1]
+
+
+def test_ids_come_as_arrays_and_equal_the_lists(spark):
+    """No list of Python numbers is made for a text: the ids of ``encode`` are those of ``encode_to_numpy``."""
+    import inspect
+
+    from niaga.llm import bpe, packing
+
+    place = bpe.vocabulary()
+    coder = packing.rank_encoder(place["ranks"], place["pattern"], packing.added_tokens(place["json"]))
+    said = ["", "Selamat pagi, dunia 123", "a<|endoftext|>b", "\U0001f600\x00 é中"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    got = {r.doc_id: bytes(r.ids) for r in packing.encoded(docs).collect()}
+    assert got == {i: b"".join(n.to_bytes(2, "little") for n in [*coder.encode(t, allowed_special="all"), packing.END]) for i, t in enumerate(said)}
+    assert "encode_to_numpy" in inspect.getsource(packing.encoded) and "coder.encode(" not in inspect.getsource(packing.encoded)
