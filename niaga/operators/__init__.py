@@ -1,8 +1,11 @@
 from niaga.operators.keys import (
+    BUCKET_BYTES,
     BUCKET_ROWS,
     CODEC,
     MOST_BUCKETS,
+    MOST_WRITERS,
     RANGE_ROWS,
+    STORED,
     bucket_count,
     dense_key,
     dense_key_by_day,
@@ -14,10 +17,13 @@ from niaga.operators.keys import (
 from niaga.operators.relational import distinct_values, keep_first, lookup, top
 
 __all__ = [
+    "BUCKET_BYTES",
     "BUCKET_ROWS",
     "CODEC",
     "MOST_BUCKETS",
+    "MOST_WRITERS",
     "RANGE_ROWS",
+    "STORED",
     "bucket_count",
     "dense_key",
     "dense_key_by_day",
